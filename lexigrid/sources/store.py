@@ -69,6 +69,10 @@ class IndexStore:
                 raise
             return self.spark.createDataFrame([], _SCHEMAS[name])
 
+    def version(self, name: str, version: int) -> DataFrame:
+        """One version of one table, published or not."""
+        return self.table(name).where(F.col("version") == version)
+
     def published(self) -> DataFrame:
         """``(site, version, n_buckets)``: what each site serves.
 
@@ -100,12 +104,18 @@ class IndexStore:
         The text is read twice in all: to store it, and (from the stored copy)
         to index it.  The statistics come from narrow scans of the postings.
         """
-        rows = keywords.select("site", F.lit(version).cast("bigint").alias("version"), "id", "field", "text")
-        self._write("keywords", version, rows, shuffle=False)
-        self.write_postings(postings(self._stored("keywords", version), self.n_buckets, analyzer), version)
+        self.write_keywords(keywords, version)
+        stored = self.version("keywords", version)
+        self.write_postings(postings(stored, self.n_buckets, analyzer), version)
         if publish:
             self.publish_version(version)
 
+    def write_keywords(self, keywords: DataFrame, version: int) -> None:
+        """Store the documents of one version, where they are: no shuffle."""
+        if not self.published().where(F.col("version") == version).isEmpty():
+            raise ValueError(f"version {version} is being served; use a new number")
+        self._write("keywords", version, keywords.select("site", "id", "field", "text"), shuffle=False)
+
     def write_postings(self, posting_table: DataFrame, version: int, clustered: bool = False) -> None:
         """Store posting rows of one version, and the statistics that follow from them.
 
@@ -113,13 +123,13 @@ class IndexStore:
         read from another version), so no shuffle is needed.
         """
         self._write("postings", version, posting_table, shuffle=not clustered)
-        stored = self._stored("postings", version)
+        stored = self.version("postings", version)
         self._write("term_stats", version, term_stats(stored))
         self._write("field_stats", version, field_stats(stored))
 
     def publish_version(self, version: int) -> None:
         """Let every site of a complete version serve it from now on."""
-        sites = self._stored("keywords", version).select("site").distinct()
+        sites = self.version("keywords", version).select("site").distinct()
         self.publish(sites.withColumn("version", F.lit(version)))
 
     def publish(self, pointers: DataFrame) -> None:
@@ -147,9 +157,6 @@ class IndexStore:
     def _last_seq(self) -> int | None:
         return self.table("published").agg(F.max("seq")).first()[0]
 
-    def _stored(self, name: str, version: int) -> DataFrame:
-        return self.table(name).where(F.col("version") == version)
-
     def _write(self, name: str, version: int, rows: DataFrame, shuffle: bool = True) -> None:
         parts = _PARTITIONS[name]
         if shuffle:
