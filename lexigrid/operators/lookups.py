@@ -63,20 +63,19 @@ def asked_terms(clauses: DataFrame, published: DataFrame, analyzer: Analyzer = S
     )
 
 
-def needs_of(asked: DataFrame) -> Needs:
-    """One row about the asked terms, so that a search plans only what it needs."""
+def needs_metrics() -> list[Column]:
+    """Aggregates over asked terms from which ``Needs`` is read; observed while they are written."""
 
     def some(condition):
         return F.coalesce(F.max(condition), F.lit(False))
 
     kind = F.col("kind")
-    row = asked.agg(
-        some(kind == "term"),
-        some(kind.isin(*_WILDCARDS)),
-        some(kind == "phrase"),
-        some((F.col("n_must") == 0) & (F.col("n_should") == 0)),
-    ).first()
-    return Needs(*row)
+    return [
+        some(kind == "term").alias("exact"),
+        some(kind.isin(*_WILDCARDS)).alias("wildcard"),
+        some(kind == "phrase").alias("phrase"),
+        some((F.col("n_must") == 0) & (F.col("n_should") == 0)).alias("everything"),
+    ]
 
 
 def _in_field() -> Column:

@@ -60,23 +60,26 @@ def clone_site(store: IndexStore, source_site: str, target_site: str, version: i
 
 
 def compact(store: IndexStore, log: DataFrame, version: int, analyzer: Analyzer = STANDARD) -> None:
-    """Bring every served site up to date with a change log, as one new version.
+    """Bring the sites a change log names up to date with it, as one new version.
 
-    Only changed documents are analysed.  A site the log names first is created.
+    Other sites go on serving the version they have, and of the touched sites
+    only the changed documents are analysed.  A site named first here is
+    created; one left without documents serves an empty index.
     """
-    keywords = _served(store, "keywords").select("site", "id", "field", "text")
-    store.write_keywords(apply_log(keywords, log), version)
+    sites = log.select("site").distinct()
+    keywords = _served(store, "keywords").join(sites, "site", "left_semi")
+    store.write_keywords(apply_log(keywords.select("site", "id", "field", "text"), log), version)
 
     touched = log.select("site", "id").distinct()
-    kept = _served(store, "postings").join(touched, ["site", "id"], "left_anti")
+    kept = (
+        _served(store, "postings")
+        .join(sites, "site", "left_semi")
+        .join(touched, ["site", "id"], "left_anti")
+    )
     changed = newest_changes(log).where(F.col("op") != "delete")
     changed = changed.withColumn("version", F.lit(version).cast("bigint"))
-    added = posting_rows(changed, analyzer)
-    added = added.withColumn("bucket", term_bucket("term", store.n_buckets))
-    kept = kept.withColumn("bucket", term_bucket("term", store.n_buckets))
-    store.write_postings(kept.unionByName(added), version)
-    # also sites left without documents: they must not go on serving the old ones
-    sites = store.published().select("site").unionByName(log.select("site")).distinct()
+    both = kept.drop("bucket").unionByName(posting_rows(changed, analyzer))
+    store.write_postings(both.withColumn("bucket", term_bucket("term", store.n_buckets)), version)
     store.publish(sites.withColumn("version", F.lit(version)))
 
 

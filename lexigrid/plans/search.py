@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lexigrid.functions.analysis import STANDARD
@@ -13,9 +13,10 @@ from lexigrid.functions.names import attribute_field, map_attribute
 from lexigrid.model import MAX_HITS, Analyzer, Bm25, Index, TermDefaults
 from lexigrid.operators.clauses import build_clauses
 from lexigrid.operators.lookups import (
+    Needs,
     asked_terms,
     exact_lookups,
-    needs_of,
+    needs_metrics,
     wildcard_lookups,
     with_boosts,
 )
@@ -93,8 +94,10 @@ def search_clauses(
     spark = clauses.sparkSession
     n_spread = n_spread or int(spark.conf.get("spark.sql.shuffle.partitions"))
     restrict = _restriction(scope, on_empty_scope)
-    asked = written(asked_terms(clauses, index.published, analyzer), "asked")
-    needs = needs_of(asked)
+    seen = Observation()
+    asked = asked_terms(clauses, index.published, analyzer).observe(seen, *needs_metrics())
+    asked = written(asked, "asked")
+    needs = Needs(**seen.get)
     found = []
     if needs.exact or needs.phrase or not needs.wildcard:
         found.append(exact_lookups(asked, index.term_stats, index.field_stats))

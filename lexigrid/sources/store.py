@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from lexigrid.functions.analysis import STANDARD
 from lexigrid.model import KEYWORDS, Analyzer, Index
@@ -39,6 +40,13 @@ _PARTITIONS = {
     "term_stats": ["site", "bucket"],
     "field_stats": ["site"],
 }
+# point reads by id skip row groups; the filter is sized to what it holds
+_OPTIONS = {
+    "keywords": {
+        "parquet.bloom.filter.enabled#id": "true",
+        "parquet.bloom.filter.adaptive.enabled": "true",
+    }
+}
 _ORDER = {
     "keywords": ["id", "field"],
     "postings": ["field", "term", "id"],
@@ -47,6 +55,10 @@ _ORDER = {
 }
 
 
+def _parsed(schema: str) -> list[StructField]:
+    return StructType.fromDDL(schema).fields
+
+
 class IndexStore:
     """Reads, writes and publishes index versions below one folder."""
 
@@ -67,7 +79,9 @@ class IndexStore:
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _SCHEMAS[name])
+            return self.spark.sql("SELECT 1 AS x WHERE false").select(
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in _parsed(_SCHEMAS[name])]
+            )
 
     def version(self, name: str, version: int) -> DataFrame:
         """One version of one table, published or not."""
@@ -105,7 +119,7 @@ class IndexStore:
         to index it.  The statistics come from narrow scans of the postings.
         """
         self.write_keywords(keywords, version)
-        stored = self.version("keywords", version)
+        stored = self._for_all_cores(self.version("keywords", version))
         self.write_postings(postings(stored, self.n_buckets, analyzer), version)
         if publish:
             self.publish_version(version)
@@ -144,6 +158,15 @@ class IndexStore:
         """Stop serving these sites."""
         self._write_pointers(self._without(sites))
 
+    def _for_all_cores(self, stored: DataFrame) -> DataFrame:
+        """Spread a table of fewer files than cores; leave any larger one where it is.
+
+        Each task wrote its own files, so so few mean an input of less than one
+        split per core: cheap to move, and slow to analyse on a few cores.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return stored.repartition(cores) if len(stored.inputFiles()) < cores else stored
+
     def _without(self, sites: DataFrame) -> DataFrame:
         return self.published().join(sites.select("site"), "site", "left_anti")
 
@@ -167,6 +190,7 @@ class IndexStore:
             rows.drop("version")
             .sortWithinPartitions(*parts, *_ORDER[name])
             .write.mode("overwrite")
+            .options(**_OPTIONS.get(name, {}))
             .partitionBy(*parts)
             .parquet(f"{self.root}/{name}/version={version}")
         )
