@@ -38,10 +38,17 @@ def site_status(sites: DataFrame, keywords: DataFrame, published: DataFrame) ->
 
 
 def list_versions(
-    keywords: DataFrame, published: DataFrame, index_name: str, show_all: bool = False
+    keywords: DataFrame,
+    published: DataFrame,
+    index_name: str,
+    show_all: bool = False,
+    starting_with: str | None = None,
 ) -> DataFrame:
     """Every version with its size, and whether no pointer names it.
 
+    Hidden names (a leading dot) are left out, and so, unless ``show_all``, are
+    those not ``starting_with`` the given text (default: the index name).
+
     The orphan flag is null in the ``show_all`` listing, which may hold
     versions that are not ours.
     """
@@ -49,6 +56,7 @@ def list_versions(
     rows = version_stats(keywords).join(pointers, ["site", "version"], "left")
     named = rows.withColumn("name", version_name(index_name, "site", "version"))
     orphaned = F.lit(None).cast("boolean") if show_all else F.col("_served").isNull()
-    return named.where(listed(F.col("name"), index_name, show_all)).select(
+    wanted = index_name if starting_with is None else starting_with
+    return named.where(listed(F.col("name"), wanted, show_all)).select(
         "name", "site", "version", "n_docs", "n_bytes", orphaned.alias("orphaned")
     )
