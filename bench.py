@@ -29,6 +29,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -51,10 +51,12 @@ def _token_grouper(chunk_tokens: int):
         encoded = lists.flatten().dictionary_encode()
         code = encoded.indices.to_numpy(zero_copy_only=False)
 
-        order = np.lexsort((pos, code, row))
-        row, code, pos = row[order], code[order], pos[order]
+        # tokens come in order of position, and a stable sort keeps that order
+        group_of = row * len(encoded.dictionary) + code
+        order = np.argsort(group_of, kind="stable")
+        row, code, pos, group_of = row[order], code[order], pos[order], group_of[order]
         first = np.ones(len(row), dtype=bool)
-        first[1:] = (row[1:] != row[:-1]) | (code[1:] != code[:-1])
+        first[1:] = group_of[1:] != group_of[:-1]
         begin = np.flatnonzero(first)
         bounds = np.append(begin, len(row)).astype(np.int32)
         owner = pa.array(row[begin])

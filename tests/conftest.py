@@ -11,6 +11,7 @@ from check import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4")
+    # tiny inputs: compiling takes longer than running
+    session = local_session("4", **{"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})
     yield session
     session.stop()
