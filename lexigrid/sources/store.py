@@ -25,6 +25,9 @@ from pyspark.sql.types import StructField, StructType
 from lexigrid.functions.analysis import STANDARD
 from lexigrid.model import KEYWORDS, Analyzer, Index
 from lexigrid.operators.postings import field_stats, postings, term_stats
+from lexigrid.operators.upkeep import orphaned_versions
+from lexigrid.session import literal_table
+from lexigrid.sources.elements import select_site
 
 _SCHEMAS = {
     "keywords": KEYWORDS,
@@ -169,6 +172,31 @@ class IndexStore:
         cores = self.spark.sparkContext.defaultParallelism
         return stored.repartition(cores) if len(stored.inputFiles()) < cores else stored
 
+    # removing ----------------------------------------------------------------
+
+    def purge_versions(self, site: str | None = None) -> list[tuple[str, int]]:
+        """Delete the versions no pointer names, of one served site or all; returns them."""
+        rows = select_site(self.table("keywords"), site)
+        return self._remove(orphaned_versions(rows, self.published()))
+
+    def drop_site(self, site: str) -> list[tuple[str, int]]:
+        """Stop serving a site and delete all its versions; returns them."""
+        rows = self.table("keywords").where(F.col("site") == site)
+        self.withdraw(literal_table(self.spark, "site string", [(site,)]))
+        return self._remove(rows)
+
+    def _remove(self, rows: DataFrame) -> list[tuple[str, int]]:
+        # on the driver: there are no more names than versions
+        names = sorted(tuple(r) for r in rows.select("site", "version").distinct().collect())
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for name in _PARTITIONS:
+            for site, version in names:
+                folder = f"{self.root}/{name}/version={version}/site={escape(site)}"
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+        return names
+
     def _without(self, sites: DataFrame) -> DataFrame:
         return self.published().join(sites.select("site"), "site", "left_anti")
 

@@ -142,3 +142,16 @@ def test_fan_out_reaches_enabled_sinks_only(spark):
     assert fan_out(keywords(spark, ROWS), sinks, {"x": True, "z": True, "y": False}) == ["x", "z"]
     assert seen == {"x": 5, "z": 5}
     assert fan_out(keywords(spark, ROWS), sinks, {}) == []
+
+
+def test_purge_and_drop_delete_what_is_not_served(spark):
+    rows = [("a b/c", 1, "f", "red"), ("b", 1, "f", "red"), ("d", 1, "f", "red")]
+    store = stored(spark, rows)
+    store.write_version(keywords(spark, rows[:2]), 2)
+    assert store.purge_versions("b") == [("b", 1)]
+    assert store.purge_versions() == [("a b/c", 1)]
+    assert store.purge_versions() == []
+    assert rows_of(upkeep.versions(store.table("postings"))) == [("a b/c", 2), ("b", 2), ("d", 1)]
+    assert ask(store, "red", "a b/c") == [1] and ask(store, "red", "d") == [1]
+    assert store.drop_site("b") == [("b", 2)] and store.drop_site("nosite") == []
+    assert rows_of(store.published(), "site") == [("a b/c",), ("d",)]
