@@ -105,18 +105,32 @@ def search_clauses(
         found.append(wildcard_lookups(asked, index.term_stats))
     lookups = written(with_boosts(_union(found), field_boosts), "lookups")
 
+    postings = _narrowed(index.postings, lookups)
     matches = []
     if needs.exact or needs.wildcard or not needs.phrase:
-        matches.append(restrict(term_matches(index.postings, lookups, bm25)))
+        matches.append(restrict(term_matches(postings, lookups, bm25)))
     if needs.phrase:
         wanted = phrase_lookups(lookups)
-        candidates = written(restrict(phrase_candidates(index.postings, wanted)), "candidates")
-        matches.append(phrase_matches(index.postings, wanted, candidates, bm25))
+        candidates = written(restrict(phrase_candidates(postings, wanted)), "candidates")
+        matches.append(phrase_matches(postings, wanted, candidates, bm25))
     if needs.everything:
         matches.append(restrict(everything_else(asked, index.keywords)))
     return top_k(score_documents(spread(_union(matches), n_spread)), k)
 
 
+def _narrowed(postings: DataFrame, lookups: DataFrame) -> DataFrame:
+    """Postings of the terms looked up, where these are few enough to push down.
+
+    Postings are sorted by term, so the scan then skips the pages of others.
+    The limit is Spark's own, above which it pushes down no list of values.
+    """
+    most = int(postings.sparkSession.conf.get("spark.sql.parquet.pushdown.inFilterThreshold"))
+    terms = lookups.select("term").distinct().limit(most + 1).collect()
+    if len(terms) > most:
+        return postings
+    return postings.where(F.col("term").isin([row["term"] for row in terms]))
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -64,11 +64,21 @@ def _parsed(schema: str) -> list[StructField]:
     return StructType.fromDDL(schema).fields
 
 
+def buckets_for(spark: SparkSession, *paths: str) -> int:
+    """Buckets of about 1 GB for an index over the files at ``paths``; between 8 and 16,384."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    size = 0
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        size += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return min(max(size >> 30, 8), 16_384)
+
+
 class IndexStore:
     """Reads, writes and publishes index versions below one folder."""
 
     def __init__(self, spark: SparkSession, root: str, n_buckets: int = 64):
-        """``n_buckets`` divides the terms of a site; aim for buckets of some GB."""
+        """``n_buckets`` divides the terms of a site; see ``buckets_for``."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.n_buckets = n_buckets

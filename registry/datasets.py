@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexigrid.model import FIELDS, Index
 from lexigrid.session import fresh_dir, literal_table
 from lexigrid.sources.documents import build_keywords
-from lexigrid.sources.store import IndexStore
+from lexigrid.sources.store import IndexStore, buckets_for
 
 _stores: dict[tuple[str, str], IndexStore] = {}
 
@@ -54,7 +54,8 @@ def store(spark: SparkSession, sf_dir: str) -> IndexStore:
     """The stored index over all documents and parts, built on first use in a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
-        made = IndexStore(spark, fresh_dir(spark, "index"), n_buckets=8)
+        buckets = buckets_for(spark, f"{sf_dir}/documents.parquet", f"{sf_dir}/part.parquet")
+        made = IndexStore(spark, fresh_dir(spark, "index"), buckets)
         made.write_version(all_keywords(spark, sf_dir), version=1)
         _stores[key] = made
     return _stores[key]

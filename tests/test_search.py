@@ -145,6 +145,8 @@ def test_postings_join_is_pruned_and_never_nested(spark, index):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "dynamicpruning" in plan
+    few = search(index, terms_of(spark, [1]))._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(term,the)" in few or "In(term" in few
     assert not any("positions" in line for line in plan.splitlines() if "tf#" in line and "FileScan" in line)
 
 
