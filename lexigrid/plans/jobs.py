@@ -59,12 +59,22 @@ def clone_site(store: IndexStore, source_site: str, target_site: str, version: i
     store.publish_version(version)
 
 
-def compact(store: IndexStore, log: DataFrame, version: int, analyzer: Analyzer = STANDARD) -> None:
+def compact(
+    store: IndexStore,
+    log: DataFrame,
+    version: int,
+    analyzer: Analyzer = STANDARD,
+    merge_files: bool = False,
+) -> None:
     """Bring the sites a change log names up to date with it, as one new version.
 
     Other sites go on serving the version they have, and of the touched sites
-    only the changed documents are analysed.  A site named first here is
-    created; one left without documents serves an empty index.
+    only the changed documents are analysed and shuffled.  A site named first
+    here is created; one left without documents serves an empty index.
+
+    Each run adds small files for the changed postings.  ``merge_files``
+    shuffles all postings of the touched sites together again; use it now and
+    then.
     """
     sites = log.select("site").distinct()
     keywords = _served(store, "keywords").join(sites, "site", "left_semi")
@@ -78,8 +88,14 @@ def compact(store: IndexStore, log: DataFrame, version: int, analyzer: Analyzer
     )
     changed = newest_changes(log).where(F.col("op") != "delete")
     changed = changed.withColumn("version", F.lit(version).cast("bigint"))
-    both = kept.drop("bucket").unionByName(posting_rows(changed, analyzer))
-    store.write_postings(both.withColumn("bucket", term_bucket("term", store.n_buckets)), version)
+    added = posting_rows(changed, analyzer)
+    bucket = term_bucket("term", store.n_buckets)
+    same_buckets = store.published().where(F.col("n_buckets") != store.n_buckets).isEmpty()
+    if same_buckets and not merge_files:
+        store.write_postings(kept, version, clustered=True, added=added.withColumn("bucket", bucket))
+    else:
+        both = kept.drop("bucket").unionByName(added)
+        store.write_postings(both.withColumn("bucket", bucket), version)
     store.publish(sites.withColumn("version", F.lit(version)))
 
 

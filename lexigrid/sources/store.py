@@ -145,13 +145,22 @@ class IndexStore:
             raise ValueError(f"version {version} is being served; use a new number")
         self._write("keywords", version, keywords.select("site", "id", "field", "text"), shuffle=False)
 
-    def write_postings(self, posting_table: DataFrame, version: int, clustered: bool = False) -> None:
+    def write_postings(
+        self,
+        posting_table: DataFrame,
+        version: int,
+        clustered: bool = False,
+        added: DataFrame | None = None,
+    ) -> None:
         """Store posting rows of one version, and the statistics that follow from them.
 
         ``clustered`` says the rows already come bucket by bucket (they are
-        read from another version), so no shuffle is needed.
+        read from another version), so no shuffle is needed; ``added`` rows are
+        shuffled and stored beside them.
         """
         self._write("postings", version, posting_table, shuffle=not clustered)
+        if added is not None:
+            self._write("postings", version, added, mode="append")
         stored = self.version("postings", version)
         self._write("term_stats", version, term_stats(stored))
         self._write("field_stats", version, field_stats(stored))
@@ -222,7 +231,14 @@ class IndexStore:
         found = re.findall(r"/seq=(\d+)/", " ".join(self.table("published").inputFiles()))
         return max(map(int, found), default=None)
 
-    def _write(self, name: str, version: int, rows: DataFrame, shuffle: bool = True) -> None:
+    def _write(
+        self,
+        name: str,
+        version: int,
+        rows: DataFrame,
+        shuffle: bool = True,
+        mode: str = "overwrite",
+    ) -> None:
         parts = _PARTITIONS[name]
         if shuffle:
             # adaptive execution splits the hot buckets and joins the small
@@ -231,7 +247,7 @@ class IndexStore:
         (
             rows.drop("version")
             .sortWithinPartitions(*parts, *_ORDER[name])
-            .write.mode("overwrite")
+            .write.mode(mode)
             .options(**_OPTIONS.get(name, {}))
             .partitionBy(*parts)
             .parquet(f"{self.root}/{name}/version={version}")

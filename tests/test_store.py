@@ -125,7 +125,7 @@ def test_compact_applies_a_log_and_leaves_other_sites(spark):
     assert ask(store, "ring") == [1] and ask(store, "widget") == [] and ask(store, "site", "c") == [4]
     assert rows_of(store.published(), "site", "version") == [("a", 2), ("b", 1), ("c", 2)]
     statistics_agree(store, 2)
-    compact(store, log_of(spark, ("c", 4, "delete", 1, None, None)), 3)
+    compact(store, log_of(spark, ("c", 4, "delete", 1, None, None)), 3, merge_files=True)
     assert ask(store, "site", "c") == []
 
 
