@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from lexigrid.model import ATTRIBUTE_PREFIX, FIELD_PREFIX
 
+# What stands for a field without a handle.
+NO_SUCH_ID = "field not found for ID "
+NO_SUCH_FIELD = "Unknown field "
+
 
 def attribute_field(attribute: Column | str, prefix: str = "") -> Column:
     """Index field of a built-in attribute."""
@@ -69,10 +73,10 @@ def map_field(
                 name.startswith(as_custom),
                 F.coalesce(
                     F.col("_value"),
-                    F.concat(F.lit("field not found for ID "), F.col("_number").cast("string")),
+                    F.concat(F.lit(NO_SUCH_ID), F.col("_number").cast("string")),
                 ),
             )
-            .otherwise(F.concat(F.lit("Unknown field "), name)),
+            .otherwise(F.concat(F.lit(NO_SUCH_FIELD), name)),
         )
         .drop("_key", "_value", "_number")
     )
