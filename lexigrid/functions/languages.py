@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrid.model import SITES, STOPWORDS  # noqa: F401
+from lexigrid.model import STOPWORDS
 from lexigrid.session import literal_table
 
 # Language code -> name of its stop-word list.

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from lexigrid.functions.analysis import analyze, explain_source, remove_stopwords
 from lexigrid.functions.names import map_attribute, map_field
-from lexigrid.model import BOOSTS, CHANGES, QUERY_TERMS, SITES, STOPWORDS
-from lexigrid.operators import postings as P
+from lexigrid.model import BOOSTS, QUERY_TERMS, SITES, STOPWORDS
 from lexigrid.operators import reports, upkeep
 from lexigrid.operators.clauses import build_clauses
 from lexigrid.plans.jobs import fan_out
