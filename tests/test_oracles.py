@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from check import connect, difference
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,13 +16,13 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    ours = contract.queries()[name](spark, SF_DIR).toPandas()
-    assert difference(ours, con.execute(contract.oracle_sql()[name]).df()) is None
+    ours = QUERIES[name](spark, SF_DIR).toPandas()
+    assert difference(ours, con.execute(ORACLES[name]).df()) is None
 
 
 def test_entry(spark):
