@@ -170,8 +170,13 @@ def cascade(docs: DataFrame, rules=RULES, text: str = "text", ordered: bool = Fa
 
 
 def keep_good(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
-    """The documents that no rule rejects, with their own columns."""
-    return cascade(docs, rules, text).where(F.col("failed_rule").isNull()).select("row.*")
+    """The documents that no rule rejects, with their own columns.
+
+    ``explode`` of nothing drops a row like a filter would; but a filter would be moved below the
+    cascade, with all of it written into one condition, and arrays made again for each element.
+    """
+    kept = F.explode(F.when(F.col("failed_rule").isNull(), F.array("row"))).alias("row")
+    return cascade(docs, rules, text).select(kept).select("row.*")
 
 
 def report(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
