@@ -81,7 +81,7 @@ def paths_of(json: Column) -> Column:
     The engine's own description of the record, ``OBJECT<a: ARRAY<OBJECT<b: STRING>>>``, is cut
     down to names and brackets; every leaf with the names above it is a path.
     """
-    schema = F.expr("schema_of_variant(try_parse_json(record))") if json is None else F.schema_of_variant(F.try_parse_json(json))
+    schema = F.schema_of_variant(F.try_parse_json(json))
     bare = F.regexp_replace(schema, r"(: )?(STRING|BIGINT|DOUBLE|BOOLEAN|VOID|DATE|BINARY|TIMESTAMP(_NTZ)?|DECIMAL\(\d+,\d+\))(?=[,>]|$)", "")
     bare = F.replace(F.replace(bare, F.lit("ARRAY<OBJECT<"), F.lit("[]<")), F.lit(": OBJECT<"), F.lit("<"))
     return F.replace(bare, F.lit(": []<"), F.lit("[]<"))
@@ -134,26 +134,24 @@ def _unescape_role(role: Column) -> Column:
     return F.replace(F.replace(apart, F.lit("\\n"), F.lit("\n")), F.lit("\x00"), F.lit("\\"))
 
 
-def formatted(turns: DataFrame, column: str = "turns") -> DataFrame:
-    """Rows with ``formatted`` and ``loss_spans`` (``start, end`` in code points, end exclusive)."""
-    heads = F.transform(F.col(column), lambda t: F.concat(F.lit(START), _escape_role(t["role"]), F.lit("\n")))
-    bodies = F.transform(F.col(column), lambda t: escape(t["text"]))
-    rows = turns.withColumn("heads", heads).withColumn("bodies", bodies)
-    tail = END + "\n"
-    pieces = F.transform(F.arrays_zip("heads", "bodies"), lambda p: F.concat(p["heads"], p["bodies"], F.lit(tail)))
+def formatted(turns: DataFrame) -> DataFrame:
+    """Rows of ``canonical`` with ``formatted`` and ``loss_spans`` (``start, end`` in code points, end exclusive)."""
+    heads = F.transform("turns", lambda t: F.concat(F.lit(START), _escape_role(t["role"]), F.lit("\n")))
+    bodies = F.transform("turns", lambda t: escape(t["text"]))
+    rows = turns.withColumns({"heads": heads, "bodies": bodies})
+    pieces = F.transform(F.arrays_zip("heads", "bodies"), lambda p: F.concat(p["heads"], p["bodies"], F.lit(END + "\n")))
     rows = rows.withColumn("pieces", pieces)
-    zipped = F.arrays_zip(F.col(column).alias("turn"), F.col("heads").alias("head"), F.col("bodies").alias("body"), F.col("pieces").alias("piece"))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 
     def step(state: Column, t: Column) -> Column:
-        begin = state["at"] + F.length(t["head"])
-        span = F.struct(begin.alias("start"), (begin + F.length(t["body"])).alias("end"))
+        begin = state["at"] + F.length(t["heads"])
+        span = F.struct(begin.alias("start"), (begin + F.length(t["bodies"])).alias("end"))
         return F.struct(
-            (state["at"] + F.length(t["piece"])).alias("at"),
-            F.when(t["turn"]["role"] == "assistant", F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"),
+            (state["at"] + F.length(t["pieces"])).alias("at"),
+            F.when(t["turns"]["role"] == "assistant", F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans"),
         )
 
-    spans = F.aggregate(zipped, empty, step)["spans"]
+    spans = F.aggregate(F.arrays_zip("turns", "heads", "bodies", "pieces"), empty, step)["spans"]
     return rows.withColumn("loss_spans", spans).withColumn("formatted", F.array_join("pieces", "")).drop("heads", "bodies", "pieces")
 
 

@@ -65,7 +65,25 @@ SELECT doc_id, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
 FROM placed p JOIN ring r ON p.source IS NOT DISTINCT FROM r.source
 """
 
+_OP6 = r"""
+WITH r AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+), t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM r
+), f AS (
+  SELECT *, '<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10) AS piece FROM t
+), c AS (
+  SELECT conv_id, count(*)::BIGINT AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    sum(length(piece))::BIGINT AS formatted_chars
+  FROM f GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM c
+"""
+
 ORACLES = {
+    "op6_chat": _OP6,
     "op8_mixing": _OP8,
     "op10_quality_rules": _OP10,
 }
