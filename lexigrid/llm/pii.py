@@ -259,7 +259,7 @@ def _other(rng: random.Random) -> str:
                        f"{rng.randint(0, 9)}.{rng.randint(0, 99)}", f"Version {rng.randint(1, 9)}.{rng.randint(0, 9)}.{rng.randint(0, 9)}", f"{d(2)}:{d(2)}", f"${d(3)},{d(3)}", f"@{hexed[:6]}", d(rng.randint(22, 30)), f"AKIA{hexed[:16].upper()}"])
 
 
-def train(texts: list[str], seed: int = 9, made: int = 1800, epochs: int = 4) -> dict[str, np.ndarray]:
+def train(texts: list[str], seed: int = 9, made: int = 2400, epochs: int = 5) -> dict[str, np.ndarray]:
     """Weights of the labeller and its transitions."""
     rng, draw = np.random.default_rng(seed), random.Random(seed)
     cases: list[tuple[str, np.ndarray]] = []

@@ -161,22 +161,26 @@ def order_rules(docs: DataFrame, rules=RULES, text: str = "text", seed: int = 11
     return sorted(rules, key=lambda r: gain[r.name])
 
 
+def _fenced(df: DataFrame) -> DataFrame:
+    """The same rows, with their columns made by an ``explode`` of one element.
+
+    A later filter on the verdict would else be moved below the cascade, with all of it written
+    into one condition, where arrays are made again for each element.
+    """
+    return df.select(F.explode(F.array(F.struct("*"))).alias("all")).select("all.*")
+
+
 def cascade(docs: DataFrame, rules=RULES, text: str = "text", ordered: bool = False) -> DataFrame:
     """The rows as struct ``row`` with ``failed_rule``: the first rule of the cascade that rejects, or null."""
     frame = _Frame(docs, text)
     for rule in rules if ordered else order_rules(docs, rules, text):
         frame.apply(rule)
-    return frame.df.select("row", "failed_rule")
+    return _fenced(frame.df.select("row", "failed_rule"))
 
 
 def keep_good(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
-    """The documents that no rule rejects, with their own columns.
-
-    ``explode`` of nothing drops a row like a filter would; but a filter would be moved below the
-    cascade, with all of it written into one condition, and arrays made again for each element.
-    """
-    kept = F.explode(F.when(F.col("failed_rule").isNull(), F.array("row"))).alias("row")
-    return cascade(docs, rules, text).select(kept).select("row.*")
+    """The documents that no rule rejects, with their own columns."""
+    return cascade(docs, rules, text).where(F.col("failed_rule").isNull()).select("row.*")
 
 
 def report(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
@@ -195,10 +199,10 @@ def report(docs: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
     for rule in RULES:
         if rule.name in BASE:
             base_failed = base_failed | rule.rejects(_m)
-    return frame.df.select(
+    return _fenced(frame.df.select(
         "row",
         *[_m(name).alias(name) for name in base],
         base_failed.alias("base_failed"),
         "failed_rule",
         (F.col("failed_rule").isNull() & ~base_failed).alias("kept"),
-    )
+    ))
