@@ -55,8 +55,8 @@ def map_field(
     as_custom = prefix + FIELD_PREFIX
     name = F.col(field)
     number = F.coalesce(
-        F.regexp_extract(F.substr(name, F.lit(len(as_custom) + 1)), r"^\s*(\d{1,9})", 1)
-        .try_cast("int"),
+        F.regexp_extract(F.substr(name, F.lit(len(as_custom) + 1)), r"^\s*(\d+)", 1)
+        .try_cast("bigint"),
         F.lit(0),
     )
     found = _one_per(fields, "field_id", "handle", F.min)

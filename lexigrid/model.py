@@ -39,9 +39,6 @@ PREDEFINED_ATTRIBUTES = ("title", "slug")
 ATTRIBUTE_PREFIX = "attribute_"
 FIELD_PREFIX = "field_"
 
-# Fixed value: hits returned per query when the caller names no other number.
-MAX_HITS = 10_000
-
 
 @dataclass(frozen=True)
 class Analyzer:

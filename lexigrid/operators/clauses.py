@@ -43,7 +43,7 @@ def build_clauses(
 
     phrase = F.coalesce(F.col("phrase"), F.lit(False)) | F.col("term").contains("-")
     rows = rows.select(
-        "query_id", "site", "ord", F.trim("term").alias("text"),
+        "query_id", "site", "ord", F.trim("term", F.lit(" \t\n\r\0\x0b")).alias("text"),
         F.when(F.col("attribute") != "", F.col("attribute")).alias("attribute"),
         F.when(phrase, "should").when(flag("exclude"), "must_not").otherwise("must").alias("occur"),
         F.when(phrase, "phrase")

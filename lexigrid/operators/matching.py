@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexigrid.model import Bm25
+from lexigrid.session import written
 
 _POSTING_KEY = ["site", "version", "bucket", "field", "term"]
 _WANTED = (
@@ -168,11 +169,29 @@ def top_k(scored: DataFrame, k: int | None) -> DataFrame:
     First within each slot, where the rows already are, then over the at most
     ``slots * k`` rows left.  With ``k=None`` every hit is ranked.
     """
+    if k is None:
+        return _rank_all(scored)
     best = [F.desc("score"), F.asc("id")]
-    if k is not None:
-        in_slot = Window.partitionBy("query_id", "slot").orderBy(*best)
-        scored = scored.withColumn("_nth", F.row_number().over(in_slot)).where(F.col("_nth") <= k)
+    in_slot = Window.partitionBy("query_id", "slot").orderBy(*best)
+    scored = scored.withColumn("_nth", F.row_number().over(in_slot)).where(F.col("_nth") <= k)
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*best)))
-    if k is not None:
-        ranked = ranked.where(F.col("rank") <= k)
-    return ranked.select("query_id", "id", "score", "rank")
+    return ranked.where(F.col("rank") <= k).select("query_id", "id", "score", "rank")
+
+
+def _rank_all(scored: DataFrame) -> DataFrame:
+    """Every hit with its rank, no query in one task.
+
+    Hits are dealt in ranges of the final order and written with the range's
+    number; a rank is the place in the range plus the query's hits in the ranges before.
+    """
+    best = [F.desc("score"), F.asc("id")]
+    dealt = scored.select("query_id", "id", "score").repartitionByRange("query_id", *best)
+    dealt = written(dealt.withColumn("_part", F.spark_partition_id()), "hits")
+    earlier = Window.partitionBy("query_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = dealt.groupBy("query_id", "_part").agg(F.count("*").alias("_n"))
+    before = before.select("query_id", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("query_id", "_part").orderBy(*best))
+    return (
+        dealt.withColumn("_nth", nth).join(before, ["query_id", "_part"])
+        .select("query_id", "id", "score", (F.col("_nth") + F.col("_before")).cast("int").alias("rank"))
+    )

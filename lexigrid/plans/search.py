@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexigrid.functions.analysis import STANDARD
 from lexigrid.functions.names import attribute_field, map_attribute
-from lexigrid.model import MAX_HITS, Analyzer, Bm25, Index, TermDefaults
+from lexigrid.model import Analyzer, Bm25, Index, TermDefaults
 from lexigrid.operators.clauses import build_clauses
 from lexigrid.operators.lookups import (
     Needs,
@@ -41,7 +41,7 @@ def search(
     fields: DataFrame | None = None,
     options: DataFrame | None = None,
     defaults: TermDefaults = TermDefaults(),
-    k: int | None = MAX_HITS,
+    k: int | None = None,
     before_query: Callable[[DataFrame], DataFrame] | None = None,
     on_empty_scope: str = "all",
     analyzer: Analyzer = STANDARD,
@@ -55,7 +55,8 @@ def search(
     terms they match, then the candidates of phrases are written to the shared
     folder.  Their true sizes are then known when Spark plans the joins with
     postings: small ones are broadcast and prune the buckets read, large ones
-    are shuffled.  The pass over postings itself runs when the result is used.
+    are shuffled.  The pass over postings itself runs when the result is used, or
+    with ``k=None`` at once: all hits are written in their order before they are numbered.
 
     ``scope(query_id, id)``   the only documents a query may return; a query
                               without rows is unrestricted, or, with
@@ -64,7 +65,7 @@ def search(
     ``fields``                custom-field definitions, to resolve handles
     ``options``, ``defaults`` flags for terms that leave them null
     ``before_query``          changes the clause table before it is matched
-    ``k``                     hits kept per query; None keeps all
+    ``k``                     hits kept per query; by default all
     ``n_spread``              tasks sharing one query's hits
                               (default: the session's shuffle partitions)
     """
@@ -84,7 +85,7 @@ def search_clauses(
     clauses: DataFrame,
     scope: DataFrame | None = None,
     field_boosts: DataFrame | None = None,
-    k: int | None = MAX_HITS,
+    k: int | None = None,
     on_empty_scope: str = "all",
     analyzer: Analyzer = STANDARD,
     bm25: Bm25 = Bm25(),
@@ -105,7 +106,7 @@ def search_clauses(
         found.append(wildcard_lookups(asked, index.term_stats))
     lookups = written(with_boosts(_union(found), field_boosts), "lookups")
 
-    postings = _narrowed(index.postings, lookups)
+    postings = index.postings
     matches = []
     if needs.exact or needs.wildcard or not needs.phrase:
         matches.append(restrict(term_matches(postings, lookups, bm25)))
@@ -118,19 +119,6 @@ def search_clauses(
     return top_k(score_documents(spread(_union(matches), n_spread)), k)
 
 
-def _narrowed(postings: DataFrame, lookups: DataFrame) -> DataFrame:
-    """Postings of the terms looked up, where these are few enough to push down.
-
-    Postings are sorted by term, so the scan then skips the pages of others.
-    The limit is Spark's own, above which it pushes down no list of values.
-    """
-    most = int(postings.sparkSession.conf.get("spark.sql.parquet.pushdown.inFilterThreshold"))
-    terms = lookups.select("term").distinct().limit(most + 1).collect()
-    if len(terms) > most:
-        return postings
-    return postings.where(F.col("term").isin([row["term"] for row in terms]))
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

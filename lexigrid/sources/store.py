@@ -38,6 +38,7 @@ _SCHEMAS = {
     "term_stats": "field string, term string, df bigint, version bigint, site string, bucket int",
     "field_stats": "field string, n_docs bigint, sum_dl bigint, version bigint, site string",
     "published": "site string, version bigint, n_buckets int, seq bigint",
+    "layout": "n_buckets int, version bigint",
 }
 _PARTITIONS = {
     "keywords": ["site"],
@@ -65,13 +66,13 @@ def _parsed(schema: str) -> list[StructField]:
 
 
 def buckets_for(spark: SparkSession, *paths: str) -> int:
-    """Buckets of about 1 GB for an index over the files at ``paths``; between 8 and 16,384."""
+    """Buckets of about 1 GB for an index over the files at ``paths``; at least 8."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     size = 0
     for name in paths:
         path = jvm.org.apache.hadoop.fs.Path(name)
         size += path.getFileSystem(conf).getContentSummary(path).getLength()
-    return min(max(size >> 30, 8), 16_384)
+    return max(size >> 30, 8)
 
 
 class IndexStore:
@@ -134,7 +135,7 @@ class IndexStore:
         to index it.  The statistics come from narrow scans of the postings.
         """
         self.write_keywords(keywords, version)
-        stored = self._for_all_cores(self.version("keywords", version))
+        stored = self.version("keywords", version)
         self.write_postings(postings(stored, self.n_buckets, analyzer), version)
         if publish:
             self.publish_version(version)
@@ -158,6 +159,8 @@ class IndexStore:
         read from another version), so no shuffle is needed; ``added`` rows are
         shuffled and stored beside them.
         """
+        layout = self.spark.range(1).select(F.lit(self.n_buckets).alias("n_buckets"))
+        layout.write.mode("overwrite").parquet(f"{self.root}/layout/version={version}")
         self._write("postings", version, posting_table, shuffle=not clustered)
         if added is not None:
             self._write("postings", version, added, mode="append")
@@ -171,10 +174,14 @@ class IndexStore:
         self.publish(sites.withColumn("version", F.lit(version)))
 
     def publish(self, pointers: DataFrame) -> None:
-        """Point sites to versions, ``(site, version)``; all become visible at once."""
+        """Point sites to versions, ``(site, version)``; all become visible at once.
+
+        The number of buckets is that with which the version was written.
+        """
         new = pointers.select(
             "site", F.col("version").cast("bigint").alias("version"),
-            F.lit(self.n_buckets).alias("n_buckets"),
+        ).join(self.table("layout"), "version", "left").select(
+            "site", "version", F.coalesce("n_buckets", F.lit(self.n_buckets)).alias("n_buckets")
         )
         self._write_pointers(self._without(new).unionByName(new))
 
@@ -182,15 +189,6 @@ class IndexStore:
         """Stop serving these sites."""
         self._write_pointers(self._without(sites))
 
-    def _for_all_cores(self, stored: DataFrame) -> DataFrame:
-        """Spread a table of fewer files than cores; leave any larger one where it is.
-
-        Each task wrote its own files, so so few mean an input of less than one
-        split per core: cheap to move, and slow to analyse on a few cores.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return stored.repartition(cores) if len(stored.inputFiles()) < cores else stored
-
     # removing ----------------------------------------------------------------
 
     def purge_versions(self, site: str | None = None) -> list[tuple[str, int]]:

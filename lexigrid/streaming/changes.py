@@ -8,6 +8,8 @@ harmless and no state or watermark is needed.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,7 +22,7 @@ _CHANGE = ["site", "id", "ts", "seq"]
 
 def change_log(spark: SparkSession, path: str) -> DataFrame:
     """Everything logged so far."""
-    return spark.read.schema(f"{CHANGES}, batch bigint").parquet(path).drop("batch")
+    return spark.read.schema(f"{CHANGES}, stream string, batch bigint").parquet(path).drop("stream", "batch")
 
 
 def stream_index(
@@ -28,12 +30,14 @@ def stream_index(
 ) -> StreamingQuery:
     """Append a stream of changes, drafts left out, to the log at ``path``.
 
-    Each micro-batch owns a folder and replaces it when replayed, so a restart
-    adds nothing twice.
+    Each micro-batch of each stream owns a folder and replaces it when replayed,
+    so a restart adds nothing twice, and several streams can share a log.  A
+    stream is known by its checkpoint.
     """
+    stream = hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/stream={stream}/batch={batch_id}")
 
     return (
         without_drafts(changes)

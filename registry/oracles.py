@@ -52,7 +52,7 @@ def _value(v) -> str:
     return str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
 
 
-def hits(clauses=None, clause_sql=None, boosts=None, scope=None, k=10_000) -> str:
+def hits(clauses=None, clause_sql=None, boosts=None, scope=None, k=None) -> str:
     """Hits of compiled clauses ``(query_id, site, ord, occur, kind, field, text)``."""
     if clause_sql is None:
         rows = ", ".join("(" + ", ".join(_value(v) for v in row) + ")" for row in clauses)
@@ -72,7 +72,7 @@ WITH {tokenised(ALL_KW)}, {STATS},
 raw AS ({clause_sql}),
 c AS (
   SELECT *, row_number() OVER () AS cid FROM (
-    SELECT query_id, site, ord, occur, kind, field AS only_field, trim(text) AS text,
+    SELECT query_id, site, ord, occur, kind, field AS only_field, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(13)) AS text,
       regexp_extract_all(lower(text), '{PATTERN}') AS toks FROM raw)
   WHERE CASE WHEN kind IN ('term', 'phrase') THEN len(toks) > 0 ELSE text <> '' END
     AND site IN (SELECT site FROM kw)
@@ -153,7 +153,7 @@ ranked AS (
 )
 SELECT CAST(query_id AS INTEGER) AS query_id, id, CAST(score AS DOUBLE) AS score,
   CAST(rank AS INTEGER) AS rank
-FROM ranked WHERE rank <= {k}
+FROM ranked WHERE {"true" if k is None else f"rank <= {k}"}
 """
 
 

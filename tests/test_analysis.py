@@ -93,6 +93,13 @@ def test_names_both_ways(spark):
     }
 
 
+def test_all_digits_of_a_field_id_count(spark):
+    fields = literal_table(spark, FIELDS, [(123456789, "nine", True)])
+    back = map_field(literal_table(spark, "f string", [("field_1234567890",), ("field_123456789",)]), fields, "f", "h")
+    assert {r["f"]: r["h"] for r in back.collect()} == {
+        "field_1234567890": "field not found for ID 1234567890", "field_123456789": "nine"}
+
+
 def test_explained_source(spark):
     fields = literal_table(spark, FIELDS, [(7, "body", True)])
     found = rows_of(explain_source(keywords(spark, ROWS[:3]), fields), "id", "handle", "source", "tokens")

@@ -59,3 +59,8 @@ def test_prefix_is_put_before_field_names(spark):
     terms = query_terms(spark, term(1, 0, "x", attribute="body"), term(1, 1, "x", attribute="title"))
     rows = build_clauses(terms, fields, prefix="p_").collect()
     assert {r["field"] for r in rows} == {"p_field_7", "p_attribute_title"}
+
+
+def test_all_white_space_is_trimmed(spark):
+    built = build_clauses(query_terms(spark, term(1, 0, "\t wid\x0b\r\n\0")))
+    assert [r["text"] for r in built.collect()] == ["wid"]

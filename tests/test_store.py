@@ -155,3 +155,12 @@ def test_purge_and_drop_delete_what_is_not_served(spark):
     assert ask(store, "red", "a b/c") == [1] and ask(store, "red", "d") == [1]
     assert store.drop_site("b") == [("b", 2)] and store.drop_site("nosite") == []
     assert rows_of(store.published(), "site") == [("a b/c",), ("d",)]
+
+
+def test_buckets_are_those_the_version_was_written_with(spark):
+    rows = [("a", n, "attribute_t", f"word{n} common") for n in range(20)]
+    store = IndexStore(spark, fresh_dir(spark, "reopened"), n_buckets=7)
+    store.write_version(keywords(spark, rows), 1, publish=False)
+    again = IndexStore(spark, store.root)
+    again.publish_version(1)
+    assert search(again.index(), query_terms(spark, term(1, 0, "common"))).count() == 20

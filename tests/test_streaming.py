@@ -59,3 +59,12 @@ def test_log_applied_to_documents(spark):
                          [("a", 1, "h", "old"), ("a", 4, "f", "old"), ("b", 1, "f", "other")])
     found = apply_log(base, changes(spark, *FIRST, *SECOND).where("not is_draft"))
     assert rows_of(found, *COLUMNS) == sorted([*LEFT, ("b", 1, "f", "other")])
+
+
+def test_two_streams_share_a_log(spark):
+    log = fresh_dir(spark, "log")
+    for n, row in enumerate([("a", 1, "upsert", 1, 1, False, "f", "one"), ("a", 2, "upsert", 1, 2, False, "f", "two")]):
+        source = fresh_dir(spark, "source")
+        changes(spark, row).write.parquet(source)
+        stream_index(spark.readStream.schema(CHANGES).parquet(source), log, fresh_dir(spark, f"state{n}")).awaitTermination()
+    assert rows_of(change_log(spark, log), "id", "text") == [(1, "one"), (2, "two")]
