@@ -16,6 +16,7 @@ from lexigrid.model import Analyzer
 from lexigrid.operators.postings import term_bucket
 
 _WILDCARDS = ("prefix", "suffix", "contains")
+_GRAM = 3  # characters of a pattern that are joined; the rest is verified
 
 
 @dataclass(frozen=True)
@@ -31,13 +32,14 @@ class Needs:
 def asked_terms(clauses: DataFrame, published: DataFrame, analyzer: Analyzer = STANDARD) -> DataFrame:
     """One row per token of each term or phrase clause, and per wildcard pattern.
 
-    Clauses with nothing to match are dropped, and the rest counted per query
-    (``n_must``, ``n_should``).  ``version`` and ``bucket`` say where to look;
+    Clauses with nothing to match are dropped, and the rest numbered (``clause``)
+    and counted (``n_must``, ``n_should``) per query and site.  ``version`` and ``bucket`` say where to look;
     a query whose site serves no index disappears.
     """
     is_wild = F.col("kind").isin(*_WILDCARDS)
     pattern = F.lower("text") if analyzer.lowercase else F.col("text")
-    per_query = Window.partitionBy("query_id")
+    per_query = Window.partitionBy("query_id", "site")
+    in_order = per_query.orderBy("ord", "occur", "kind", "field", "text")
 
     def count(occur):
         return F.count(F.when(F.col("occur") == occur, 1)).over(per_query)
@@ -50,11 +52,12 @@ def asked_terms(clauses: DataFrame, published: DataFrame, analyzer: Analyzer = S
         clauses.withColumn("_pieces", pieces)
         .where(F.size("_pieces") > 0)
         .withColumn("n_tokens", F.size("_pieces"))
+        .withColumn("clause", F.row_number().over(in_order))
         .withColumn("n_must", count("must"))
         .withColumn("n_should", count("should"))
         .join(published, "site")
         .select(
-            "query_id", "site", "version", "n_buckets", "ord", "occur", "kind",
+            "query_id", "site", "version", "n_buckets", "clause", "occur", "kind",
             F.col("field").alias("only_field"), "n_tokens", "n_must", "n_should",
             F.posexplode("_pieces").alias("offset", "term"),
         )
@@ -101,20 +104,21 @@ def exact_lookups(asked: DataFrame, term_stats: DataFrame, field_stats: DataFram
 def wildcard_lookups(asked: DataFrame, term_stats: DataFrame) -> DataFrame:
     """The vocabulary terms each wildcard clause matches, per field.
 
-    An equi-join, so it needs neither a nested loop nor a broadcast: the
-    pieces of each vocabulary term that could equal a pattern (its prefixes,
-    suffixes or substrings of the lengths some pattern of the site has) are
-    joined with the patterns by hash.
+    An equi-join on at most three characters, then a comparison, so it needs
+    neither a nested loop nor a broadcast, and a term gives no more rows than
+    three times its length.  Those rows name their term by its hash; the few
+    that meet a pattern's characters fetch the term itself and are verified.
     """
     patterns = (
         asked.where(F.col("kind").isin(*_WILDCARDS))
         .withColumnRenamed("term", "pattern")
+        .withColumn("gram", F.when(F.col("kind") == "suffix", F.right("pattern", F.lit(_GRAM))).otherwise(F.left("pattern", F.lit(_GRAM))))
         .drop("bucket")
     )
-    # one row per site; as many lengths as patterns have, however many patterns
+    # one row per site; at most _GRAM lengths per kind, however many patterns
     lengths = patterns.groupBy("site", "version").agg(
         *[
-            F.collect_set(F.when(F.col("kind") == kind, F.length("pattern"))).alias(f"_{kind}")
+            F.collect_set(F.when(F.col("kind") == kind, F.length("gram"))).alias(f"_{kind}")
             for kind in _WILDCARDS
         ]
     )
@@ -123,35 +127,46 @@ def wildcard_lookups(asked: DataFrame, term_stats: DataFrame) -> DataFrame:
     def fits(name):
         return F.filter(name, lambda n: n <= F.length(term))
 
-    starts = F.transform(fits("_prefix"), lambda n: _piece("prefix", F.substr(term, F.lit(1), n)))
+    starts = F.transform(fits("_prefix"), lambda n: _gram("prefix", F.substr(term, F.lit(1), n)))
     ends = F.transform(
-        fits("_suffix"), lambda n: _piece("suffix", F.substr(term, F.length(term) - n + 1, n))
+        fits("_suffix"), lambda n: _gram("suffix", F.substr(term, F.length(term) - n + 1, n))
     )
     inside = F.flatten(
         F.transform(
             fits("_contains"),
             lambda n: F.transform(
                 F.sequence(F.lit(1), F.length(term) - n + 1),
-                lambda i: _piece("contains", F.substr(term, i, n)),
+                lambda i: _gram("contains", F.substr(term, i, n)),
             ),
         )
     )
-    pieces = term_stats.join(lengths, ["site", "version"]).select(
-        "site", "version", "bucket", "field", "term", "df",
-        F.inline(F.array_distinct(F.concat(starts, ends, inside))),
+    grams = term_stats.join(lengths, ["site", "version"]).select(
+        "site", "version", "bucket", "field", F.xxhash64("term").alias("_hash"),
+        F.array_distinct(F.concat(starts, ends, inside)).alias("_grams"),
+    )
+    near = (
+        grams.select("site", "version", "bucket", "field", "_hash", F.inline("_grams"))
+        .join(patterns, ["site", "version", "kind", "gram"])
+        .where(_in_field())
+    )
+    matches = (
+        F.when(F.col("kind") == "prefix", term.startswith(F.col("pattern")))
+        .when(F.col("kind") == "suffix", term.endswith(F.col("pattern")))
+        .otherwise(term.contains(F.col("pattern")))
     )
     no = F.lit(None).cast("double")
     return (
-        pieces.join(patterns, ["site", "version", "kind", "pattern"])
-        .where(_in_field())
-        .drop("pattern")
+        term_stats.withColumn("_hash", F.xxhash64("term"))
+        .join(near, ["site", "version", "bucket", "field", "_hash"])
+        .where(matches)
+        .drop("pattern", "gram", "_hash")
         .withColumn("idf", no)
         .withColumn("avgdl", no)
     )
 
 
-def _piece(kind: str, text: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), text.alias("pattern"))
+def _gram(kind: str, text: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), text.alias("gram"))
 
 
 def with_boosts(lookups: DataFrame, boosts: DataFrame | None) -> DataFrame:

@@ -11,10 +11,11 @@ from lexigrid.session import written
 
 _POSTING_KEY = ["site", "version", "bucket", "field", "term"]
 _WANTED = (
-    *_POSTING_KEY, "query_id", "ord", "occur", "n_must", "n_should", "idf", "avgdl", "boost"
+    *_POSTING_KEY, "query_id", "clause", "occur", "n_must", "n_should", "idf", "avgdl", "boost"
 )
-_DOCUMENT = ["query_id", "ord", "field", "id"]
-_PARTS = ("query_id", "id", "ord", "field", "occur", "n_must", "n_should", "added", "flat")
+_CLAUSE = ["query_id", "site", "clause", "field"]
+_DOCUMENT = [*_CLAUSE, "id"]
+_PARTS = ("query_id", "site", "id", "clause", "field", "occur", "n_must", "n_should", "added", "flat")
 
 
 def _saturated(tf: Column, bm25: Bm25) -> Column:
@@ -41,7 +42,7 @@ def term_matches(postings: DataFrame, lookups: DataFrame, bm25: Bm25) -> DataFra
 
 def phrase_lookups(lookups: DataFrame) -> DataFrame:
     """Lookups of phrases whose every token occurs in the field, numbered rarest first."""
-    clause = Window.partitionBy("query_id", "ord", "site", "version", "field")
+    clause = Window.partitionBy(*_CLAUSE)
     return (
         lookups.where(F.col("kind") == "phrase")
         .withColumn("_found", F.count(F.lit(1)).over(clause))
@@ -56,24 +57,28 @@ def phrase_candidates(postings: DataFrame, wanted: DataFrame) -> DataFrame:
     rarest = wanted.where(F.col("_nth") == 1)
     return (
         postings.select(*_POSTING_KEY, "id")
-        .join(rarest.select(*_POSTING_KEY, "query_id", "ord"), _POSTING_KEY)
+        .join(rarest.select(*_POSTING_KEY, "query_id", "clause"), _POSTING_KEY)
         .select(*_DOCUMENT)
     )
 
 
-def phrase_matches(
-    postings: DataFrame, wanted: DataFrame, candidates: DataFrame, bm25: Bm25
-) -> DataFrame:
+def phrase_postings(candidates: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The key of each posting a candidate must have: candidates times tokens, whatever the words."""
+    return candidates.join(wanted, _CLAUSE).select(*_WANTED, "id", "offset", "n_tokens")
+
+
+def phrase_matches(postings: DataFrame, needed: DataFrame, bm25: Bm25) -> DataFrame:
     """Candidates holding a phrase's tokens at consecutive positions of one field.
 
+    A needed key meets at most one posting, so a common word costs no more
+    than a rare one; the filter on it lets Spark prune the buckets read.
     A group is one document's field, so its arrays are bounded by its own
     text.  A phrase's start positions are what is left when every token's
     positions, moved back by its place in the phrase, are intersected.
     """
     gathered = (
         postings.select(*_POSTING_KEY, "id", "dl", "positions")
-        .join(wanted, _POSTING_KEY)
-        .join(candidates, _DOCUMENT, "left_semi")
+        .join(needed.where(F.col("offset") >= 0), [*_POSTING_KEY, "id"])
         .withColumn("starts", F.transform("positions", lambda p: p - F.col("offset")))
         .groupBy(*_DOCUMENT)
         .agg(
@@ -104,11 +109,11 @@ def everything_else(asked: DataFrame, keywords: DataFrame) -> DataFrame:
         .distinct()
     )
     none = F.lit(None)
+    documents = keywords.join(negative, ["site", "version"], "left_semi").select("site", "version", "id").distinct()
     return (
-        keywords.select("site", "version", "id")
-        .join(negative, ["site", "version"])
+        documents.join(negative, ["site", "version"])
         .select(
-            "query_id", "id", none.cast("int").alias("ord"), none.cast("string").alias("field"),
+            "query_id", "site", "id", none.cast("int").alias("clause"), none.cast("string").alias("field"),
             F.lit("any").alias("occur"), F.lit(0).cast("bigint").alias("n_must"),
             F.lit(0).cast("bigint").alias("n_should"), none.cast("double").alias("added"),
             none.cast("double").alias("flat"),
@@ -128,19 +133,19 @@ def spread(parts: DataFrame, n_spread: int) -> DataFrame:
 
 
 def score_documents(parts: DataFrame) -> DataFrame:
-    """``(query_id, slot, id, score)`` of the documents each query accepts.
+    """``(query_id, slot, site, id, score)`` of the documents each query accepts.
 
     Tokens of a clause add up within a field; a clause counts its best field;
     a document sums its clauses.  It is accepted if it matches every must, no
     must_not and, where there is no must, at least one should.
     """
-    query = ["query_id", "slot", "id"]
+    query = ["query_id", "slot", "site", "id"]
     counts = ("n_must", "n_should")
-    per_field = parts.groupBy(*query, "ord", "field", "occur").agg(
+    per_field = parts.groupBy(*query, "clause", "field", "occur").agg(
         (F.coalesce(F.sum("added"), F.lit(0.0)) + F.coalesce(F.max("flat"), F.lit(0.0))).alias("part"),
         *[F.max(c).alias(c) for c in counts],
     )
-    per_clause = per_field.groupBy(*query, "ord", "occur").agg(
+    per_clause = per_field.groupBy(*query, "clause", "occur").agg(
         F.max("part").alias("part"), *[F.max(c).alias(c) for c in counts]
     )
 
@@ -164,18 +169,18 @@ def score_documents(parts: DataFrame) -> DataFrame:
 
 
 def top_k(scored: DataFrame, k: int | None) -> DataFrame:
-    """``(query_id, id, score, rank)``: each query's best ``k``, ties by id.
+    """``(query_id, site, id, score, rank)``: each query's best ``k``, ties by id, then site.
 
     First within each slot, where the rows already are, then over the at most
     ``slots * k`` rows left.  With ``k=None`` every hit is ranked.
     """
     if k is None:
         return _rank_all(scored)
-    best = [F.desc("score"), F.asc("id")]
+    best = [F.desc("score"), F.asc("id"), F.asc("site")]
     in_slot = Window.partitionBy("query_id", "slot").orderBy(*best)
     scored = scored.withColumn("_nth", F.row_number().over(in_slot)).where(F.col("_nth") <= k)
     ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*best)))
-    return ranked.where(F.col("rank") <= k).select("query_id", "id", "score", "rank")
+    return ranked.where(F.col("rank") <= k).select("query_id", "site", "id", "score", "rank")
 
 
 def _rank_all(scored: DataFrame) -> DataFrame:
@@ -184,8 +189,8 @@ def _rank_all(scored: DataFrame) -> DataFrame:
     Hits are dealt in ranges of the final order and written with the range's
     number; a rank is the place in the range plus the query's hits in the ranges before.
     """
-    best = [F.desc("score"), F.asc("id")]
-    dealt = scored.select("query_id", "id", "score").repartitionByRange("query_id", *best)
+    best = [F.desc("score"), F.asc("id"), F.asc("site")]
+    dealt = scored.select("query_id", "site", "id", "score").repartitionByRange("query_id", *best)
     dealt = written(dealt.withColumn("_part", F.spark_partition_id()), "hits")
     earlier = Window.partitionBy("query_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = dealt.groupBy("query_id", "_part").agg(F.count("*").alias("_n"))
@@ -193,5 +198,5 @@ def _rank_all(scored: DataFrame) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("query_id", "_part").orderBy(*best))
     return (
         dealt.withColumn("_nth", nth).join(before, ["query_id", "_part"])
-        .select("query_id", "id", "score", (F.col("_nth") + F.col("_before")).cast("int").alias("rank"))
+        .select("query_id", "site", "id", "score", (F.col("_nth") + F.col("_before")).cast("int").alias("rank"))
     )

@@ -25,6 +25,7 @@ from lexigrid.operators.matching import (
     phrase_candidates,
     phrase_lookups,
     phrase_matches,
+    phrase_postings,
     score_documents,
     spread,
     term_matches,
@@ -49,11 +50,14 @@ def search(
     prefix: str = "",
     n_spread: int | None = None,
 ) -> DataFrame:
-    """Answer every query of ``query_terms`` as ``(query_id, id, score, rank)``.
+    """Answer every query of ``query_terms`` as ``(query_id, site, id, score, rank)``.
+
+    A query over several sites is answered in each by its clauses for that site,
+    and ranks their hits together.
 
     The small sides are resolved at once: the asked terms, then the indexed
-    terms they match, then the candidates of phrases are written to the shared
-    folder.  Their true sizes are then known when Spark plans the joins with
+    terms they match, then the postings that candidates of phrases need are
+    written to the shared folder.  Their true sizes are then known when Spark plans the joins with
     postings: small ones are broadcast and prune the buckets read, large ones
     are shuffled.  The pass over postings itself runs when the result is used, or
     with ``k=None`` at once: all hits are written in their order before they are numbered.
@@ -112,8 +116,9 @@ def search_clauses(
         matches.append(restrict(term_matches(postings, lookups, bm25)))
     if needs.phrase:
         wanted = phrase_lookups(lookups)
-        candidates = written(restrict(phrase_candidates(postings, wanted)), "candidates")
-        matches.append(phrase_matches(postings, wanted, candidates, bm25))
+        candidates = restrict(phrase_candidates(postings, wanted))
+        needed = written(phrase_postings(candidates, wanted), "candidates")
+        matches.append(phrase_matches(postings, needed, bm25))
     if needs.everything:
         matches.append(restrict(everything_else(asked, index.keywords)))
     return top_k(score_documents(spread(_union(matches), n_spread)), k)

@@ -78,8 +78,8 @@ c AS (
     AND site IN (SELECT site FROM kw)
 ),
 q AS (
-  SELECT query_id, any_value(site) AS site, count(*) FILTER (occur = 'must') AS n_must,
-    count(*) FILTER (occur = 'should') AS n_should FROM c GROUP BY query_id
+  SELECT query_id, site, count(*) FILTER (occur = 'must') AS n_must,
+    count(*) FILTER (occur = 'should') AS n_should FROM c GROUP BY query_id, site
 ),
 ct AS (
   SELECT cid, query_id, site, ord, occur, kind, only_field, len(toks) AS n_tokens,
@@ -132,26 +132,26 @@ per_clause AS (
   SELECT m.cid, m.query_id, m.id, max(m.s * {boost}) AS s FROM m GROUP BY m.cid, m.query_id, m.id
 ),
 found AS (
-  SELECT p.query_id, p.id, coalesce(sum(p.s) FILTER (c.occur <> 'must_not'), 0.0) AS score,
+  SELECT p.query_id, c.site, p.id, coalesce(sum(p.s) FILTER (c.occur <> 'must_not'), 0.0) AS score,
     count(*) FILTER (c.occur = 'must') AS must_hits,
     count(*) FILTER (c.occur = 'must_not') AS not_hits,
     count(*) FILTER (c.occur = 'should') AS should_hits
-  FROM per_clause p JOIN c ON c.cid = p.cid GROUP BY p.query_id, p.id
+  FROM per_clause p JOIN c ON c.cid = p.cid GROUP BY p.query_id, c.site, p.id
 ){scope_cte},
 accepted AS (
-  SELECT f.query_id, f.id, round(f.score, 6) AS score FROM found f JOIN q ON q.query_id = f.query_id
+  SELECT f.query_id, f.site, f.id, round(f.score, 6) AS score FROM found f JOIN q ON q.query_id = f.query_id AND q.site = f.site
   WHERE not_hits = 0 AND must_hits = n_must AND (n_must > 0 OR should_hits > 0)
   UNION ALL
-  SELECT DISTINCT q.query_id, kw.id, 0.0 FROM q JOIN kw ON kw.site = q.site
+  SELECT DISTINCT q.query_id, q.site, kw.id, 0.0 FROM q JOIN kw ON kw.site = q.site
   WHERE n_must = 0 AND n_should = 0
-    AND (q.query_id, kw.id) NOT IN (SELECT (query_id, id) FROM found WHERE not_hits > 0)
+    AND (q.query_id, q.site, kw.id) NOT IN (SELECT (query_id, site, id) FROM found WHERE not_hits > 0)
 ),
 ranked AS (
-  SELECT query_id, id, score,
-    row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank
+  SELECT query_id, site, id, score,
+    row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id, site) AS rank
   FROM accepted WHERE {inside}
 )
-SELECT CAST(query_id AS INTEGER) AS query_id, id, CAST(score AS DOUBLE) AS score,
+SELECT CAST(query_id AS INTEGER) AS query_id, site, id, CAST(score AS DOUBLE) AS score,
   CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE {"true" if k is None else f"rank <= {k}"}
 """
@@ -211,6 +211,8 @@ SEARCH = {
         must_not(1, 3, "tion", kind="prefix"), should(2, 0, "of the"), must_not(2, 1, "and"),
         must(3, 0, "large", "catalog", KIND), must(3, 1, "wid", "catalog", TITLE, "prefix"),
         should(3, 2, "red widget", "catalog"), must(4, 0, "nosuchterm"), must(4, 1, "the"),
+        must(5, 0, "the"), must(5, 0, "red", "catalog"), must(6, 0, "red", "catalog"), must(6, 0, "bolt", "catalog"),
+        must_not(7, 0, "red", "catalog"), must(7, 0, "with"),
     ]),
     "search_scoped": hits(
         [must(1, 0, "the"), must(2, 0, "the"), must_not(3, 0, "the"), should(4, 0, "of the")],

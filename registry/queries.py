@@ -75,6 +75,9 @@ TERMS = {
         term(3, 0, "large", "catalog", "kind"), term(3, 1, "wid", "catalog", "title", sub_right=True),
         term(3, 2, "red widget", "catalog", phrase=True),
         term(4, 0, "nosuchterm"), term(4, 1, "the"),
+        # clauses that share a number, and queries over two sites with equal IDs
+        term(5, 0, "the"), term(5, 0, "red", "catalog"), term(6, 0, "red", "catalog"), term(6, 0, "bolt", "catalog"),
+        term(7, 0, "red", "catalog", exclude=True), term(7, 0, "with"),
     ],
     "search_scoped": [
         term(1, 0, "the"), term(2, 0, "the"), term(3, 0, "the", exclude=True),

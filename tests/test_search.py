@@ -137,7 +137,7 @@ def test_hook_changes_the_clauses(spark, rows, index):
 
 def test_only_empty_queries_give_no_rows_and_a_stable_schema(spark, index):
     hits = search(index, terms_of(spark, [14]))
-    assert hits.columns == ["query_id", "id", "score", "rank"] and hits.count() == 0
+    assert hits.columns == ["query_id", "site", "id", "score", "rank"] and hits.count() == 0
 
 
 def test_postings_join_is_pruned_and_never_nested(spark, index):
@@ -161,3 +161,38 @@ def test_results_do_not_depend_on_broadcasts(spark, rows, index):
         same_hits(hits_of(search(index, terms_of(spark))), expected(rows))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_clauses_may_share_a_number_and_a_query_its_sites(spark, rows, index):
+    both = query_terms(spark, term(1, 0, "red"), term(1, 0, "bolt"))
+    apart = query_terms(spark, term(1, 0, "red"), term(1, 1, "bolt"))
+    assert hits_of(search(index, both)) == hits_of(search(index, apart))
+    sites = query_terms(spark, term(1, 0, "red"), term(1, 0, "red", "b"))
+    found = {(r["site"], r["id"], r["score"]) for r in search(index, sites).collect()}
+    wanted = {(s, i, v) for s in "ab" for i, v in brute_search([r for r in rows if r[0] == s], [("must", "term", None, "red")])}
+    assert {x[:2] for x in found} == {x[:2] for x in wanted}
+
+
+def test_common_words_of_phrases_meet_only_candidates(spark, index):
+    from lexigrid.operators.clauses import build_clauses
+    from lexigrid.operators.lookups import asked_terms, exact_lookups, with_boosts
+    from lexigrid.operators.matching import phrase_candidates, phrase_lookups, phrase_postings
+
+    clauses = build_clauses(query_terms(spark, term(1, 0, "the the red", phrase=True), term(2, 0, "the b2", phrase=True)))
+    lookups = with_boosts(exact_lookups(asked_terms(clauses, index.published), index.term_stats, index.field_stats), None)
+    wanted = phrase_lookups(lookups)
+    candidates = phrase_candidates(index.postings, wanted)
+    needed = phrase_postings(candidates, wanted)
+    key = ["site", "version", "bucket", "field", "term", "id"]
+    assert index.postings.join(needed, key).count() <= needed.count() <= 3 * candidates.count()
+
+
+def test_very_long_terms_under_wildcards(spark):
+    long = "x" * 25_000 + "needle" + "y" * 25_000
+    index = stored(spark, [("a", 1, "f", long), ("a", 2, "f", "needles"), ("a", 3, "f", "ab")]).index()
+    terms = query_terms(
+        spark, term(1, 0, "xneed", sub_left=True, sub_right=True), term(2, 0, "x" * 100, sub_right=True),
+        term(3, 0, "yy", sub_left=True), term(4, 0, "b", sub_left=True, sub_right=True), term(5, 0, "needle", sub_right=True),
+    )
+    found = {q: [i for i, _ in hits] for q, hits in hits_of(search(index, terms)).items()}
+    assert found == {1: [1], 2: [1], 3: [1], 4: [3], 5: [2]}
