@@ -1,8 +1,9 @@
 """Jobs that change a stored index.
 
 Each writes a whole new version and publishes it last.  Postings of documents
-that did not change are copied, not computed again: they are read bucket by
-bucket and written to the same buckets, without a shuffle.
+that did not change are copied, not computed again: where the changed documents
+are few enough to broadcast, the others are read bucket by bucket and written to
+the same buckets, without a shuffle.
 """
 
 from __future__ import annotations
@@ -16,9 +17,12 @@ from lexigrid.functions.analysis import STANDARD
 from lexigrid.model import Analyzer
 from lexigrid.operators import upkeep
 from lexigrid.operators.postings import posting_rows, term_bucket
-from lexigrid.session import written
+from lexigrid.session import literal_table, written
 from lexigrid.sources.store import IndexStore
-from lexigrid.streaming.changes import apply_log, newest_changes
+from lexigrid.streaming.changes import newest_changes
+
+# document keys that are broadcast at most: below 100 MB with the site's name
+_BROADCAST_KEYS = 1_000_000
 
 
 def _served(store: IndexStore, name: str, site: str | None = None) -> DataFrame:
@@ -72,30 +76,90 @@ def compact(
     only the changed documents are analysed and shuffled.  A site named first
     here is created; one left without documents serves an empty index.
 
+    The store remembers each document's last applied change, so running over
+    the whole log again applies only newer ones: a full reload in between is
+    not undone by changes from before it.
+
     Each run adds small files for the changed postings.  ``merge_files``
     shuffles all postings of the touched sites together again; use it now and
     then.
     """
-    sites = log.select("site").distinct()
-    keywords = _served(store, "keywords").join(sites, "site", "left_semi")
-    store.write_keywords(apply_log(keywords.select("site", "id", "field", "text"), log), version)
-
-    touched = log.select("site", "id").distinct()
-    kept = (
-        _served(store, "postings")
-        .join(sites, "site", "left_semi")
-        .join(touched, ["site", "id"], "left_anti")
-    )
-    changed = newest_changes(log).where(F.col("op") != "delete")
-    changed = changed.withColumn("version", F.lit(version).cast("bigint"))
-    added = posting_rows(changed, analyzer)
+    fresh = written(_unapplied(newest_changes(log), store), "changes")
+    touched = written(fresh.select("site", "id", "ts", "seq").distinct(), "touched")
+    if touched.isEmpty():
+        return
+    changed = fresh.where(F.col("op") != "delete").select("site", "id", "field", "text")
+    _replace(store, touched.select("site", "id"), changed, version, analyzer, merge_files)
+    store.record_applied(touched, version)
+
+
+def bulk_delete(store: IndexStore, ids: DataFrame, version: int, analyzer: Analyzer = STANDARD) -> None:
+    """Remove documents ``(site, id)`` from what is stored and found, as one new version of their sites.
+
+    Unknown documents are no error; sites without a document to remove keep their version.
+    """
+    indexed = upkeep.indexed_ids(_served(store, "keywords"))
+    gone = written(indexed.join(ids.select("site", "id").distinct(), ["site", "id"], "left_semi"), "removed")
+    if not gone.isEmpty():
+        _replace(store, gone, None, version, analyzer)
+
+
+def delete(store: IndexStore, doc_id: int, site: str, version: int) -> None:
+    """Remove one document of one site."""
+    bulk_delete(store, literal_table(store.spark, "site string, id bigint", [(site, doc_id)]), version)
+
+
+def purge_orphans(store: IndexStore, live: DataFrame, version: int) -> None:
+    """Remove the documents of all sites whose ID is live nowhere."""
+    gone = written(upkeep.orphan_ids(_served(store, "keywords"), live), "removed")
+    if not gone.isEmpty():
+        _replace(store, gone, None, version)
+
+
+def _unapplied(newest: DataFrame, store: IndexStore) -> DataFrame:
+    """Changes later than the last one applied to their document."""
+    last = store.applied().groupBy("site", "id").agg(F.max(F.struct("ts", "seq")).alias("_applied"))
+    rows = newest.join(last, ["site", "id"], "left")
+    later = F.col("_applied").isNull() | (F.struct("ts", "seq") > F.col("_applied"))
+    return rows.where(later).select(*newest.columns)
+
+
+def _replace(
+    store: IndexStore,
+    touched: DataFrame,
+    changed: DataFrame | None,
+    version: int,
+    analyzer: Analyzer = STANDARD,
+    merge_files: bool = False,
+) -> None:
+    """New version of the sites of ``touched(site, id)``, a written table, without those documents but with ``changed``.
+
+    Up to ``_BROADCAST_KEYS`` keys are sent to where the postings are read, which
+    then stay in their buckets; more are joined by shuffle, and the postings
+    brought back together by bucket.  The rows stored are the same.
+    """
+    few = touched.count() <= _BROADCAST_KEYS
+    sites = touched.select("site").distinct()
+    keys = F.broadcast(touched) if few else touched
+    kept_rows = {
+        name: _served(store, name).join(sites, "site", "left_semi").join(keys, ["site", "id"], "left_anti")
+        for name in ("keywords", "postings")
+    }
+    columns = ["site", "id", "field", "text"]
+    documents = kept_rows["keywords"].select(*columns)
+    store.write_keywords(documents if changed is None else documents.unionByName(changed.select(*columns)), version)
+
+    kept, added = kept_rows["postings"], None
+    buckets = [r["n_buckets"] for r in store.published().join(sites, "site", "left_semi").select("n_buckets").distinct().collect()]
     bucket = term_bucket("term", store.n_buckets)
-    same_buckets = store.published().where(F.col("n_buckets") != store.n_buckets).isEmpty()
-    if same_buckets and not merge_files:
-        store.write_postings(kept, version, clustered=True, added=added.withColumn("bucket", bucket))
+    if any(n != store.n_buckets for n in buckets):
+        few, kept = False, kept.withColumn("bucket", bucket)
+    if changed is not None:
+        added = posting_rows(changed.withColumn("version", F.lit(version).cast("bigint")), analyzer).withColumn("bucket", bucket)
+    if few and not merge_files:
+        store.write_postings(kept, version, clustered=True, added=added)
     else:
-        both = kept.drop("bucket").unionByName(added)
-        store.write_postings(both.withColumn("bucket", bucket), version)
+        store.write_postings(kept if added is None else kept.unionByName(added), version)
     store.publish(sites.withColumn("version", F.lit(version)))
 
 

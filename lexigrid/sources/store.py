@@ -7,6 +7,7 @@ Layout below the root::
     term_stats/version=V/site=S/bucket=B/  sorted by field, term
     field_stats/version=V/site=S/
     published/seq=N/                       which version each site serves; the last counts
+    applied/version=V/site=S/              the last logged change of each document that V took in
 
 A version is written whole, into its own folders, and never changed.  Writing
 it again (a retried job) replaces those folders.  Readers only see a version
@@ -16,6 +17,7 @@ once its ``published`` rows exist, and those are written last.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +32,7 @@ from lexigrid.session import literal_table
 from lexigrid.sources.elements import select_site
 
 _SCHEMAS = {
-    "keywords": KEYWORDS,
+    "keywords": f"{KEYWORDS}, bytes bigint",
     "postings": (
         "field string, term string, id bigint, tf bigint, dl bigint, head boolean, "
         "positions array<int>, version bigint, site string, bucket int"
@@ -39,6 +41,7 @@ _SCHEMAS = {
     "field_stats": "field string, n_docs bigint, sum_dl bigint, version bigint, site string",
     "published": "site string, version bigint, n_buckets int, seq bigint",
     "layout": "n_buckets int, version bigint",
+    "applied": "id bigint, ts timestamp, seq bigint, version bigint, site string",
 }
 _PARTITIONS = {
     "keywords": ["site"],
@@ -117,7 +120,7 @@ class IndexStore:
     def index(self) -> Index:
         """The stored tables, ready for search; search reads published versions only."""
         return Index(
-            keywords=self.table("keywords"),
+            keywords=self.table("keywords").drop("bytes"),
             postings=self.table("postings"),
             term_stats=self.table("term_stats"),
             field_stats=self.table("field_stats"),
@@ -144,7 +147,8 @@ class IndexStore:
         """Store the documents of one version, where they are: no shuffle."""
         if not self.published().where(F.col("version") == version).isEmpty():
             raise ValueError(f"version {version} is being served; use a new number")
-        self._write("keywords", version, keywords.select("site", "id", "field", "text"), shuffle=False)
+        size = F.octet_length("text").cast("bigint").alias("bytes")  # reports then need no text
+        self._write("keywords", version, keywords.select("site", "id", "field", "text", size), shuffle=False)
 
     def write_postings(
         self,
@@ -185,6 +189,15 @@ class IndexStore:
         )
         self._write_pointers(self._without(new).unionByName(new))
 
+    def applied(self) -> DataFrame:
+        """``(site, id, ts, seq)``: logged changes taken in so far, by any version."""
+        return self.table("applied").select("site", "id", "ts", "seq")
+
+    def record_applied(self, changes: DataFrame, version: int) -> None:
+        """Remember changes ``(site, id, ts, seq)``; after publishing, so that a failed run forgets them."""
+        path = f"{self.root}/applied/version={version}"
+        changes.select("site", "id", "ts", "seq").write.mode("overwrite").partitionBy("site").parquet(path)
+
     def withdraw(self, sites: DataFrame) -> None:
         """Stop serving these sites."""
         self._write_pointers(self._without(sites))
@@ -200,14 +213,15 @@ class IndexStore:
         """Stop serving a site and delete all its versions; returns them."""
         rows = self.table("keywords").where(F.col("site") == site)
         self.withdraw(literal_table(self.spark, "site string", [(site,)]))
+        self._remove(self.table("applied").where(F.col("site") == site), ["applied"])
         return self._remove(rows)
 
-    def _remove(self, rows: DataFrame) -> list[tuple[str, int]]:
+    def _remove(self, rows: DataFrame, tables: Iterable[str] = tuple(_PARTITIONS)) -> list[tuple[str, int]]:
         # on the driver: there are no more names than versions
         names = sorted(tuple(r) for r in rows.select("site", "version").distinct().collect())
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        for name in _PARTITIONS:
+        for name in tables:
             for site, version in names:
                 folder = f"{self.root}/{name}/version={version}/site={escape(site)}"
                 path = jvm.org.apache.hadoop.fs.Path(folder)

@@ -3,7 +3,9 @@ from helpers import hits_of, keywords, query_terms, rows_of, stored, term
 
 from lexigrid import IndexStore, search
 from lexigrid.operators import upkeep
-from lexigrid.plans.jobs import clone_site, compact, fan_out, reindex_site
+from lexigrid.operators import reports
+from lexigrid.plans import jobs
+from lexigrid.plans.jobs import bulk_delete, clone_site, compact, delete, fan_out, purge_orphans, reindex_site
 from lexigrid.session import fresh_dir, literal_table
 from lexigrid.sources import store as store_module
 
@@ -125,7 +127,7 @@ def test_compact_applies_a_log_and_leaves_other_sites(spark):
     assert ask(store, "ring") == [1] and ask(store, "widget") == [] and ask(store, "site", "c") == [4]
     assert rows_of(store.published(), "site", "version") == [("a", 2), ("b", 1), ("c", 2)]
     statistics_agree(store, 2)
-    compact(store, log_of(spark, ("c", 4, "delete", 1, None, None)), 3, merge_files=True)
+    compact(store, log_of(spark, ("c", 4, "delete", 2, None, None)), 3, merge_files=True)
     assert ask(store, "site", "c") == []
 
 
@@ -164,3 +166,65 @@ def test_buckets_are_those_the_version_was_written_with(spark):
     again = IndexStore(spark, store.root)
     again.publish_version(1)
     assert search(again.index(), query_terms(spark, term(1, 0, "common"))).count() == 20
+
+
+def test_a_reload_is_not_undone_by_changes_from_before_it(spark):
+    store = stored(spark, ROWS)
+    log = log_of(spark, ("a", 1, "upsert", 1, "attribute_title", "changed once"), ("b", 1, "delete", 1, None, None))
+    compact(store, log, 2)
+    assert ask(store, "once") == [1] and ask(store, "bolt", "b") == []
+    store.write_version(keywords(spark, ROWS), 3)
+    compact(store, log, 4)
+    assert served(store) == sorted(ROWS) and ask(store, "once") == []
+    later = log.unionByName(log_of(spark, ("a", 1, "upsert", 9, "attribute_title", "changed twice")))
+    compact(store, later, 4)
+    assert ask(store, "twice") == [1] and ask(store, "bolt", "b") == [1]
+    store.drop_site("a")
+    compact(store, later, 5)  # a dropped site forgets what it took in
+    assert served(store) == [("a", 1, "attribute_title", "changed twice"), ROWS[4]]
+
+
+@pytest.mark.parametrize("broadcast_keys", [1_000_000, 0])
+def test_deletes_and_purges_reach_postings_and_statistics(spark, monkeypatch, broadcast_keys):
+    monkeypatch.setattr(jobs, "_BROADCAST_KEYS", broadcast_keys)
+    store = stored(spark, ROWS)
+    ids = "site string, id bigint"
+    bulk_delete(store, literal_table(spark, ids, [("a", 1), ("a", 77), ("z", 1)]), 2)
+    assert ask(store, "red") == [] and ask(store, "widget") == [2] and ask(store, "red", "b") == [1]
+    assert rows_of(store.published(), "site", "version") == [("a", 2), ("b", 1)]
+    statistics_agree(store, 2)
+    bulk_delete(store, literal_table(spark, ids, [("a", 77)]), 3)
+    assert rows_of(store.published(), "site", "version") == [("a", 2), ("b", 1)]
+    delete(store, 2, "a", 3)
+    assert ask(store, "widget") == []
+    purge_orphans(store, literal_table(spark, "id bigint", [(3,), (8,)]), 4)
+    assert served(store) == [("a", 3, "attribute_title", "")] and ask(store, "bolt", "b") == []
+    purge_orphans(store, literal_table(spark, "id bigint", [(3,)]), 5)
+    assert rows_of(store.published(), "site", "version") == [("a", 3), ("b", 4)]
+
+
+def test_files_do_not_grow_with_shuffle_partitions(spark, monkeypatch):
+    rows = [("a", n, "attribute_t", f"word{n} common word{n % 7}") for n in range(200)]
+    log = log_of(spark, *[("a", n, "upsert", 1, "attribute_t", f"new{n}") for n in range(100)])
+    monkeypatch.setattr(jobs, "_BROADCAST_KEYS", 0)
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        store = stored(spark, rows, n_buckets=8)
+        compact(store, log, 2)
+        files = store.version("postings", 2).select("_metadata.file_path").distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert files <= 2 * 8
+    statistics_agree(store, 2)
+
+
+def test_reports_of_a_stored_index_read_no_text(spark):
+    store = stored(spark, ROWS)
+    found = reports.index_stats(store.table("keywords"), store.published())
+    assert rows_of(found) == [("a", 1, 3, 29), ("b", 1, 1, 8)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan
