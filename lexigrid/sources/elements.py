@@ -52,7 +52,13 @@ def full_worklist(
 
 def updated_since(elements: DataFrame, start: datetime | str) -> DataFrame:
     """``(id, type)`` of everything updated at or after ``start``, drafts included."""
-    return elements.where(F.col("date_updated") >= F.lit(start).cast("timestamp")).select("id", "type")
+    return elements.where(F.col("date_updated") >= _moment(start)).select("id", "type")
+
+
+def _moment(value: datetime | str) -> Column:
+    """A point in time; anything else is an error, not an empty worklist."""
+    moment = value if isinstance(value, datetime) else datetime.fromisoformat(value)
+    return F.lit(moment).cast("timestamp") if value is moment else F.lit(value).cast("timestamp")
 
 
 def hydrate(elements: DataFrame, worklist: DataFrame, site: str | None = ALL_SITES) -> DataFrame:
@@ -69,7 +75,7 @@ def catch_up(
     elements: DataFrame, last_switch: datetime | str, site: str | None = ALL_SITES
 ) -> DataFrame:
     """Elements to index again after a time in which only the other index was kept."""
-    changed = elements.where(F.col("date_updated") >= F.lit(last_switch).cast("timestamp"))
+    changed = elements.where(F.col("date_updated") >= _moment(last_switch))
     return select_site(changed, site)
 
 

@@ -54,13 +54,18 @@ def store(spark: SparkSession, sf_dir: str) -> IndexStore:
     """The stored index over all documents and parts, built on first use in a session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stores:
-        buckets = buckets_for(spark, f"{sf_dir}/documents.parquet", f"{sf_dir}/part.parquet")
-        made = IndexStore(spark, fresh_dir(spark, "index"), buckets)
-        made.write_version(all_keywords(spark, sf_dir), version=1)
-        _stores[key] = made
+        _stores[key] = new_store(spark, sf_dir)
     return _stores[key]
 
 
+def new_store(spark: SparkSession, sf_dir: str) -> IndexStore:
+    """A store of its own, for jobs that change it."""
+    buckets = buckets_for(spark, f"{sf_dir}/documents.parquet", f"{sf_dir}/part.parquet")
+    made = IndexStore(spark, fresh_dir(spark, "index"), buckets)
+    made.write_version(all_keywords(spark, sf_dir), version=1)
+    return made
+
+
 def index(spark: SparkSession, sf_dir: str) -> Index:
     return store(spark, sf_dir).index()
 

@@ -52,7 +52,7 @@ def _value(v) -> str:
     return str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
 
 
-def hits(clauses=None, clause_sql=None, boosts=None, scope=None, k=None) -> str:
+def hits(clauses=None, clause_sql=None, boosts=None, scope=None, k=None, keywords=ALL_KW, scope_only=False) -> str:
     """Hits of compiled clauses ``(query_id, site, ord, occur, kind, field, text)``."""
     if clause_sql is None:
         rows = ", ".join("(" + ", ".join(_value(v) for v in row) + ")" for row in clauses)
@@ -67,8 +67,10 @@ def hits(clauses=None, clause_sql=None, boosts=None, scope=None, k=None) -> str:
         scope_cte = f", scope AS ({scope})"
         inside = """(query_id NOT IN (SELECT query_id FROM scope)
           OR (query_id, id) IN (SELECT (query_id, id) FROM scope))"""
+        if scope_only:
+            inside = "(query_id, id) IN (SELECT (query_id, id) FROM scope)"
     return rf"""
-WITH {tokenised(ALL_KW)}, {STATS},
+WITH {tokenised(keywords)}, {STATS},
 raw AS ({clause_sql}),
 c AS (
   SELECT *, row_number() OVER () AS cid FROM (
@@ -302,7 +304,69 @@ FROM t WHERE p_size <> 9"""
 
 HANDLES = "(VALUES (1, 'brand'), (2, 'kind'), (3, 'economy'), (7, 'small')) h(field_id, handle)"
 
+JOB_CLAUSES = [
+    must(1, 0, "the"), must(2, 0, "changed"), must(3, 0, "red", "catalog"), must(4, 0, "die", "de"),
+    should(5, 0, "of the"), must(6, 0, "small", "catalog"), must(7, 0, "with", "copy"),
+]
+UPSERTED = f"""
+  SELECT * FROM ({ALL_KW}) WHERE (site, id) NOT IN (SELECT (site, id) FROM ({CHANGES}))
+  UNION ALL SELECT * FROM ({CHANGES})"""
+
+JOBS = {
+    "compact_search": hits(JOB_CLAUSES, keywords=UPSERTED),
+    "compact_after_reload": ALL_KW,
+    "purge_orphans_search": hits(JOB_CLAUSES, keywords=f"SELECT * FROM ({ALL_KW}) WHERE id IN (SELECT doc_id FROM labels)"),
+    "bulk_delete_search": hits(
+        JOB_CLAUSES,
+        keywords=f"SELECT * FROM ({ALL_KW}) WHERE site = 'catalog' OR id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)",
+    ),
+    "delete_search": hits(JOB_CLAUSES, keywords=f"SELECT * FROM ({ALL_KW}) WHERE site <> 'catalog' OR id <> 7"),
+    "reindex_search": hits(
+        JOB_CLAUSES,
+        keywords=f"SELECT * FROM ({ALL_KW}) WHERE site <> 'catalog' OR field IN ('attribute_title', 'field_1')",
+    ),
+    "clone_search": hits(
+        JOB_CLAUSES, keywords=f"{ALL_KW} UNION ALL SELECT 'copy', id, field, text FROM ({DOC_KW}) WHERE site = 'en'"
+    ),
+    "stored_index_stats": f"""SELECT site, CAST(1 AS BIGINT) AS version, count(DISTINCT id) AS n_docs,
+      CAST(sum(strlen(text)) AS BIGINT) AS n_bytes FROM ({ALL_KW}) GROUP BY site""",
+}
+
+CLAUSES_OPTIONS = r"""
+WITH f AS (
+  SELECT p_partkey, p_type, p_size, p_size < 30 AS has,
+    list_append(string_split(p_name, ' '), replace(p_name, ' ', '-')) AS words FROM part
+), t AS (
+  SELECT *, unnest(words) AS term, CAST(unnest(range(len(words))) AS INTEGER) AS ord,
+    p_type = 'MEDIUM' OR p_size < 10 AS exclude,
+    p_type IN ('LARGE', 'ECONOMY') OR (has AND p_size % 2 = 0) AS sub_left,
+    p_type IN ('SMALL', 'ECONOMY') OR (has AND p_size > 20 AND p_size % 3 = 0) AS sub_right FROM f
+)
+SELECT CAST(p_partkey AS INTEGER) AS query_id, 'catalog' AS site, ord,
+  CASE WHEN p_size = 7 OR contains(term, '-') THEN 'should' WHEN exclude THEN 'must_not' ELSE 'must' END AS occur,
+  CASE WHEN p_size = 7 OR contains(term, '-') THEN 'phrase' WHEN sub_left AND sub_right THEN 'contains'
+       WHEN sub_left THEN 'suffix' WHEN sub_right THEN 'prefix' ELSE 'term' END AS kind,
+  CASE WHEN p_size > 40 THEN 'field_2' END AS field, term AS text
+FROM t WHERE p_size <> 9"""
+
 ORACLES = {
+    **JOBS,
+    "clauses_options": CLAUSES_OPTIONS,
+    "search_scope_only": hits(
+        [must(1, 0, "the"), must(2, 0, "the"), must_not(3, 0, "the"), should(4, 0, "of the")],
+        scope="SELECT unnest([1, 3, 4]) AS query_id, doc_id AS id FROM labels WHERE quality = 1", scope_only=True,
+    ),
+    "prefixed_names": f"""SELECT p_partkey, lower(p_type) AS attribute,
+        coalesce('my_field_' || h.field_id, 'my_attribute_' || lower(p_type)) AS field, lower(p_type) AS handle
+      FROM part LEFT JOIN {HANDLES} ON h.handle = lower(p_type)""",
+    "language_stopwords": f"""WITH {tokenised(DOC_KW)}, left_over AS (
+        SELECT * FROM tok WHERE (site, term) NOT IN (VALUES ('en', 'the'), ('de', 'und'), ('fr', 'les'), ('es', 'los'), ('de', 'dokument')))
+      SELECT site, sum(CASE WHEN term IN ('the', 'und', 'les', 'los') THEN 1 ELSE 0 END)::BIGINT AS n_listed,
+        sum(CASE WHEN term IN ('never', 'catalog') THEN 1 ELSE 0 END)::BIGINT AS n_unlisted FROM left_over GROUP BY site""",
+    "worklist_chosen": "SELECT o_orderkey AS id, o_orderstatus AS type FROM orders WHERE o_orderstatus IN ('O', 'P')",
+    "site_elements": "SELECT o_orderpriority AS site, o_orderkey AS id, o_orderstatus AS type FROM orders WHERE o_orderpriority = '2-HIGH'",
+    "live_ids": "SELECT o_orderkey AS id FROM orders",
+    "delete_document": f"SELECT * FROM ({ALL_KW}) WHERE site <> 'catalog' OR id <> 7",
     "worklist_full": "SELECT o_orderkey AS id, o_orderstatus AS type FROM orders",
     "updated_since": f"SELECT o_orderkey AS id, o_orderstatus AS type FROM orders WHERE o_orderdate >= {SINCE}",
     "hydrate_worklist": f"SELECT site, id, type, price FROM ({ORDERS}) WHERE o_orderdate >= {SINCE}",

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexigrid.functions.analysis import analyze, explain_source, remove_stopwords
+from lexigrid.functions.languages import stopwords
 from lexigrid.functions.names import map_attribute, map_field
 from lexigrid.model import BOOSTS, QUERY_TERMS, SITES, STOPWORDS
 from lexigrid.operators import reports, upkeep
 from lexigrid.operators.clauses import build_clauses
+from lexigrid.plans import jobs
 from lexigrid.plans.jobs import fan_out
 from lexigrid.plans.search import search
 from lexigrid.session import fresh_dir, literal_table
@@ -102,6 +104,11 @@ TERMS = {
         term(2, 0, "widget", "catalog"),
     ],
 }
+# asked of an index that a job has changed
+JOB_TERMS = [
+    term(1, 0, "the"), term(2, 0, "changed"), term(3, 0, "red", "catalog"), term(4, 0, "die", "de"),
+    term(5, 0, "of the", "en", phrase=True), term(6, 0, "small", "catalog"), term(7, 0, "with", "copy"),
+]
 BOOST_ROWS = [("title", 3.0), ("kind", 0.5)]
 STOP_ROWS = [
     ("en", "the"), ("en", "of"), ("en", "and"), ("en", "with"), ("fr", "de"), ("fr", "la"),
@@ -144,6 +151,95 @@ def _search_batch(spark, sf_dir):
     return search(D.index(spark, sf_dir), D.benchmark_terms(spark, sf_dir))
 
 
+def _after(job):
+    """Hits of an index of its own after a job, so that postings and statistics show."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = D.new_store(spark, sf_dir)
+        job(spark, sf_dir, store)
+        return search(store.index(), literal_table(spark, QUERY_TERMS, JOB_TERMS), fields=D.part_fields(spark))
+
+    return run
+
+
+def _change_log(spark, sf_dir):
+    return D.document_changes(spark, sf_dir).withColumns(
+        {"op": F.lit("upsert"), "ts": F.lit("2024-01-01 00:00:00").cast("timestamp"), "seq": F.lit(1).cast("bigint")}
+    )
+
+
+def _bad_documents(spark, sf_dir):
+    bad = D.table(spark, sf_dir, "labels").where(F.col("quality") == 0).select("doc_id")
+    ids = D.table(spark, sf_dir, "documents").join(bad, "doc_id", "left_semi")
+    return ids.select(F.col("lang").alias("site"), F.col("doc_id").alias("id"))
+
+
+def _compact_after_reload(spark, sf_dir):
+    store, log = D.new_store(spark, sf_dir), _change_log(spark, sf_dir)
+    jobs.compact(store, log, 2)
+    store.write_version(D.all_keywords(spark, sf_dir), 3)
+    jobs.compact(store, log, 4)
+    served = store.index()
+    return upkeep.current(served.keywords, served.published).select("site", "id", "field", "text")
+
+
+def _reindex(spark, sf_dir, store):
+    mapping = literal_table(spark, "field string", [("attribute_title",), ("field_1",)])
+    jobs.reindex_site(store, "catalog", mapping, 2)
+
+
+def _stored_index_stats(spark, sf_dir):
+    store = D.store(spark, sf_dir)
+    return reports.index_stats(store.table("keywords"), store.published())
+
+
+def _clauses_options(spark, sf_dir):
+    size = F.col("p_size")
+    options = D.table(spark, sf_dir, "part").where(size < 30).select(
+        F.col("p_partkey").cast("int").alias("query_id"), F.when(size < 10, True).alias("exclude"),
+        (size % 2 == 0).alias("sub_left"), F.when(size > 20, size % 3 == 0).alias("sub_right"),
+    )
+    terms = D.part_terms(spark, sf_dir)
+    for flag in ("exclude", "sub_left", "sub_right"):  # a part's own flag where it is set, else left open
+        terms = terms.withColumn(flag, F.when(F.col(flag), True))
+    return build_clauses(terms, D.part_fields(spark), options)
+
+
+def _prefixed_names(spark, sf_dir):
+    rows = _map_attribute_prefixed(spark, sf_dir)
+    return map_field(rows, _handles(spark), "field", "handle", "my_")
+
+
+def _map_attribute_prefixed(spark, sf_dir):
+    rows = D.table(spark, sf_dir, "part").select("p_partkey", F.lower("p_type").alias("attribute"))
+    return map_attribute(rows, _handles(spark), "attribute", "field", "my_")
+
+
+def _language_stopwords(spark, sf_dir):
+    own = literal_table(spark, STOPWORDS, [("xx", "never"), ("de", "dokument")])
+    sites = literal_table(spark, SITES, SITE_ROWS[:4])
+    return remove_stopwords(analyze(D.document_keywords(spark, sf_dir)), sites, stopwords(spark, own)).groupBy("site").agg(
+        F.sum(F.when(F.col("term").isin(*LISTED), 1).otherwise(0)).alias("n_listed"),
+        F.sum(F.when(F.col("term").isin("never", "catalog"), 1).otherwise(0)).alias("n_unlisted"),
+    )
+
+
+# words of one list each; a list applies to its own language only
+LISTED = ("the", "und", "les", "los")
+
+
+def _worklist_chosen(spark, sf_dir):
+    return E.full_worklist(D.order_elements(spark, sf_dir), ["O", "P"], newest_first=True)
+
+
+def _site_elements(spark, sf_dir):
+    return E.select_site(D.order_elements(spark, sf_dir), "2-HIGH").select("site", "id", "type")
+
+
+def _delete_document(spark, sf_dir):
+    return upkeep.delete(D.all_keywords(spark, sf_dir), 7, "catalog")
+
+
 def _worklist_full(spark, sf_dir):
     return E.full_worklist(D.order_elements(spark, sf_dir))
 
@@ -270,10 +366,7 @@ def _upsert_documents(spark, sf_dir):
 
 
 def _bulk_delete(spark, sf_dir):
-    bad = D.table(spark, sf_dir, "labels").where(F.col("quality") == 0).select("doc_id")
-    ids = D.table(spark, sf_dir, "documents").join(bad, "doc_id", "left_semi")
-    ids = ids.select(F.col("lang").alias("site"), F.col("doc_id").alias("id"))
-    return upkeep.bulk_delete(D.document_keywords(spark, sf_dir), ids)
+    return upkeep.bulk_delete(D.document_keywords(spark, sf_dir), _bad_documents(spark, sf_dir))
 
 
 def _reindex_projection(spark, sf_dir):
@@ -364,6 +457,24 @@ QUERIES = {
     "search_topk": _search("search_topk", k=10),
     "search_hook": _search_hook,
     "search_batch": _search_batch,
+    "search_scope_only": _search("search_scoped", scope=_scope, on_empty_scope="none"),
+    # jobs on a stored index
+    "compact_search": _after(lambda spark, sf_dir, store: jobs.compact(store, _change_log(spark, sf_dir), 2)),
+    "compact_after_reload": _compact_after_reload,
+    "purge_orphans_search": _after(lambda spark, sf_dir, store: jobs.purge_orphans(store, _live(spark, sf_dir), 2)),
+    "bulk_delete_search": _after(lambda spark, sf_dir, store: jobs.bulk_delete(store, _bad_documents(spark, sf_dir), 2)),
+    "delete_search": _after(lambda spark, sf_dir, store: jobs.delete(store, 7, "catalog", 2)),
+    "reindex_search": _after(_reindex),
+    "clone_search": _after(lambda spark, sf_dir, store: jobs.clone_site(store, "en", "copy", 2)),
+    "stored_index_stats": _stored_index_stats,
+    # options and single steps
+    "clauses_options": _clauses_options,
+    "prefixed_names": _prefixed_names,
+    "language_stopwords": _language_stopwords,
+    "worklist_chosen": _worklist_chosen,
+    "site_elements": _site_elements,
+    "live_ids": lambda spark, sf_dir: E.live_ids(D.order_elements(spark, sf_dir)),
+    "delete_document": _delete_document,
     # upkeep
     "indexed_ids": _indexed_ids,
     "source": _source,

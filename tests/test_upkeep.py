@@ -118,3 +118,16 @@ def test_mapping_and_its_drift(spark):
         ("attribute_title", "added"), ("field_1", "added"), ("field_9", "removed"),
     ]
     assert rows_of(E.eligible_types(types), "type") == [("page",)]
+
+
+def test_worklists_are_ordered_and_need_a_moment(spark):
+    from datetime import datetime
+
+    made = literal_table(spark, "id bigint, type string, date_created timestamp, date_updated timestamp", [
+        (n, "t" if n % 2 else "u", datetime(2024, 1, 1 + n % 3), datetime(2024, 1, 1 + n % 3)) for n in range(6)
+    ])
+    assert [r["id"] for r in E.full_worklist(made, ["t"], newest_first=True).collect()] == [5, 1, 3]
+    assert rows_of(E.updated_since(made, "2024-01-03"), "id") == rows_of(E.updated_since(made, datetime(2024, 1, 3)), "id") == [(2,), (5,)]
+    for wrong in (None, "", "soon"):
+        with pytest.raises((TypeError, ValueError)):
+            E.updated_since(made, wrong)
