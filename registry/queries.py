@@ -319,7 +319,8 @@ def _mapping(spark, sf_dir):
 
 
 def _mapping_diff(spark, sf_dir):
-    return mapping_diff(D.index(spark, sf_dir).keywords, _mapping(spark, sf_dir))
+    served = D.index(spark, sf_dir)
+    return mapping_diff(upkeep.current(served.keywords, served.published), _mapping(spark, sf_dir))
 
 
 def _analyze_stopwords(spark, sf_dir):
