@@ -49,6 +49,28 @@ def reindex_site(store: IndexStore, site: str, mapping: DataFrame, version: int)
     return {"old": old["version"], "new": version, "total": total}
 
 
+def update_mapping(store: IndexStore, mapping: DataFrame, version: int) -> DataFrame:
+    """After a change of field definitions: rebuild every served site that holds a field no longer mapped.
+
+    All such sites become one new version; returns them.  New fields need no
+    rebuild: documents bring them when they are next indexed.
+    """
+    fields = mapping.select("field").distinct()
+    held = _served(store, "keywords").select("site", "field").distinct()
+    stale = written(held.join(fields, "field", "left_anti").select("site").distinct(), "stale")
+    if stale.isEmpty():
+        return stale
+    kept = {
+        name: _served(store, name).join(stale, "site", "left_semi").join(fields, "field", "left_semi")
+        for name in ("keywords", "postings")
+    }
+    store.write_keywords(kept["keywords"], version)
+    other = store.published().join(stale, "site", "left_semi").where(F.col("n_buckets") != store.n_buckets)
+    _copy_postings(store, kept["postings"], store.n_buckets if other.isEmpty() else -1, version)
+    store.publish(stale.withColumn("version", F.lit(version)))
+    return stale
+
+
 def clone_site(store: IndexStore, source_site: str, target_site: str, version: int) -> None:
     """Serve a copy of one site's index as another site's."""
     old = store.published().where(F.col("site") == source_site).first()

@@ -325,6 +325,10 @@ JOBS = {
         JOB_CLAUSES,
         keywords=f"SELECT * FROM ({ALL_KW}) WHERE site <> 'catalog' OR field IN ('attribute_title', 'field_1')",
     ),
+    "mapping_search": hits(
+        JOB_CLAUSES,
+        keywords=f"SELECT * FROM ({ALL_KW}) WHERE field IN ('attribute_text', 'attribute_slug', 'field_2', 'field_9')",
+    ),
     "clone_search": hits(
         JOB_CLAUSES, keywords=f"{ALL_KW} UNION ALL SELECT 'copy', id, field, text FROM ({DOC_KW}) WHERE site = 'en'"
     ),

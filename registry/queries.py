@@ -188,6 +188,10 @@ def _reindex(spark, sf_dir, store):
     jobs.reindex_site(store, "catalog", mapping, 2)
 
 
+def _narrow_mapping(spark):
+    return literal_table(spark, "field string", [("attribute_text",), ("attribute_slug",), ("field_2",), ("field_9",)])
+
+
 def _stored_index_stats(spark, sf_dir):
     store = D.store(spark, sf_dir)
     return reports.index_stats(store.table("keywords"), store.published())
@@ -466,6 +470,7 @@ QUERIES = {
     "bulk_delete_search": _after(lambda spark, sf_dir, store: jobs.bulk_delete(store, _bad_documents(spark, sf_dir), 2)),
     "delete_search": _after(lambda spark, sf_dir, store: jobs.delete(store, 7, "catalog", 2)),
     "reindex_search": _after(_reindex),
+    "mapping_search": _after(lambda spark, sf_dir, store: jobs.update_mapping(store, _narrow_mapping(spark), 2)),
     "clone_search": _after(lambda spark, sf_dir, store: jobs.clone_site(store, "en", "copy", 2)),
     "stored_index_stats": _stored_index_stats,
     # options and single steps

@@ -228,3 +228,17 @@ def test_reports_of_a_stored_index_read_no_text(spark):
     assert rows_of(found) == [("a", 1, 3, 29), ("b", 1, 1, 8)]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "text" not in plan
+
+
+def test_a_changed_mapping_rebuilds_only_sites_it_narrows(spark):
+    store = stored(spark, ROWS)
+    titles = literal_table(spark, "field string", [("attribute_title",), ("field_9",)])
+    assert rows_of(jobs.update_mapping(store, titles, 2)) == [("a",)]
+    assert rows_of(store.published(), "site", "version") == [("a", 2), ("b", 1)]
+    assert ask(store, "old") == [] and ask(store, "red") == [1] and ask(store, "bolt", "b") == [1]
+    statistics_agree(store, 2)
+    assert jobs.update_mapping(store, titles, 3).count() == 0
+    emptied = literal_table(spark, "field string", [("field_9",)])
+    jobs.update_mapping(IndexStore(spark, store.root, 5), emptied, 3)
+    assert served(store) == [] and ask(store, "red") == []
+    assert rows_of(store.published(), "site", "version") == [("a", 3), ("b", 3)]
