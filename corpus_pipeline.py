@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates stays."""
-    return keep_one(docs)
+    """One document of each class of near-duplicates stays: by fingerprint, or 0.8 similar by five-word shingles."""
+    return keep_one(docs, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,10 @@ billions of fingerprints.  Only distinct fingerprints are joined: copies of one
 text are one row here, however many there are.  Links become classes by
 alternating large-star and small-star steps, each written to the shared folder.
 
+Edited copies of a five-word similarity of 0.8 differ in up to a third of the 64 bits.  ``similar_classes``
+and ``keep_one(similarity=...)``, which the pipeline uses, add links between them: the same
+method on a fingerprint as wide as the shingle set, see ``shingle_blocks``.
+
 Null and empty texts have fingerprint 0 and link like any other.  Rows that
 share a fingerprint are one class.  The class ID is the smallest ID, null only
 where no row of the class has one.  Extra columns are not looked at.
@@ -23,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexigrid.llm import shingle_blocks
 from lexigrid.llm.common import text_of, whole_row
 from lexigrid.session import written
 
@@ -31,9 +36,16 @@ WORDS = 3
 DISTANCE = 2
 
 
+def words_in(text: str | None) -> list[bytes]:
+    return (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII white space splits
+
+
 def fingerprint(text: str | None, n: int = WORDS) -> int:
     """The fingerprint of one text, unsigned."""
-    words = (text or "").encode().lower().split()  # bytes: only A-Z change, only ASCII white space splits
+    return _fingerprint(words_in(text), n)
+
+
+def _fingerprint(words: list[bytes], n: int) -> int:
     if not words:
         return 0
     shingles = map(b" ".join, zip(*[words[i:] for i in range(n)])) if len(words) >= n else [b" ".join(words)]
@@ -54,6 +66,20 @@ def fingerprint_of(text: Column, n: int = WORDS) -> Column:
     return F.pandas_udf(batch, "bigint")(text)
 
 
+def keyed_of(text: Column, n: int = WORDS) -> Column:
+    """The fingerprint as ``fp`` beside ``keys``, the blocks of the set of five-word shingles."""
+
+    def batch(texts: pd.Series) -> pd.DataFrame:
+        fps, keys = np.zeros(len(texts), dtype=np.uint64), []
+        for i, t in enumerate(texts):
+            words = words_in(t)
+            fps[i] = _fingerprint(words, n)
+            keys.append(shingle_blocks.blocks(shingle_blocks.shingles(words)).view(np.int64))
+        return pd.DataFrame({"fp": fps.view(np.int64), "keys": keys})
+
+    return F.pandas_udf(batch, "fp bigint, keys array<bigint>")(text)
+
+
 def block_masks(distance: int) -> list[int]:
     """For each choice of three of ``distance + 3`` blocks, the bits they hold, as signed longs."""
     blocks = distance + 3
@@ -114,9 +140,12 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WO
     ``root`` is the smallest fingerprint of the class.
     """
     t = text_of(text)
-    slim = written(
-        docs.select(F.col(id).alias("id"), F.xxhash64(t).alias("text_hash"), fingerprint_of(t, n).alias("fp")), "simhash-fps"
-    )
+    slim = docs.select(F.col(id).alias("id"), F.xxhash64(t).alias("text_hash"), fingerprint_of(t, n).alias("fp"))
+    return _labelled(written(slim, "simhash-fps"), distance)
+
+
+def _labelled(slim: DataFrame, distance: int) -> DataFrame:
+    """``id, text_hash, fp`` with ``root`` and ``component_id``."""
     nodes = slim.groupBy("fp").agg(F.min("id").alias("least"))
     star = stars(links(nodes.select("fp"), distance))
     labelled = nodes.join(star.select(F.col("b").alias("fp"), F.col("a").alias("star")), "fp", "left").select(
@@ -128,12 +157,40 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WO
     return slim.join(of_fp, "fp").select("id", "text_hash", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS, distance: int = DISTANCE,
+                    similarity: float = shingle_blocks.SIMILARITY) -> DataFrame:
+    """As ``classes``, with classes joined where texts of both are near copies by five-word shingles."""
+    t = text_of(text)
+    made = docs.select(F.col(id).alias("id"), F.xxhash64(t).alias("text_hash"), keyed_of(t, n).alias("made"))
+    slim = written(made.select("id", "text_hash", "made.fp", "made.keys"), "simhash-keyed")
+    pairs = shingle_blocks.similar(docs, slim, text, similarity)
+    found = written(_labelled(slim.drop("keys"), distance), "simhash-first")
+    roots = found.select("text_hash", "root").distinct()
+    edges = pairs.join(roots.withColumnsRenamed({"text_hash": "a", "root": "x"}), "a").join(
+        roots.withColumnsRenamed({"text_hash": "b", "root": "y"}), "b"
+    ).where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    star = stars(edges)
+    merged = found.groupBy("root").agg(F.min("component_id").alias("least")).join(
+        star.select(F.col("b").alias("root"), F.col("a").alias("star")), "root", "left"
+    ).select("root", "least", F.coalesce("star", "root").alias("star"))
+    merged = written(merged, "simhash-merged")
+    smallest = merged.groupBy("star").agg(F.min("least").alias("component_id"))
+    of_root = merged.select("root", "star").join(smallest, "star")
+    return found.drop("component_id").join(of_root, "root").select("id", "text_hash", "fp", F.col("star").alias("root"), "component_id")
+
+
+def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS, distance: int = DISTANCE,
+             similarity: float | None = None) -> DataFrame:
     """One row of each class, that with the smallest ID, with all its columns.
 
     Of rows that share that ID, that with the smallest text hash stays, once.
+    With ``similarity``, texts of that similarity by five-word shingles are of one class too.
     """
-    found = written(classes(docs, id, text, n, distance), "simhash-classes")
+    if similarity is None:
+        found = classes(docs, id, text, n, distance)
+    else:
+        found = similar_classes(docs, id, text, n, distance, similarity)
+    found = written(found, "simhash-classes")
     first = found.where(F.col("id").eqNullSafe(F.col("component_id")))
     first = first.groupBy("id", "root").agg(F.min("text_hash").alias("keep_hash"), F.count("*").alias("rows"))
     again = first.where("rows > 1")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexigrid.llm import decontaminate, mixing, pii, quality, rules, sharding, simhash
+from lexigrid.llm import decontaminate, mixing, pii, quality, rules, sharding, shingle_blocks, simhash
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, fp int, item string, size int"
 LONG = "lorem ipsum dolor " * 4_000
@@ -156,6 +156,90 @@ def test_a_long_chain_is_one_class(spark):
     assert {(r["a"], r["b"]) for r in star} == {(chain[0], c) for c in chain[1:]}
 
 
+def five_word_sets(texts):
+    found = []
+    for t in texts:
+        w = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        w = words_of(w)
+        found.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    return found
+
+
+def brute_similar(rows, similarity=0.8):
+    """Per row the smallest ID of its class, by two bits or by shingles."""
+    fps, sets = [simhash.fingerprint(t) for _, t, _ in rows], five_word_sets([t for _, t, _ in rows])
+    group = list(range(len(rows)))
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            common = len(sets[a] & sets[b])
+            if bin(fps[a] ^ fps[b]).count("1") <= 2 or sets[a] and sets[b] and common >= similarity * (len(sets[a]) + len(sets[b]) - common):
+                group[find(a)] = find(b)
+    least = {}
+    for k, (i, _, _) in enumerate(rows):
+        least.setdefault(find(k), []).append(i)
+    return [(i, min((x for x in least[find(k)] if x is not None), default=None)) for k, (i, _, _) in enumerate(rows)]
+
+
+def test_near_copies_by_shingles_like_brute_force(spark, odd):
+    rng, rows = random.Random(8), list(odd)
+    passage = prose(rng, 60)
+    for size in (20, 70, 120, 128, 150, 300, 700):
+        for k in range(6):
+            base = prose(rng, size).split()
+            texts = [base, base[: int(len(base) * 0.9)], base + prose(rng, size // 8).split(), [w.upper() for w in base]]
+            for edits in (1, max(1, size // 60), size // 20):
+                edited = list(base)
+                for _ in range(edits):
+                    edited[rng.randrange(len(edited))] = "changed"
+                texts.append(edited)
+            texts.append(prose(rng, size).split() + passage.split())  # shares a passage, no copy
+            rows += [(1000 + len(rows) + i, " ".join(t), "a") for i, t in enumerate(texts)]
+    got = simhash.similar_classes(table(spark, rows)).select("id", "component_id").collect()
+    want = brute_similar(rows)
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
+    assert len({c for _, c in want}) < len(brute_classes(rows)[0]) / 2
+    kept = simhash.keep_one(table(spark, rows), similarity=0.8)
+    assert kept.columns == table(spark, rows).columns
+    assert {r["doc_id"] for r in kept.collect()} == {c for _, c in want}
+    assert simhash.keep_one(empty(spark), similarity=0.8).count() == 0
+
+
+def test_one_large_group_of_edited_copies(spark):
+    """Its texts meet their original, not each other: fewer pairs than three per text and block."""
+    rng = random.Random(9)
+    base = prose(rng, 200).split()
+    rows = [(0, " ".join(base), "a")]
+    for k in range(1, 400):
+        edited = list(base)
+        for _ in range(4):
+            edited[rng.randrange(len(base))] = f"word{rng.randrange(10**9)}"
+        rows.append((k, " ".join(edited), "a"))
+    docs = table(spark, rows)
+    assert [r["doc_id"] for r in simhash.keep_one(docs, similarity=0.8).collect()] == [0]
+    keyed = docs.select(F.xxhash64("text").alias("text_hash"), simhash.keyed_of(F.col("text")).alias("m")).select("text_hash", "m.fp", "m.keys")
+    assert shingle_blocks.candidates(keyed).count() < 2 * shingle_blocks.BLOCKS * len(rows)
+
+
+def test_blocks_of_similar_sets_meet():
+    rng = np.random.default_rng(1)
+    missed = 0
+    for n in (1, 5, 40, 63, 64, 127, 128, 129, 200, 255, 256, 3000):
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+            b = a[: len(a) - int(0.2 * n)]  # similarity 0.8 by length alone
+            missed += not set(shingle_blocks.blocks(a).tolist()) & set(shingle_blocks.blocks(b).tolist())
+    assert missed == 0
+    assert len(shingle_blocks.blocks(shingle_blocks.shingles([]))) == 0
+    assert len(shingle_blocks.shingles([b"a", b"b"])) == 1
+    assert len(shingle_blocks.shingles([b"x"] * 50)) == 1
+
+
 # decontamination
 
 ITEMS = ["alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu", "one two three four five six seven eight nine ten eleven twelve", "x y", "", None]

@@ -23,14 +23,25 @@ def rejected(text):
             or 2 * (len(lines) - len(set(lines))) > len(lines) or 100 * upper > 40 * (upper + lower) or chars > 20 * n)
 
 
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def similar(a, b):
+    common = len(a & b)
+    return common >= 0.8 * (len(a) + len(b) - common)
+
+
 def first_of_classes(docs):
     fps, group = {i: simhash.fingerprint(t) for i, t in docs.items()}, {i: i for i in docs}
-    changed = True
+    sets, changed = {i: shingles(t) for i, t in docs.items()}, True
     while changed:
         changed = False
         for a in docs:
             for b in docs:
-                if bin(fps[a] ^ fps[b]).count("1") <= 2 and group[a] > group[b]:
+                close = bin(fps[a] ^ fps[b]).count("1") <= 2 or similar(sets[a], sets[b])
+                if close and group[a] > group[b]:
                     group[a], changed = group[b], True
     return {i for i in docs if group[i] == i}
 
