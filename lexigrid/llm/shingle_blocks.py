@@ -8,10 +8,11 @@ about half of their blocks are equal; each block is a join key of 64 bits.  Of p
 shingles taken (texts of up to 127) the distance at that similarity is at most 28 bits, so the 32 blocks
 must share one; of longer texts they do but for about one pair in millions.
 
-A block that several texts share is never expanded into pairs.  Each of its texts meets two of them: the one
+A block that several texts share is not expanded into pairs.  Each of its texts meets two of them: the one
 with the most company in all its blocks (the original among its edited copies), and one drawn per
-block.  Pairs whose SimHash differs in more than ``WIDE`` bits are dropped; the others'
-whole shingle sets are compared.
+block.  A pair is dropped unseen only if its similarity can't be reached: by the sizes of both sets, or
+by their odd sketches, whose bits differ in no more places than the sets have shingles of their own.
+The others' whole shingle sets are compared.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrid.llm.common import text_of
@@ -29,7 +30,7 @@ WORDS = 5
 SIMILARITY = 0.8
 BLOCKS = 32
 TAKEN = 64  # shingles, at least, of a set that has as many; below twice as many
-WIDE = 24  # of 64 bits
+ODD = 8  # longs of an odd sketch
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -71,6 +72,20 @@ def blocks(found: np.ndarray, similarity: float = SIMILARITY) -> np.ndarray:
     return np.concatenate(keys)
 
 
+def odd_sketch(found: np.ndarray) -> np.ndarray:
+    """``64 * ODD`` bits, each whether an odd number of the set's shingles hash to it."""
+    bits = np.bincount((_mixed(found + _MIX) % np.uint64(64 * ODD)).astype(np.int64), minlength=64 * ODD) % 2
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def reachable(a: str, b: str, similarity: float) -> Column:
+    """Whether the sizes and sketches of ``a`` and ``b``, structs of ``n, odd``, allow that similarity; false for no pair that has it."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = sum(F.bit_count(F.col(f"{a}.odd")[i].bitwiseXOR(F.col(f"{b}.odd")[i])) for i in range(ODD))
+    fits = F.least(n, m) + 1e-6 >= similarity * F.greatest(n, m)
+    return fits & (apart * (1 + similarity) <= (n + m) * (1 - similarity) + 1e-6)
+
+
 def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     """``text_hash, found``: the shingle sets of the texts whose hash is in ``wanted``."""
 
@@ -83,27 +98,32 @@ def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
     return made.groupBy("text_hash").agg(F.first("found").alias("found"))
 
 
-def candidates(keyed: DataFrame, wide: int = WIDE) -> DataFrame:
-    """``a < b``: pairs of text hashes that a block suggests, from ``text_hash, fp, keys`` of each row."""
-    members = written(keyed.select("text_hash", "fp", F.explode("keys").alias("key")).distinct(), "shingle-blocks")
+def shared_blocks(keyed: DataFrame) -> DataFrame:
+    """``key, text_hash, crowd``: the blocks that several texts have, from ``text_hash, keys`` of each row."""
+    members = written(keyed.select("text_hash", F.explode("keys").alias("key")).distinct(), "shingle-blocks")
     crowd = members.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
-    shared = written(members.join(crowd, "key"), "shingle-shared")
+    return written(members.join(crowd, "key"), "shingle-shared")
+
+
+def candidates(keyed: DataFrame) -> DataFrame:
+    """``a < b``: pairs of text hashes that a block suggests first, from ``text_hash, keys`` of each row."""
+    return _met(shared_blocks(keyed))
+
+
+def _met(shared: DataFrame) -> DataFrame:
     company = shared.groupBy("text_hash").agg(F.sum("crowd").alias("company"))
-    one = F.struct("text_hash", "fp")
     chosen = shared.join(company, "text_hash").groupBy("key").agg(
-        F.max_by(one, F.struct("company", "text_hash")).alias("hub"),
-        F.min_by(one, F.struct(F.xxhash64("key", "text_hash"), "text_hash")).alias("drawn"),
+        F.max_by("text_hash", F.struct("company", "text_hash")).alias("hub"),
+        F.min_by("text_hash", F.struct(F.xxhash64("key", "text_hash"), "text_hash")).alias("drawn"),
     )
-    met = shared.join(chosen, "key").select("text_hash", "fp", F.explode(F.array("hub", "drawn")).alias("other"))
-    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("other.fp"))) <= wide
-    return met.where(close & (F.col("text_hash") != F.col("other.text_hash"))).select(
-        F.least("text_hash", "other.text_hash").alias("a"), F.greatest("text_hash", "other.text_hash").alias("b")
+    met = shared.join(chosen, "key").select("text_hash", F.explode(F.array("hub", "drawn")).alias("other"))
+    return met.where("text_hash != other").select(
+        F.least("text_hash", "other").alias("a"), F.greatest("text_hash", "other").alias("b")
     ).distinct()
 
 
-def similar(docs: DataFrame, keyed: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``a < b``: pairs of text hashes whose shingle sets have at least that Jaccard similarity."""
-    pairs = written(candidates(keyed), "shingle-pairs")
+def _verified(docs: DataFrame, pairs: DataFrame, text: str, similarity: float) -> DataFrame:
+    """The pairs whose whole sets have that similarity."""
     wanted = pairs.select(F.col("a").alias("text_hash")).union(pairs.select("b")).distinct()
     sets = written(sets_of(docs, text, wanted), "shingle-sets")
     both = pairs.join(sets.withColumnsRenamed({"text_hash": "a", "found": "fa"}), "a").join(
@@ -111,3 +131,16 @@ def similar(docs: DataFrame, keyed: DataFrame, text: str = "text", similarity: f
     )
     common = F.size(F.array_intersect("fa", "fb"))
     return both.where(common >= F.lit(similarity) * (F.size("fa") + F.size("fb") - common)).select("a", "b")
+
+
+def similar(docs: DataFrame, keyed: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """``a < b``: pairs of text hashes whose shingle sets have at least that Jaccard similarity.
+
+    ``keyed`` has ``text_hash, keys, n, odd`` of each row.
+    """
+    sketches = written(keyed.groupBy("text_hash").agg(F.first(F.struct("n", "odd")).alias("s")), "shingle-sketches")
+    met = candidates(keyed).join(sketches.withColumnsRenamed({"text_hash": "a", "s": "sa"}), "a").join(
+        sketches.withColumnsRenamed({"text_hash": "b", "s": "sb"}), "b"
+    )
+    pairs = written(met.where(reachable("sa", "sb", similarity)).select("a", "b"), "shingle-pairs")
+    return _verified(docs, pairs, text, similarity)

@@ -67,17 +67,20 @@ def fingerprint_of(text: Column, n: int = WORDS) -> Column:
 
 
 def keyed_of(text: Column, n: int = WORDS) -> Column:
-    """The fingerprint as ``fp`` beside ``keys``, the blocks of the set of five-word shingles."""
+    """The fingerprint as ``fp`` beside ``keys``, ``n`` and ``odd``: the blocks, size and sketch of the set of five-word shingles."""
 
     def batch(texts: pd.Series) -> pd.DataFrame:
-        fps, keys = np.zeros(len(texts), dtype=np.uint64), []
+        fps, keys, sizes, odd = np.zeros(len(texts), dtype=np.uint64), [], [], []
         for i, t in enumerate(texts):
             words = words_in(t)
             fps[i] = _fingerprint(words, n)
-            keys.append(shingle_blocks.blocks(shingle_blocks.shingles(words)).view(np.int64))
-        return pd.DataFrame({"fp": fps.view(np.int64), "keys": keys})
+            found = shingle_blocks.shingles(words)
+            keys.append(shingle_blocks.blocks(found).view(np.int64))
+            sizes.append(len(found))
+            odd.append(shingle_blocks.odd_sketch(found))
+        return pd.DataFrame({"fp": fps.view(np.int64), "keys": keys, "n": np.array(sizes, dtype=np.int32), "odd": odd})
 
-    return F.pandas_udf(batch, "fp bigint, keys array<bigint>")(text)
+    return F.pandas_udf(batch, "fp bigint, keys array<bigint>, n int, odd array<bigint>")(text)
 
 
 def block_masks(distance: int) -> list[int]:
@@ -162,9 +165,9 @@ def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n:
     """As ``classes``, with classes joined where texts of both are near copies by five-word shingles."""
     t = text_of(text)
     made = docs.select(F.col(id).alias("id"), F.xxhash64(t).alias("text_hash"), keyed_of(t, n).alias("made"))
-    slim = written(made.select("id", "text_hash", "made.fp", "made.keys"), "simhash-keyed")
+    slim = written(made.select("id", "text_hash", "made.*"), "simhash-keyed")
     pairs = shingle_blocks.similar(docs, slim, text, similarity)
-    found = written(_labelled(slim.drop("keys"), distance), "simhash-first")
+    found = written(_labelled(slim.select("id", "text_hash", "fp"), distance), "simhash-first")
     roots = found.select("text_hash", "root").distinct()
     edges = pairs.join(roots.withColumnsRenamed({"text_hash": "a", "root": "x"}), "a").join(
         roots.withColumnsRenamed({"text_hash": "b", "root": "y"}), "b"

@@ -226,6 +226,33 @@ def test_one_large_group_of_edited_copies(spark):
     assert shingle_blocks.candidates(keyed).count() < 2 * shingle_blocks.BLOCKS * len(rows)
 
 
+def test_copies_that_differ_in_repeats_of_a_line(spark):
+    """Their sets are nearly equal, their SimHashes are not."""
+    rng, rows = random.Random(10), []
+    for k in range(40):
+        base, line = prose(rng, 180), prose(rng, 8)
+        rows += [(2 * k, f"{base}\n{line}", "a"), (2 * k + 1, base + f"\n{line}" * 15, "a")]
+    sets, fps = five_word_sets([t for _, t, _ in rows]), [simhash.fingerprint(t) for _, t, _ in rows]
+    assert all(len(a & b) >= 0.8 * len(a | b) for a, b in zip(sets[::2], sets[1::2]))
+    assert any(bin(a ^ b).count("1") > 24 for a, b in zip(fps[::2], fps[1::2]))
+    got = simhash.similar_classes(table(spark, rows)).select("id", "component_id").collect()
+    assert {tuple(r) for r in got} == {(i, i - i % 2) for i, _, _ in rows}
+
+
+def test_odd_sketches_lose_no_pair(spark):
+    rng, rows = np.random.default_rng(11), []
+    for size in (1, 5, 60, 127, 400, 3000):
+        for share in (0.0, 0.1, 0.2, 0.25, 0.6):
+            a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[int(share * size) :], rng.integers(0, 1 << 63, int(share * size) // 3, dtype=np.uint64)]))
+            common = len(np.intersect1d(a, b))
+            one = [(len(x), shingle_blocks.odd_sketch(x).tolist()) for x in (a, b)]
+            rows.append((*one, common >= 0.8 * (len(a) + len(b) - common)))
+    frame = spark.createDataFrame(rows, "x struct<n:int,odd:array<bigint>>, y struct<n:int,odd:array<bigint>>, close boolean")
+    got = frame.select("close", shingle_blocks.reachable("x", "y", 0.8).alias("passed")).collect()
+    assert all(r["passed"] for r in got if r["close"]) and {r["passed"] for r in got} == {True, False}
+
+
 def test_blocks_of_similar_sets_meet():
     rng = np.random.default_rng(1)
     missed = 0
