@@ -8,9 +8,11 @@ about half of their blocks are equal; each block is a join key of 64 bits.  Of p
 shingles taken (texts of up to 127) the distance at that similarity is at most 28 bits, so the 32 blocks
 must share one; of longer texts they do but for about one pair in millions.
 
-A block that several texts share is not expanded into pairs.  Each of its texts meets two of them: the one
-with the most company in all its blocks (the original among its edited copies), and one drawn per
-block.  A pair is dropped unseen only if its similarity can't be reached: by the sizes of both sets, or
+A block that several texts share is not expanded into pairs at once.  Each of its texts first meets two of
+them: the one with the most company in all its blocks (the original among its edited copies), and one drawn
+per block.  The links found make components.  In blocks that still hold several, all pairs of texts of
+different components meet, in slices of a bounded number of the block's texts; so no pair that shares a
+block is left out, but for those already of one class.  A pair is dropped unseen only if its similarity can't be reached: by the sizes of both sets, or
 by their odd sketches, whose bits differ in no more places than the sets have shingles of their own.
 The others' whole shingle sets are compared.
 """
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrid.llm.common import text_of
+from lexigrid.llm.components import stars
 from lexigrid.session import written
 
 WORDS = 5
@@ -31,6 +34,7 @@ SIMILARITY = 0.8
 BLOCKS = 32
 TAKEN = 64  # shingles, at least, of a set that has as many; below twice as many
 ODD = 8  # longs of an odd sketch
+SLICE = 256  # texts of a block, about, that its other texts meet in one place
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -133,14 +137,41 @@ def _verified(docs: DataFrame, pairs: DataFrame, text: str, similarity: float) -
     return both.where(common >= F.lit(similarity) * (F.size("fa") + F.size("fb") - common)).select("a", "b")
 
 
+def remaining(shared: DataFrame, star: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``a < b``: the pairs that share a block, are of different components and may have the similarity.
+
+    ``star`` has the smallest text ``a`` of the component of each text ``b`` that is linked to others.
+    The texts outside a block's largest component meet all its texts; a block of one component costs nothing.
+    """
+    of_text = star.select(F.col("b").alias("text_hash"), F.col("a").alias("root"))
+    placed = shared.join(of_text, "text_hash", "left").select("key", "text_hash", "crowd", F.coalesce("root", "text_hash").alias("part"))
+    parts = placed.groupBy("key", "part").agg(F.count("*").alias("texts"))
+    mixed = parts.groupBy("key").agg(F.max_by("part", F.struct("texts", "part")).alias("largest"), F.count("*").alias("n")).where("n > 1").drop("n")
+    held = placed.join(mixed, "key").join(sketches, "text_hash").select(
+        "key", "text_hash", "part", "s", F.ceil(F.col("crowd") / SLICE).alias("slices"), (F.col("part") != F.col("largest")).alias("outside")
+    )
+    held = written(held, "shingle-held")
+    all_texts = held.withColumn("slice", F.pmod(F.xxhash64("text_hash"), "slices")).alias("y")
+    outside = held.where("outside").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))).alias("x")
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.slice") == F.col("y.slice")) & (F.col("x.part") != F.col("y.part"))
+    once = ~F.col("y.outside") | (F.col("x.text_hash") < F.col("y.text_hash"))
+    return outside.join(all_texts, on & once & reachable("x.s", "y.s", similarity)).select(
+        F.least("x.text_hash", "y.text_hash").alias("a"), F.greatest("x.text_hash", "y.text_hash").alias("b")
+    ).distinct()
+
+
 def similar(docs: DataFrame, keyed: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """``a < b``: pairs of text hashes whose shingle sets have at least that Jaccard similarity.
+    """``a < b``: links between texts whose shingle sets have at least that Jaccard similarity.
 
+    Of the pairs that share a block all that join two components are among them.
     ``keyed`` has ``text_hash, keys, n, odd`` of each row.
     """
     sketches = written(keyed.groupBy("text_hash").agg(F.first(F.struct("n", "odd")).alias("s")), "shingle-sketches")
-    met = candidates(keyed).join(sketches.withColumnsRenamed({"text_hash": "a", "s": "sa"}), "a").join(
+    shared = shared_blocks(keyed)
+    met = _met(shared).join(sketches.withColumnsRenamed({"text_hash": "a", "s": "sa"}), "a").join(
         sketches.withColumnsRenamed({"text_hash": "b", "s": "sb"}), "b"
     )
     pairs = written(met.where(reachable("sa", "sb", similarity)).select("a", "b"), "shingle-pairs")
-    return _verified(docs, pairs, text, similarity)
+    star = stars(_verified(docs, pairs, text, similarity))
+    rest = written(remaining(shared, star, sketches, similarity).join(pairs, ["a", "b"], "left_anti"), "shingle-rest")
+    return written(star.union(_verified(docs, rest, text, similarity)), "shingle-links")

@@ -226,6 +226,22 @@ def test_one_large_group_of_edited_copies(spark):
     assert shingle_blocks.candidates(keyed).count() < 2 * shingle_blocks.BLOCKS * len(rows)
 
 
+def test_groups_without_their_original_like_brute_force(spark):
+    """Many copies that resemble only some of the others, and none of them all."""
+    rng, rows = random.Random(12), []
+    for first, size, edits, copies in ((0, 100, (1, 3), 600), (1000, 400, (4, 14), 300)):
+        base = prose(rng, size).split()
+        for k in range(copies):
+            edited = list(base)
+            for at in rng.sample(range(size), rng.randint(*edits)):
+                edited[at] = f"word{rng.randrange(10**9)}"
+            rows.append((first + k, " ".join(edited), "a"))
+    got = simhash.similar_classes(table(spark, rows)).select("id", "component_id").collect()
+    want = brute_similar(rows)
+    assert len({c for _, c in map(tuple, got)}) == len({c for _, c in want})
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
+
+
 def test_copies_that_differ_in_repeats_of_a_line(spark):
     """Their sets are nearly equal, their SimHashes are not."""
     rng, rows = random.Random(10), []
