@@ -1,6 +1,8 @@
 """Mixing sources to target weights by Sainte-Lague apportionment, in DataFrame functions only.
 
 The mix is made of blocks of equal numbers of words, in ``shards`` equal parts.
+A block has at most one in ``FINE`` words of the smallest source, however large the others are, and at least one;
+a number of ``blocks`` can be given instead.
 Part after part, blocks go to the sources with the highest quotients
 ``target / (2 k - 1)``; the method is house-monotone, so the quota of a part is
 the difference of two apportionments.  A source is a ring of its documents in a
@@ -26,7 +28,8 @@ from pyspark.sql import functions as F
 from lexigrid.llm.common import SPACE, text_of, whole_row
 from lexigrid.session import written
 
-BLOCKS = 1 << 18  # about so many blocks make the mix
+BLOCKS = 1 << 18  # at least about so many blocks make the mix, of more than one word each
+FINE = 1000  # blocks, at least, of a source of as many words; of fewer words, a block is a word
 SHARDS = 8
 MOST = 3  # times that a source, and so a document, is taken at most
 SEED = 17
@@ -70,7 +73,7 @@ def targets(sizes: DataFrame, most: int = MOST) -> DataFrame:
     ).select("source", "source_size", "rank", "weight", "total", "target")
 
 
-def quotas(shared: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS, most: int = MOST) -> DataFrame:
+def quotas(shared: DataFrame, blocks: int | None = None, shards: int = SHARDS, most: int = MOST) -> DataFrame:
     """``source, shard, quota, block_words``: how many blocks each part of the mix takes from each source.
 
     The number of seats up to a part is found without listing all quotients: with ``S`` sources and
@@ -79,8 +82,10 @@ def quotas(shared: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS, most:
     the rounding of doubles) and only the at most ``4 S`` quotients between them are ranked.
     """
     per_part = Window.partitionBy("shard")
+    smallest = F.min(F.when(F.col("source_size") > 0, F.col("source_size"))).over(Window.partitionBy())
+    finest = F.floor(smallest / FINE) if blocks is None else F.lit(None).cast("bigint")
     bounded = (
-        shared.withColumn("block_words", F.greatest(F.lit(1), (F.col("total") / blocks).cast("bigint")))
+        shared.withColumn("block_words", F.greatest(F.lit(1), F.least(F.floor(F.col("total") / (blocks or BLOCKS)), finest)))
         .withColumn("n_sources", F.count("*").over(Window.partitionBy()))
         .withColumn("shard", F.explode(F.sequence(F.lit(1), F.lit(shards))))
         .withColumn("seats", F.floor(F.floor(F.col("total") / F.col("block_words")) * F.col("shard") / shards))
@@ -123,7 +128,7 @@ def _in_order(docs: DataFrame, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, id: str = "doc_id", source: str = "source", text: str = "text",
-        blocks: int = BLOCKS, shards: int = SHARDS, most: int = MOST, seed: int = SEED) -> DataFrame:
+        blocks: int | None = None, shards: int = SHARDS, most: int = MOST, seed: int = SEED) -> DataFrame:
     """``id, source, size, source_size, target, taken`` per row; ``taken`` counts repeats."""
     slim = written(docs.select(F.col(id).alias("id"), F.col(source).alias("source"), size_of(text).alias("size")), "mix-sizes")
     shared = targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), most)

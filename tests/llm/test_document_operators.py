@@ -367,6 +367,26 @@ def test_quotas_are_the_highest_quotients(spark):
         assert [got[s] for s in sorted(target)] == [min(w, 3 * n // block) for w, n in zip(won, sizes)]
 
 
+@pytest.mark.parametrize("large", [4_000_000, 225_000_000])
+def test_tiny_sources_beside_very_large_ones(spark, large):
+    """Up to 4.5 G words: each source gets its target to a word or a block, however small it is."""
+    sizes = [("empty", 0), ("t1", 1), ("t2", 100), ("t3", 400), ("t4", 2_000), ("t5", 8_000), *((f"x{i:02}", large) for i in range(20))]
+    shared = mixing.targets(spark.createDataFrame(sizes, "source string, source_size bigint"))
+    got = collections.defaultdict(int)
+    for r in mixing.quotas(shared).collect():
+        got[r["source"]] += r["quota"] * r["block_words"]
+    for r in shared.collect():
+        assert abs(got[r["source"]] - r["target"]) <= 2 + r["target"] / 1000, (r, got[r["source"]])
+
+
+def test_a_tiny_source_is_in_the_mix(spark):
+    rng = random.Random(13)
+    rows = [(i, " ".join(["word"] * 20_000), "large") for i in range(100)] + [(1000, prose(rng, 2), "tiny")]
+    got = {r["id"]: r["taken"] for r in mixing.mix(table(spark, rows)).collect()}
+    assert got[1000] == 6
+    assert [r["n"] for r in mixing.mixed(table(spark, rows)).where("doc_id = 1000").groupBy().agg(F.count("*").alias("n")).collect()] == [3]
+
+
 def test_targets_stop_and_share_again(spark):
     frame = spark.createDataFrame([("a", 1), ("b", 10), ("c", 989), (None, 0)], "source string, source_size bigint")
     got = {r["source"]: r["target"] for r in mixing.targets(frame).collect()}
