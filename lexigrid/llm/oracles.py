@@ -82,8 +82,79 @@ WITH r AS (
 SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM c
 """
 
+# DuckDB has no crc32, so it is worked out bit by bit from the decimal digits.
+_OP13 = r"""
+WITH RECURSIVE
+f AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '-') AS tree, source, lang, n_chars, text,
+    coalesce(xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, z: xor(c >> 1, (c & 1) * 3988292384::BIGINT))), 4294967295::BIGINT) % 7 = 0, false) AS touched
+  FROM documents
+), g AS (
+  SELECT rid, doc_id, tree, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS was,
+    coalesce(strlen((n_chars + touched::INT)::VARCHAR) || ':' || (n_chars + touched::INT), '-') AS now,
+    coalesce(strlen(text) || ':' || text, '-') AS body FROM f
+), d AS (SELECT rid, doc_id, tree, sha256(head || was || body) AS leaf, sha256(head || now || body) AS claim FROM g
+), p AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d
+), lv AS (
+  SELECT tree, 0 AS h, list(leaf ORDER BY pos) AS nodes FROM p GROUP BY tree
+  UNION ALL
+  SELECT tree, h + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM lv WHERE len(nodes) > 1
+), sub AS (SELECT tree, nodes[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM lv WHERE len(nodes) = 1
+), top AS (
+  SELECT 0 AS h, list(subroot ORDER BY pos) AS nodes FROM sub
+  UNION ALL
+  SELECT h + 1, list_transform(range(0, (len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM top WHERE len(nodes) > 1
+), climb AS (
+  SELECT rid, tree, pos AS i, 0 AS h, claim AS acc, '' AS seen FROM p
+  UNION ALL
+  SELECT rid, c.tree, i // 2, c.h + 1, sha256(CASE WHEN i % 2 = 0 THEN acc || coalesce(nodes[i + 2], '') ELSE nodes[i] || acc END),
+    seen || coalesce(CASE WHEN i % 2 = 0 THEN nodes[i + 2] ELSE nodes[i] END, '')
+  FROM climb c JOIN lv ON lv.tree = c.tree AND lv.h = c.h WHERE len(nodes) > 1
+), arrived AS (
+  SELECT rid, c.tree, subroot, sub.pos, acc, seen FROM climb c JOIN lv ON lv.tree = c.tree AND lv.h = c.h JOIN sub ON sub.tree = c.tree WHERE len(nodes) = 1
+), rise AS (
+  SELECT rid, pos AS i, 0 AS h, acc, seen FROM arrived
+  UNION ALL
+  SELECT rid, i // 2, r.h + 1, sha256(CASE WHEN i % 2 = 0 THEN acc || coalesce(nodes[i + 2], '') ELSE nodes[i] || acc END),
+    seen || coalesce(CASE WHEN i % 2 = 0 THEN nodes[i + 2] ELSE nodes[i] END, '')
+  FROM rise r JOIN top ON top.h = r.h WHERE len(nodes) > 1
+), last AS (SELECT rid, acc, seen, nodes[1] AS root FROM rise r JOIN top ON top.h = r.h WHERE len(nodes) = 1)
+SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, acc AS folded_root, acc = root AS verified
+FROM p JOIN sub USING (tree) JOIN last USING (rid)
+"""
+
+# Every anchor against every row, ranked by sorting.
+_OP12 = r"""
+WITH e AS (
+  SELECT row_number() OVER () AS u, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.u AS anchor, a.vec_id AS anchor_id, b.u, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.u <> b.u WHERE a.vec_id % 100 = 0
+), pos AS (
+  SELECT anchor, anchor_id, u AS positive, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST) <= 5
+)
+SELECT pos.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY pos.anchor, positive ORDER BY s.score DESC, s.vec_id NULLS LAST)::INT AS rank,
+  s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM pos JOIN s ON s.anchor = pos.anchor AND NOT s.same
+WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLES = {
     "op6_chat": _OP6,
     "op8_mixing": _OP8,
     "op10_quality_rules": _OP10,
+    "op12_hard_negatives": _OP12,
+    "op13_merkle": _OP13,
 }

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lexigrid.llm import chat, decontaminate, html_blocks, mixing, pii, quality, rules, sharding, simhash, warc
+from lexigrid.llm import chat, decontaminate, html_blocks, merkle, mixing, pii, quality, rules, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +120,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claimed leaf of a row is that of its tampered fields; the siblings are those of the manifest."""
+    touched = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
+    changed = [F.try_add("n_chars", F.lit(1)) if f == "n_chars" else F.col(f) for f in merkle.FIELDS]
+    claim = F.when(touched, F.unhex(merkle.leaf_of(*changed)))
+    found = merkle.manifest(_table(spark, sf_dir, "documents"), carried={"claim": claim})
+    claimed = F.coalesce(F.lower(F.hex("claim")), "leaf")
+    found = found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_of(F.col("path")).alias("proof_sha256"),
+                         merkle.folded(claimed, F.col("path")).alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_sharding": op2_sharding,
@@ -131,5 +143,6 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
+    "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
