@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lexigrid.llm import chat, decontaminate, html_blocks, merkle, mixing, pii, quality, rules, sharding, simhash, warc
+from lexigrid.llm import chat, decontaminate, html_blocks, merkle, mixing, pieces, pii, quality, rules, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,6 +121,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = pieces.encode(_table(spark, sf_dir, "documents"), model)
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(pieces.decode(F.col("ids"), model), 256).alias("decoded_sha256"),
+    )
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The claimed leaf of a row is that of its tampered fields; the siblings are those of the manifest."""
     touched = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
@@ -143,6 +154,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_pieces": op11_pieces,
     "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
