@@ -4,7 +4,7 @@ The library writes a text with a mark in front and a mark for each blank.  Where
 after another character, no merge can cross the place between a character and the mark behind it.  So a text falls
 into marked words, one or more marks and what follows them, whose ids do not depend on their neighbours.
 
-Method.  Texts are cut into marked words in the JVM.  About ``BLOCK_WORDS`` words of whole texts make a block: one row
+Method.  Texts are cut into marked words where they are read.  About ``BLOCK_WORDS`` words of whole texts make a block: one row
 with its distinct words, and the place among them of every word in its order.  Only distinct words of blocks are
 shuffled: each different word of the corpus is segmented once, by the library, and its ids go back to the blocks that
 have it by a join.  Then one pass over a block puts the ids of its words in the order of its texts.  A word in every
@@ -26,6 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -83,46 +84,70 @@ def separable(path: str) -> bool:
     return bool(plain) and not crossing and sum(map(model.is_byte, pieces)) == 256
 
 
-def marked_words(text: Column) -> Column:
-    """The marked words of a text, whose concatenation is the text as the library writes it."""
-    marked = F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK)))
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(marked, f"(?<=[^{MARK}])(?={MARK})"))
-
-
-def _blocks_of(block_words: int, id_type: pa.DataType):
-    """Rows ``id, words`` to rows ``block, ids, sizes, at, words``."""
+def marked_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The marked words of texts one after another, and how many each text has.
+
+    A word comes without its first mark, its other marks as blanks.
+    """
+    # between blanks; an empty part is a mark that belongs to the word behind it, or to the end of the text
+    parts = pc.split_pattern(pc.replace_substring(texts, MARK, " "), " ")
+    flat, bounds = parts.flatten(), parts.offsets.to_numpy() - parts.offsets[0].as_py()
+    closes = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0
+    closes[bounds[1:] - 1] = True
+    blank = pc.equal(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.flatnonzero(closes)
+    before = np.diff(ends, prepend=-1) - 1
+    closed = np.concatenate([[0], np.cumsum(closes)])[bounds]
+    words = flat.take(pa.array(ends))
+    if before.any():
+        words = pc.binary_join_element_wise(pc.binary_repeat(" ", pa.array(before)), words, "")
+    counts = np.diff(closed)
+    if blank.any():  # an empty text has not even a mark
+        words = words.filter(pa.array(np.repeat(~blank, counts)))
+        counts[blank] = 0
+    return words, counts
+
+
+def _blocks_of(block_words: int, marked: bool):
+    """Rows ``id, text`` to rows ``block, ids, sizes, at, words``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            bounds = batch.column("words").offsets.to_numpy()
+            ids, texts = batch.column("id"), batch.column("text")
+            words, counts = marked_words(texts) if marked else (texts, np.ones(len(texts), dtype=np.int64))
+            bounds = np.concatenate([[0], np.cumsum(counts)])
             start = 0
-            while start < batch.num_rows:
+            while start < len(ids):
                 stop = max(start + 1, int(np.searchsorted(bounds[1:], bounds[start] + block_words, side="right")))
-                part = batch.slice(start, stop - start)
-                lists = part.column("words")
-                coded = lists.flatten().dictionary_encode()
+                coded = words.slice(bounds[start], bounds[stop] - bounds[start]).dictionary_encode()
                 at = coded.indices.to_numpy(zero_copy_only=False)
                 at = at.astype(np.uint16 if len(coded.dictionary) <= _WIDE else np.uint32).tobytes()
-                sizes = np.diff(lists.offsets.to_numpy()).astype(np.int32)
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([block], pa.int64()),
-                    "ids": pa.array([part.column("id").to_pylist()], pa.list_(id_type)),
-                    "sizes": pa.array([sizes], pa.list_(pa.int32())),
-                    "at": pa.array([at], pa.binary()),
-                    "words": pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
-                })
+                columns = {
+                    "block": pa.array([block], pa.int64()), "ids": _one_list(ids.slice(start, stop - start)),
+                    "sizes": _one_list(pa.array(counts[start:stop].astype(np.int32))),
+                    "at": pa.array([at], pa.binary()), "words": _one_list(coded.dictionary),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
                 block += 1
                 start = stop
 
     return run
 
 
+def _one_list(values: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
 def _segmenter(path: str, marked: bool):
     def segment(words: pd.Series) -> pd.Series:
-        # the library puts the first mark there itself
-        texts = [w[1:] for w in words] if marked else list(words)
-        return pd.Series(processor(path).encode(texts, num_threads=1))
+        # the library puts the first mark there itself, but not into an empty text
+        model = processor(path)
+        found = model.encode(list(words), num_threads=1)
+        if marked:
+            lone = model.encode("a ")[len(model.encode("a")) :]
+            found = [ids if word else lone for word, ids in zip(words, found)]
+        return pd.Series(found)
 
     return segment
 
@@ -154,12 +179,10 @@ def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def encode(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """``id, ids``: the ids of every row's whole text, as the library's ``encode`` gives them."""
     marked = separable(model_path)
-    t = text_of(text)
-    words = marked_words(t) if marked else F.filter(F.array(t), lambda x: x != "")
-    rows = docs.select(F.col(id).alias("id"), words.alias("words"))
+    rows = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
     made = rows.mapInArrow(
-        _blocks_of(block_words, _arrow(rows)), f"block bigint, ids array<{id_type}>, sizes array<int>, at binary, words array<string>"
+        _blocks_of(block_words, marked), f"block bigint, ids array<{id_type}>, sizes array<int>, at binary, words array<string>"
     )
     blocks = written(made, "piece-blocks")
     distinct = blocks.select(F.explode("words").alias("word")).distinct()
@@ -173,12 +196,6 @@ def encode(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "te
     return whole.select("ids", "sizes", "at", F.coalesce("found", none).alias("found")).mapInArrow(_ordered, f"id {id_type}, ids array<int>")
 
 
-def _arrow(rows: DataFrame) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(rows.schema["id"].dataType)
-
-
 def decode(ids: Column, model_path: str) -> Column:
     """The text of ids, as the library's ``decode`` gives it."""
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lexigrid.llm import chat, decontaminate, html_blocks, merkle, mixing, pieces, pii, quality, rules, sharding, simhash, warc
+from lexigrid.llm import chat, decontaminate, html_blocks, merkle, mixing, negatives, pieces, pii, quality, rules, sharding, simhash, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -131,6 +131,13 @@ def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = F.col("label")
+    label = F.when(F.col("vec_id") % 7 == 0, (given + 1) % 10).otherwise(given)
+    rows = negatives.rows_of(_table(spark, sf_dir, "embeddings"), "vec_id", label, "embedding", F.col("vec_id") % 100 == 0)
+    return negatives.mine(rows)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The claimed leaf of a row is that of its tampered fields; the siblings are those of the manifest."""
     touched = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.lit(False))
@@ -155,6 +162,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
     "op11_pieces": op11_pieces,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
