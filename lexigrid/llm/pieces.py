@@ -4,11 +4,15 @@ The library writes a text with a mark in front and a mark for each blank.  Where
 after another character, no merge can cross the place between a character and the mark behind it.  So a text falls
 into marked words, one or more marks and what follows them, whose ids do not depend on their neighbours.
 
-Method.  Texts are cut into marked words where they are read.  About ``BLOCK_WORDS`` words of whole texts make a block: one row
-with its distinct words, and the place among them of every word in its order.  Only distinct words of blocks are
-shuffled: each different word of the corpus is segmented once, by the library, and its ids go back to the blocks that
-have it by a join.  Then one pass over a block puts the ids of its words in the order of its texts.  A word in every
-text is one row per block, and nothing is broadcast, however many words there are.
+Method.  Texts are cut into marked words where they are read.  About ``BLOCK_WORDS`` words of whole texts make a block,
+and each distinct word of a block is one row, shuffled by the word: so each different word of the corpus is
+segmented in one place, once, by the library, and its ids go back to the blocks that have it.  A word in every
+text is one row per block, and nothing is broadcast, however many words there are.  The block itself, shuffled
+once to meet them, has only the places of its words in their order, common words first, so that places are small numbers.
+
+The texts are read twice, for words and for places; nothing but words, ids and places is moved or stored.  Both readings must
+give the same blocks, as those of stored tables do.  A block's hash is part of the key, and a block that does not
+meet its own words is an error, never a wrong result; a table that is not the same when read again has to be written first.
 
 ``separable`` says whether a model is of that kind (no such piece, blanks kept, no other normalisation, bytes for
 unknown characters); for other models the distinct whole texts take the place of the words, by the same plan.
@@ -28,16 +32,19 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrid.llm.common import text_of
-from lexigrid.session import written
 
 MARK = "▁"
-BLOCK_WORDS = 1 << 20  # words of a block, about
-_WIDE = 1 << 16  # distinct words from which places need four bytes
+BLOCK_WORDS = 1 << 22  # words of a block, about
+_PLACE = np.dtype("<u4")
+_ID = np.dtype("<u4")
+_ROWS = 1 << 14  # words handed on at a time
+_FOUND = "array<struct<i: int, ids: binary>>"
 
 
 @lru_cache(maxsize=4)
@@ -108,29 +115,57 @@ def marked_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, counts
 
 
-def _blocks_of(block_words: int, marked: bool):
-    """Rows ``id, text`` to rows ``block, ids, sizes, at, words``."""
+def _blocks_of(block_words: int, marked: bool, places: bool):
+    """Rows ``id, text`` to the blocks' words, ``block, hash, i, word``, or to their ``block, hash, ids, sizes, at``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
+    def pending(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+        """IDs, words and counts of consecutive texts with about ``block_words`` words."""
+        held: list[tuple] = []
+        room = block_words
         for batch in batches:
             ids, texts = batch.column("id"), batch.column("text")
             words, counts = marked_words(texts) if marked else (texts, np.ones(len(texts), dtype=np.int64))
-            bounds = np.concatenate([[0], np.cumsum(counts)])
-            start = 0
+            bounds, start = np.concatenate([[0], np.cumsum(counts)]), 0
             while start < len(ids):
-                stop = max(start + 1, int(np.searchsorted(bounds[1:], bounds[start] + block_words, side="right")))
-                coded = words.slice(bounds[start], bounds[stop] - bounds[start]).dictionary_encode()
-                at = coded.indices.to_numpy(zero_copy_only=False)
-                at = at.astype(np.uint16 if len(coded.dictionary) <= _WIDE else np.uint32).tobytes()
-                columns = {
-                    "block": pa.array([block], pa.int64()), "ids": _one_list(ids.slice(start, stop - start)),
-                    "sizes": _one_list(pa.array(counts[start:stop].astype(np.int32))),
-                    "at": pa.array([at], pa.binary()), "words": _one_list(coded.dictionary),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
-                block += 1
-                start = stop
+                stop = int(np.searchsorted(bounds[1:], bounds[start] + room, side="right"))
+                if stop <= start and not held:
+                    stop = start + 1  # a text larger than a block
+                if stop > start:
+                    n = bounds[stop] - bounds[start]
+                    held.append((ids.slice(start, stop - start), words.slice(bounds[start], n), counts[start:stop]))
+                    room, start = room - n, stop
+                if start < len(ids) or room <= 0:
+                    yield [pa.concat_arrays(x[:2][k] for x in held) for k in (0, 1)] + [np.concatenate([x[2] for x in held])]
+                    held, room = [], block_words
+        if held:
+            yield [pa.concat_arrays(x[:2][k] for x in held) for k in (0, 1)] + [np.concatenate([x[2] for x in held])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
+        for ids, words, counts in pending(batches):
+            coded = words.dictionary_encode()
+            code = coded.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(-np.bincount(code, minlength=len(coded.dictionary)), kind="stable")
+            place = np.empty(len(order), dtype=_PLACE)
+            place[order] = np.arange(len(order))
+            at = place[code]
+            distinct = coded.dictionary.take(pa.array(order))
+            digest = xxhash.xxh64(at.tobytes())
+            digest.update(b"".join(b for b in distinct.buffers()[1:] if b is not None))
+            key = {"block": block, "hash": digest.intdigest() - (1 << 63)}
+            if places:
+                # the bytes of all places by their weight: the upper ones are mostly zero
+                planes = np.ascontiguousarray(at.view(np.uint8).reshape(-1, _PLACE.itemsize).T).tobytes()
+                yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.int64()) for k, v in key.items()} | {
+                    "ids": _one_list(ids), "sizes": _one_list(pa.array(counts.astype(np.int32))), "at": pa.array([planes], pa.binary()),
+                })
+            else:
+                for start in range(0, len(distinct), _ROWS):
+                    part = distinct.slice(start, _ROWS)
+                    yield pa.RecordBatch.from_pydict({k: pa.array(np.full(len(part), v)) for k, v in key.items()} | {
+                        "i": pa.array(np.arange(start, start + len(part), dtype=np.int32)), "word": part,
+                    })
+            block += 1
 
     return run
 
@@ -140,16 +175,25 @@ def _one_list(values: pa.Array) -> pa.Array:
 
 
 def _segmenter(path: str, marked: bool):
-    def segment(words: pd.Series) -> pd.Series:
-        # the library puts the first mark there itself, but not into an empty text
+    """Rows ``block, hash, i, word`` in order of words to ``block, hash, i, ids``, the library asked once for each word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = processor(path)
-        found = model.encode(list(words), num_threads=1)
-        if marked:
-            lone = model.encode("a ")[len(model.encode("a")) :]
-            found = [ids if word else lone for word, ids in zip(words, found)]
-        return pd.Series(found)
+        # the library puts the first mark there itself, but not into an empty text
+        lone = model.encode("a ")[len(model.encode("a")) :] if marked else []
+        last: tuple = (None, b"")
+        for batch in batches:
+            coded = batch.column("word").dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            known = bool(words) and words[0] == last[0]
+            found = model.encode(words[known:], num_threads=1)
+            found = [last[1]] * known + [np.array(ids if word else lone, dtype=_ID).tobytes() for word, ids in zip(words[known:], found)]
+            if words:
+                last = words[-1], found[-1]
+            ids = pa.array(found, pa.binary()).take(coded.indices)
+            yield pa.RecordBatch.from_pydict({name: batch.column(name) for name in ("block", "hash", "i")} | {"ids": ids})
 
-    return segment
+    return run
 
 
 def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,20 +203,20 @@ def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block = batch.slice(row, 1)
             found = block.column("found").flatten()
             word, lists = found.field("i").to_numpy(), found.field("ids")
-            at = block.column("at")[0].as_buffer()
-            at = np.frombuffer(at, dtype=np.uint16 if len(word) <= _WIDE else np.uint32)
+            planes = np.frombuffer(block.column("at")[0].as_py(), dtype=np.uint8)
+            at = np.ascontiguousarray(planes.reshape(_PLACE.itemsize, -1).T).view(_PLACE).ravel()
             # the words come in any order: where each one's ids begin, and how many they are
-            bounds = lists.offsets.to_numpy()
-            first, length = np.zeros(len(word), dtype=np.int64), np.zeros(len(word), dtype=np.int64)
-            first[word], length[word] = bounds[:-1] - bounds[0], np.diff(bounds)
-            pieces = lists.flatten().to_numpy(zero_copy_only=False)
-            many = length[at]
+            length = pc.binary_length(lists).to_numpy(zero_copy_only=False) // _ID.itemsize
+            first, many = np.zeros((2, len(word)), dtype=np.int64)
+            first[word], many[word] = np.cumsum(length) - length, length
+            pieces = np.frombuffer(b"".join(lists.to_pylist()), dtype=_ID)
+            many = many[at]
             ends = np.cumsum(many)
             total = int(ends[-1]) if len(ends) else 0
             source = np.repeat(first[at] - (ends - many), many) + np.arange(total)
             sizes = block.column("sizes").flatten().to_numpy()
             edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-            ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(pieces[source], pa.int32()))
+            ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(pieces[source].astype(np.int32)))
             yield pa.RecordBatch.from_pydict({"id": block.column("ids").flatten(), "ids": ids})
 
 
@@ -181,19 +225,19 @@ def encode(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "te
     marked = separable(model_path)
     rows = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    made = rows.mapInArrow(
-        _blocks_of(block_words, marked), f"block bigint, ids array<{id_type}>, sizes array<int>, at binary, words array<string>"
+    words = rows.mapInArrow(_blocks_of(block_words, marked, places=False), "block bigint, hash bigint, i int, word string")
+    by_word = words.repartition("word").sortWithinPartitions("word")
+    ids = by_word.mapInArrow(_segmenter(model_path, marked), "block bigint, hash bigint, i int, ids binary")
+    found = ids.groupBy("block", "hash").agg(F.collect_list(F.struct("i", "ids")).alias("found"))
+    blocks = rows.mapInArrow(
+        _blocks_of(block_words, marked, places=True), f"block bigint, hash bigint, ids array<{id_type}>, sizes array<int>, at binary"
+    )
+    # only a block without any word has none to meet
+    met = F.when(F.col("found").isNotNull(), F.col("found")).when(F.length("at") == 0, F.array().cast(_FOUND)).otherwise(
+        F.raise_error(F.lit("the table was not the same when read again; write it first")).cast(_FOUND)
     )
-    blocks = written(made, "piece-blocks")
-    distinct = blocks.select(F.explode("words").alias("word")).distinct()
-    segment = F.pandas_udf(_segmenter(model_path, marked), "array<int>")
-    table = written(distinct.select("word", segment("word").alias("ids")), "piece-words")
-    used = blocks.select("block", F.posexplode("words").alias("i", "word")).join(table, "word")
-    found = used.groupBy("block").agg(F.collect_list(F.struct("i", "ids")).alias("found"))
-    # a block without words is not among the found
-    whole = blocks.select("block", "ids", "sizes", "at").join(found, "block", "left")
-    none = F.array().cast("array<struct<i: int, ids: array<int>>>")
-    return whole.select("ids", "sizes", "at", F.coalesce("found", none).alias("found")).mapInArrow(_ordered, f"id {id_type}, ids array<int>")
+    whole = blocks.join(found, ["block", "hash"], "left").select("ids", "sizes", "at", met.alias("found"))
+    return whole.mapInArrow(_ordered, f"id {id_type}, ids array<int>")
 
 
 def decode(ids: Column, model_path: str) -> Column:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import uuid
 
 import duckdb
 import numpy as np
@@ -145,7 +146,7 @@ def texts():
     return TEXTS + made + ["a  b", "", None]
 
 
-@pytest.mark.parametrize("block_words, marked", [(1 << 20, True), (7, True), (7, False)])
+@pytest.mark.parametrize("block_words, marked", [(1 << 20, True), (40, True), (7, True), (7, False)])
 def test_ids_like_the_library(spark, texts, monkeypatch, block_words, marked):
     assert pieces.separable(MODEL)
     monkeypatch.setattr(pieces, "separable", lambda path: marked)
@@ -175,19 +176,28 @@ def test_ids_of_null_ids_and_of_no_rows(spark):
     assert pieces.encode(docs.where("doc_id = 9"), MODEL).collect() == []
 
 
-def test_each_word_is_segmented_once(spark, monkeypatch):
-    kept = {}
-    written = pieces.written
-
-    def keep(df, name):
-        kept[name] = written(df, name)
-        return kept[name]
+def test_each_word_is_segmented_once(monkeypatch):
+    asked = []
 
-    monkeypatch.setattr(pieces, "written", keep)
-    docs = table(spark, [(i, "the cat sat on the mat", "en", "s", 1) for i in range(200)]).repartition(5)
-    pieces.encode(docs, MODEL, block_words=20).count()
-    words = [r["word"] for r in kept["piece-words"].collect()]
-    assert sorted(words) == ["cat", "mat", "on", "sat", "the"] and kept["piece-blocks"].count() > 40
+    class Model:
+        def encode(self, texts, **options):
+            if isinstance(texts, str):
+                return [1] * len(texts)
+            asked.extend(texts)
+            return [[len(t)] for t in texts]
+
+    monkeypatch.setattr(pieces, "processor", lambda path: Model())
+    words = ["a", "a", "b", "c"], ["c", "c"], ["c", "dd"], []
+    batches = [pa.RecordBatch.from_pydict({"block": [1] * len(w), "hash": [2] * len(w), "i": list(range(len(w))), "word": pa.array(w, pa.string())}) for w in words]
+    out = [np.frombuffer(b, dtype="<u4").tolist() for batch in pieces._segmenter("", True)(iter(batches)) for b in batch.column("ids").to_pylist()]
+    assert asked == ["a", "b", "c", "dd"] and out == [[1], [1], [1], [1], [1], [1], [1], [2]]
+
+
+def test_a_table_that_changes_between_readings_is_an_error(spark):
+    docs = table(spark, [(i, "a b", "en", "s", 1) for i in range(8)])
+    docs = docs.withColumn("text", F.udf(lambda t: t + uuid.uuid4().hex)("text"))
+    with pytest.raises(Exception, match="not the same"):
+        pieces.encode(docs, MODEL).collect()
 
 
 # Hard negatives
