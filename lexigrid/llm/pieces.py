@@ -5,9 +5,9 @@ after another character, no merge can cross the place between a character and th
 into marked words, one or more marks and what follows them, whose ids do not depend on their neighbours.
 
 Method.  Texts are cut into marked words where they are read.  About ``BLOCK_WORDS`` words of whole texts make a block,
-and each distinct word of a block is one row, shuffled by the word: so each different word of the corpus is
+whose distinct words are shuffled in ``BUCKETS`` parts by their hash.  So each different word of the corpus is
 segmented in one place, once, by the library, and its ids go back to the blocks that have it.  A word in every
-text is one row per block, and nothing is broadcast, however many words there are.  The block itself, shuffled
+text comes once per block, and nothing is broadcast, however many words there are.  The block itself, shuffled
 once to meet them, has only the places of its words in their order, common words first, so that places are small numbers.
 
 The texts are read twice, for words and for places; nothing but words, ids and places is moved or stored.  Both readings must
@@ -24,8 +24,10 @@ Other columns are not looked at.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -40,11 +42,12 @@ from pyspark.sql import functions as F
 from lexigrid.llm.common import text_of
 
 MARK = "▁"
-BLOCK_WORDS = 1 << 22  # words of a block, about
-_PLACE = np.dtype("<u4")
-_ID = np.dtype("<u4")
-_ROWS = 1 << 14  # words handed on at a time
-_FOUND = "array<struct<i: int, ids: binary>>"
+BLOCK_WORDS = 3 << 20  # words of a block, about
+BUCKETS = 4096  # parts of a block's distinct words
+_SLICE = 1 << 22  # bytes of text cut into words at a time
+_HELD = 1 << 20  # words of a bucket whose ids are kept at a time; beyond, words are looked up again
+_KEY = "block bigint, hash bigint"
+_FOUND = "array<struct<bucket: int, lengths: binary, pieces: binary>>"
 
 
 @lru_cache(maxsize=4)
@@ -115,108 +118,134 @@ def marked_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, counts
 
 
-def _blocks_of(block_words: int, marked: bool, places: bool):
-    """Rows ``id, text`` to the blocks' words, ``block, hash, i, word``, or to their ``block, hash, ids, sizes, at``."""
+def _planes(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as bytes, those of the same weight together: the upper ones are mostly zero and compress."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
-    def pending(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
-        """IDs, words and counts of consecutive texts with about ``block_words`` words."""
-        held: list[tuple] = []
-        room = block_words
-        for batch in batches:
-            ids, texts = batch.column("id"), batch.column("text")
-            words, counts = marked_words(texts) if marked else (texts, np.ones(len(texts), dtype=np.int64))
-            bounds, start = np.concatenate([[0], np.cumsum(counts)]), 0
-            while start < len(ids):
-                stop = int(np.searchsorted(bounds[1:], bounds[start] + room, side="right"))
-                if stop <= start and not held:
-                    stop = start + 1  # a text larger than a block
-                if stop > start:
-                    n = bounds[stop] - bounds[start]
-                    held.append((ids.slice(start, stop - start), words.slice(bounds[start], n), counts[start:stop]))
-                    room, start = room - n, stop
-                if start < len(ids) or room <= 0:
-                    yield [pa.concat_arrays(x[:2][k] for x in held) for k in (0, 1)] + [np.concatenate([x[2] for x in held])]
-                    held, room = [], block_words
-        if held:
-            yield [pa.concat_arrays(x[:2][k] for x in held) for k in (0, 1)] + [np.concatenate([x[2] for x in held])]
+
+def _text_of(words: pa.Array) -> tuple[bytes, np.ndarray]:
+    """The bytes of words one after another, and where they begin and end."""
+    ends = np.frombuffer(words.buffers()[1], dtype=np.int32)[words.offset : words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    return (data.to_pybytes()[ends[0] : ends[-1]] if data else b""), ends - ends[0]
+
+
+def _slices(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """IDs and texts in slices of about ``size`` bytes, whole texts."""
+    for batch in batches:
+        ids, texts = batch.column("id"), batch.column("text")
+        ends, start = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0
+        while start < len(ids):
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, side="right")))
+            yield ids.slice(start, stop - start), texts.slice(start, stop - start)
+            start = stop
+
+
+def _blocks_of(block_words: int, marked: bool, places: bool):
+    """Rows ``id, text`` to the blocks' words by bucket, or to their places."""
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array]]:
+        """IDs, words per text and coded words of consecutive slices with at least ``block_words`` words."""
+        ids, counts, words, room = [], [], [], block_words
+        for some, texts in _slices(batches, min(_SLICE, 8 * block_words)):
+            cut, n = marked_words(texts) if marked else (texts, np.ones(len(texts), dtype=np.int64))
+            ids, counts, words, room = [*ids, some], [*counts, n], [*words, cut.dictionary_encode()], room - len(cut)
+            if room <= 0:
+                yield pa.concat_arrays(ids), np.concatenate(counts), pa.chunked_array(words).unify_dictionaries().combine_chunks()
+                ids, counts, words, room = [], [], [], block_words
+        if ids:
+            yield pa.concat_arrays(ids), np.concatenate(counts), pa.chunked_array(words).unify_dictionaries().combine_chunks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        for ids, words, counts in pending(batches):
-            coded = words.dictionary_encode()
+        for ids, counts, coded in gathered(batches):
+            coded = coded if isinstance(coded, pa.Array) else coded.chunk(0)
             code = coded.indices.to_numpy(zero_copy_only=False)
-            order = np.argsort(-np.bincount(code, minlength=len(coded.dictionary)), kind="stable")
-            place = np.empty(len(order), dtype=_PLACE)
-            place[order] = np.arange(len(order))
+            by_use = np.argsort(-np.bincount(code, minlength=len(coded.dictionary)), kind="stable")
+            place = np.empty(len(by_use), dtype=np.uint32)
+            place[by_use] = np.arange(len(by_use))
             at = place[code]
-            distinct = coded.dictionary.take(pa.array(order))
-            digest = xxhash.xxh64(at.tobytes())
-            digest.update(b"".join(b for b in distinct.buffers()[1:] if b is not None))
-            key = {"block": block, "hash": digest.intdigest() - (1 << 63)}
+            words = coded.dictionary.take(pa.array(by_use))
+            data, ends = _text_of(words)
+            key = (block, xxhash.xxh64(data, seed=xxhash.xxh32_intdigest(at.tobytes())).intdigest() - (1 << 63))
+            bucket = np.fromiter((zlib.crc32(data[a:b]) % BUCKETS for a, b in zip(ends.tolist(), ends[1:].tolist())), dtype=np.uint16, count=len(words))
             if places:
-                # the bytes of all places by their weight: the upper ones are mostly zero
-                planes = np.ascontiguousarray(at.view(np.uint8).reshape(-1, _PLACE.itemsize).T).tobytes()
-                yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.int64()) for k, v in key.items()} | {
-                    "ids": _one_list(ids), "sizes": _one_list(pa.array(counts.astype(np.int32))), "at": pa.array([planes], pa.binary()),
-                })
+                yield _batch({"block": [key[0]], "hash": [key[1]], "ids": _one_list(ids), "sizes": [_planes(counts)], "at": [_planes(at)], "buckets": [bucket.tobytes()]})
             else:
-                for start in range(0, len(distinct), _ROWS):
-                    part = distinct.slice(start, _ROWS)
-                    yield pa.RecordBatch.from_pydict({k: pa.array(np.full(len(part), v)) for k, v in key.items()} | {
-                        "i": pa.array(np.arange(start, start + len(part), dtype=np.int32)), "word": part,
+                order = np.argsort(bucket, kind="stable")
+                edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+                data, ends = _text_of(words.take(pa.array(order)))
+                for part in range(0, len(edges) - 1, 512):
+                    spans = list(zip(edges[part : part + 512].tolist(), edges[part + 1 : part + 513].tolist()))
+                    yield _batch({
+                        "block": [key[0]] * len(spans), "hash": [key[1]] * len(spans), "bucket": bucket[order[[a for a, _ in spans]]].astype(np.int32),
+                        "lengths": [_planes(np.diff(ends[a : b + 1])) for a, b in spans], "words": [data[ends[a] : ends[b]] for a, b in spans],
                     })
             block += 1
 
     return run
 
 
+def _batch(columns: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
+
+
 def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def _segmenter(path: str, marked: bool):
-    """Rows ``block, hash, i, word`` in order of words to ``block, hash, i, ids``, the library asked once for each word."""
+    """The words of blocks, in order of buckets, to their ids; the library is asked once for each word of a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = processor(path)
+        known: dict[str, list[int]] = {}
         # the library puts the first mark there itself, but not into an empty text
-        lone = model.encode("a ")[len(model.encode("a")) :] if marked else []
-        last: tuple = (None, b"")
+        lone = {"": model.encode("a ")[len(model.encode("a")) :] if marked else []}
+        current = None
         for batch in batches:
-            coded = batch.column("word").dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            known = bool(words) and words[0] == last[0]
-            found = model.encode(words[known:], num_threads=1)
-            found = [last[1]] * known + [np.array(ids if word else lone, dtype=_ID).tobytes() for word, ids in zip(words[known:], found)]
-            if words:
-                last = words[-1], found[-1]
-            ids = pa.array(found, pa.binary()).take(coded.indices)
-            yield pa.RecordBatch.from_pydict({name: batch.column(name) for name in ("block", "hash", "i")} | {"ids": ids})
+            lengths, pieces = [], []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("bucket", "lengths", "words")))
+            for bucket, sizes, data in rows:
+                if bucket != current or len(known) > _HELD:
+                    current, known = bucket, dict(lone)
+                ends = np.concatenate([[0], np.cumsum(_numbers(sizes))]).astype(np.int32)
+                words = pa.Array.from_buffers(pa.string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]).to_pylist()
+                new = [w for w in words if w not in known]
+                known.update(zip(new, model.encode(new, num_threads=1)))
+                found = [known[w] for w in words]
+                lengths.append(_planes(np.fromiter(map(len, found), dtype=np.int64, count=len(found))))
+                pieces.append(_planes(np.fromiter(chain.from_iterable(found), dtype=np.int64)))
+            kept = {c: batch.column(c) for c in ("block", "hash", "bucket")}
+            yield _batch(kept | {"lengths": pa.array(lengths, pa.binary()), "pieces": pa.array(pieces, pa.binary())})
 
     return run
 
 
 def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``ids, sizes, at, found`` of blocks to rows ``id, ids`` of texts."""
+    """Blocks beside the ids of their words, ``ids, sizes, at, buckets, found``, to rows ``id, ids`` of texts."""
     for batch in batches:
         for row in range(batch.num_rows):
             block = batch.slice(row, 1)
-            found = block.column("found").flatten()
-            word, lists = found.field("i").to_numpy(), found.field("ids")
-            planes = np.frombuffer(block.column("at")[0].as_py(), dtype=np.uint8)
-            at = np.ascontiguousarray(planes.reshape(_PLACE.itemsize, -1).T).view(_PLACE).ravel()
-            # the words come in any order: where each one's ids begin, and how many they are
-            length = pc.binary_length(lists).to_numpy(zero_copy_only=False) // _ID.itemsize
+            at, sizes = (_numbers(block.column(c)[0].as_py()) for c in ("at", "sizes"))
+            bucket = np.frombuffer(block.column("buckets")[0].as_py(), dtype=np.uint16)
+            found = sorted(block.column("found")[0].as_py(), key=lambda f: f["bucket"])
+            # in order of buckets, and in one of places
+            length = np.concatenate([np.zeros(0, dtype=np.int64), *(_numbers(f["lengths"]) for f in found)])
+            pieces = np.concatenate([np.zeros(0, dtype=np.int64), *(_numbers(f["pieces"]) for f in found)]).astype(np.int32)
+            word = np.argsort(bucket, kind="stable")
             first, many = np.zeros((2, len(word)), dtype=np.int64)
             first[word], many[word] = np.cumsum(length) - length, length
-            pieces = np.frombuffer(b"".join(lists.to_pylist()), dtype=_ID)
             many = many[at]
-            ends = np.cumsum(many)
-            total = int(ends[-1]) if len(ends) else 0
-            source = np.repeat(first[at] - (ends - many), many) + np.arange(total)
-            sizes = block.column("sizes").flatten().to_numpy()
-            edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-            ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(pieces[source].astype(np.int32)))
+            ends = np.concatenate([[0], np.cumsum(many)])
+            source = np.repeat(first[at] - ends[:-1], many) + np.arange(ends[-1])
+            edges = ends[np.concatenate([[0], np.cumsum(sizes)])]
+            ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(pieces[source]))
             yield pa.RecordBatch.from_pydict({"id": block.column("ids").flatten(), "ids": ids})
 
 
@@ -225,18 +254,18 @@ def encode(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "te
     marked = separable(model_path)
     rows = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    words = rows.mapInArrow(_blocks_of(block_words, marked, places=False), "block bigint, hash bigint, i int, word string")
-    by_word = words.repartition("word").sortWithinPartitions("word")
-    ids = by_word.mapInArrow(_segmenter(model_path, marked), "block bigint, hash bigint, i int, ids binary")
-    found = ids.groupBy("block", "hash").agg(F.collect_list(F.struct("i", "ids")).alias("found"))
+    words = rows.mapInArrow(_blocks_of(block_words, marked, places=False), f"{_KEY}, bucket int, lengths binary, words binary")
+    by_bucket = words.repartition("bucket").sortWithinPartitions("bucket")
+    pieces = by_bucket.mapInArrow(_segmenter(model_path, marked), f"{_KEY}, bucket int, lengths binary, pieces binary")
+    found = pieces.groupBy("block", "hash").agg(F.collect_list(F.struct("bucket", "lengths", "pieces")).alias("found"))
     blocks = rows.mapInArrow(
-        _blocks_of(block_words, marked, places=True), f"block bigint, hash bigint, ids array<{id_type}>, sizes array<int>, at binary"
+        _blocks_of(block_words, marked, places=True), f"{_KEY}, ids array<{id_type}>, sizes binary, at binary, buckets binary"
     )
     # only a block without any word has none to meet
     met = F.when(F.col("found").isNotNull(), F.col("found")).when(F.length("at") == 0, F.array().cast(_FOUND)).otherwise(
         F.raise_error(F.lit("the table was not the same when read again; write it first")).cast(_FOUND)
     )
-    whole = blocks.join(found, ["block", "hash"], "left").select("ids", "sizes", "at", met.alias("found"))
+    whole = blocks.join(found, ["block", "hash"], "left").select("ids", "sizes", "at", "buckets", met.alias("found"))
     return whole.mapInArrow(_ordered, f"id {id_type}, ids array<int>")
 
 

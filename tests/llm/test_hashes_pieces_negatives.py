@@ -187,10 +187,18 @@ def test_each_word_is_segmented_once(monkeypatch):
             return [[len(t)] for t in texts]
 
     monkeypatch.setattr(pieces, "processor", lambda path: Model())
-    words = ["a", "a", "b", "c"], ["c", "c"], ["c", "dd"], []
-    batches = [pa.RecordBatch.from_pydict({"block": [1] * len(w), "hash": [2] * len(w), "i": list(range(len(w))), "word": pa.array(w, pa.string())}) for w in words]
-    out = [np.frombuffer(b, dtype="<u4").tolist() for batch in pieces._segmenter("", True)(iter(batches)) for b in batch.column("ids").to_pylist()]
-    assert asked == ["a", "b", "c", "dd"] and out == [[1], [1], [1], [1], [1], [1], [1], [2]]
+    rows = [(1, ["a", "b", "c"]), (1, ["c", "", "a"]), (1, ["dd", "a"]), (2, ["x"])]
+    batches = [
+        pa.RecordBatch.from_pydict({
+            "block": [1] * len(part), "hash": [2] * len(part), "bucket": pa.array([b for b, _ in part], pa.int32()),
+            "lengths": [pieces._planes(np.array([len(w) for w in words])) for _, words in part], "words": ["".join(words).encode() for _, words in part],
+        })
+        for part in (rows[:1], rows[1:])
+    ]
+    out = list(pieces._segmenter("", True)(iter(batches)))
+    assert asked == ["a", "b", "c", "dd", "x"]
+    assert [pieces._numbers(v).tolist() for b in out for v in b.column("lengths").to_pylist()] == [[1, 1, 1], [1, 1, 1], [1, 1], [1]]
+    assert [pieces._numbers(v).tolist() for b in out for v in b.column("pieces").to_pylist()] == [[1, 1, 1], [1, 1, 1], [2, 1], [1]]
 
 
 def test_a_table_that_changes_between_readings_is_an_error(spark):
