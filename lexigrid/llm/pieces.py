@@ -45,6 +45,7 @@ MARK = "▁"
 BLOCK_WORDS = 3 << 20  # words of a block, about
 BUCKETS = 4096  # parts of a block's distinct words
 _SLICE = 1 << 22  # bytes of text cut into words at a time
+_WORDS = 1 << 18  # words of texts put together at a time
 _HELD = 1 << 20  # words of a bucket whose ids are kept at a time; beyond, words are looked up again
 _KEY = "block bigint, hash bigint"
 _FOUND = "array<struct<bucket: int, lengths: binary, pieces: binary>>"
@@ -124,7 +125,7 @@ def _planes(numbers: np.ndarray) -> bytes:
 
 
 def _numbers(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def _text_of(words: pa.Array) -> tuple[bytes, np.ndarray]:
@@ -214,7 +215,7 @@ def _segmenter(path: str, marked: bool):
             for bucket, sizes, data in rows:
                 if bucket != current or len(known) > _HELD:
                     current, known = bucket, dict(lone)
-                ends = np.concatenate([[0], np.cumsum(_numbers(sizes))]).astype(np.int32)
+                ends = np.concatenate([[0], np.cumsum(_numbers(sizes), dtype=np.int64)]).astype(np.int32)
                 words = pa.Array.from_buffers(pa.string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]).to_pylist()
                 new = [w for w in words if w not in known]
                 known.update(zip(new, model.encode(new, num_threads=1)))
@@ -227,30 +228,46 @@ def _segmenter(path: str, marked: bool):
     return run
 
 
-def _ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks beside the ids of their words, ``ids, sizes, at, buckets, found``, to rows ``id, ids`` of texts."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            block = batch.slice(row, 1)
-            at, sizes = (_numbers(block.column(c)[0].as_py()) for c in ("at", "sizes"))
-            bucket = np.frombuffer(block.column("buckets")[0].as_py(), dtype=np.uint16)
-            found = sorted(block.column("found")[0].as_py(), key=lambda f: f["bucket"])
-            # in order of buckets, and in one of places
-            length = np.concatenate([np.zeros(0, dtype=np.int64), *(_numbers(f["lengths"]) for f in found)])
-            pieces = np.concatenate([np.zeros(0, dtype=np.int64), *(_numbers(f["pieces"]) for f in found)]).astype(np.int32)
-            word = np.argsort(bucket, kind="stable")
-            first, many = np.zeros((2, len(word)), dtype=np.int64)
-            first[word], many[word] = np.cumsum(length) - length, length
-            many = many[at]
-            ends = np.concatenate([[0], np.cumsum(many)])
-            source = np.repeat(first[at] - ends[:-1], many) + np.arange(ends[-1])
-            edges = ends[np.concatenate([[0], np.cumsum(sizes)])]
-            ids = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(pieces[source]))
-            yield pa.RecordBatch.from_pydict({"id": block.column("ids").flatten(), "ids": ids})
-
-
-def encode(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``id, ids``: the ids of every row's whole text, as the library's ``encode`` gives them."""
+def _ordered(path: str, decoded: bool):
+    """Blocks beside the ids of their words, ``ids, sizes, at, buckets, found``, to rows of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                yield from texts(batch.slice(row, 1))
+
+    def texts(block: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        at, sizes = (_numbers(block.column(c)[0].as_py()) for c in ("at", "sizes"))
+        bucket = np.frombuffer(block.column("buckets")[0].as_py(), dtype=np.uint16)
+        found = sorted(block.column("found")[0].as_py(), key=lambda f: f["bucket"])
+        # in order of buckets, and in one of places
+        none = np.zeros(0, dtype=np.uint32)
+        length = np.concatenate([none, *(_numbers(f["lengths"]) for f in found)]).astype(np.int64)
+        pieces = np.concatenate([none, *(_numbers(f["pieces"]) for f in found)]).astype(np.int32)
+        word = np.argsort(bucket, kind="stable")
+        first, many = np.zeros((2, len(word)), dtype=np.int64)
+        first[word], many[word] = np.cumsum(length) - length, length
+        bounds, ids, start = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), block.column("ids").flatten(), 0
+        while start < len(ids):  # some texts at a time
+            stop = max(start + 1, int(np.searchsorted(bounds[1:], bounds[start] + _WORDS, side="right")))
+            part = at[bounds[start] : bounds[stop]]
+            n = many[part]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            source = np.repeat(first[part] - ends[:-1], n) + np.arange(ends[-1])
+            edges = ends[bounds[start : stop + 1] - bounds[start]].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(pieces[source]))
+            columns = {"id": ids.slice(start, stop - start), "ids": lists}
+            if decoded:
+                columns["decoded"] = pa.array([processor(path).decode(x) for x in lists.to_pylist()], pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
+            start = stop
+
+    return run
+
+
+def encode(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "text", decoded: bool = False,
+           block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``id, ids``: the ids of every row's whole text, as the library's ``encode`` gives them; with ``decoded``, their text again."""
     marked = separable(model_path)
     rows = docs.select(F.col(id).alias("id"), text_of(text).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
@@ -266,7 +283,7 @@ def encode(docs: DataFrame, model_path: str, id: str = "doc_id", text: str = "te
         F.raise_error(F.lit("the table was not the same when read again; write it first")).cast(_FOUND)
     )
     whole = blocks.join(found, ["block", "hash"], "left").select("ids", "sizes", "at", "buckets", met.alias("found"))
-    return whole.mapInArrow(_ordered, f"id {id_type}, ids array<int>")
+    return whole.mapInArrow(_ordered(model_path, decoded), f"id {id_type}, ids array<int>" + ", decoded string" * decoded)
 
 
 def decode(ids: Column, model_path: str) -> Column:

@@ -151,8 +151,10 @@ def test_ids_like_the_library(spark, texts, monkeypatch, block_words, marked):
     assert pieces.separable(MODEL)
     monkeypatch.setattr(pieces, "separable", lambda path: marked)
     docs = table(spark, [(i // 2, t, "en", "s", 1) for i, t in enumerate(texts)]).repartition(3)  # ids twice each
-    found = pieces.encode(docs, MODEL, block_words=block_words)
-    got = [(r["id"], r["ids"], r["t"]) for r in found.withColumn("t", pieces.decode(F.col("ids"), MODEL)).collect()]
+    found = pieces.encode(docs, MODEL, decoded=True, block_words=block_words)
+    rows = found.withColumn("t", pieces.decode(F.col("ids"), MODEL)).collect()
+    got = [(r["id"], r["ids"], r["t"]) for r in rows]
+    assert all(r["t"] == r["decoded"] for r in rows)
     library = pieces.processor(MODEL)
     want = [(i // 2, library.encode(t or ""), library.decode(library.encode(t or ""))) for i, t in enumerate(texts)]
     assert sorted(got) == sorted(want)
