@@ -8,13 +8,25 @@ about half of their blocks are equal; each block is a join key of 64 bits.  Of p
 shingles taken (texts of up to 127) the distance at that similarity is at most 28 bits, so the 32 blocks
 must share one; of longer texts they do but for about one pair in millions.
 
-A block that several texts share is not expanded into pairs at once.  Each of its texts first meets two of
-them: the one with the most company in all its blocks (the original among its edited copies), and one drawn
-per block.  The links found make components.  In blocks that still hold several, all pairs of texts of
-different components meet, in slices of a bounded number of the block's texts; so no pair that shares a
-block is left out, but for those already of one class.  A pair is dropped unseen only if its similarity can't be reached: by the sizes of both sets, or
-by their odd sketches, whose bits differ in no more places than the sets have shingles of their own.
-The others' whole shingle sets are compared.
+A block that several texts share is not expanded into pairs at once.  Each of its texts first meets the one with the
+most company in all its blocks (the original among its edited copies).  The links found make components, and of a
+block's texts only those of different components are compared any more.
+
+Where at most ``SMALL`` texts share a block these meet directly.  Larger blocks that still hold several components are taken
+apart by what their texts can still differ in.  Of n shingles let u be in no other of these texts: they count
+as differences to each of them.  A pair of similarity s differs in at most ``(n + m) * (1 - s) / (1 + s)`` shingles, so
+without those u and v in at most ``free(n, u) + free(m, v)``, where ``free(n, u) = n * (1 - s) / (1 + s) - u``.  If that is below
+zero the two can't be similar, and never meet: texts with many words of their own have no pairs among themselves.
+Else the shared shingles, cut into twice as many blocks as the freer of both needs, have a block in common.
+That text stands for the join, the other one looks for it, so the more two texts must agree in, the longer
+are the runs of shingles that are compared.  In each block those outside its largest component
+meet the others, in slices of a bounded number of texts.  No pair is left out, but for those already of one
+class, and pairs all of whose equal blocks are empty ones (below one in millions).  Those that meet are compared by their whole
+shingle sets, unless the sizes of both sets rule the similarity out, or their odd sketches, whose bits differ in no more
+places than the sets have shingles of their own.
+
+Null and empty texts have no shingles and no links.  Rows of equal text are one text here.  Columns other than
+the text are not looked at; an empty table has no links.
 """
 
 from __future__ import annotations
@@ -34,6 +46,7 @@ SIMILARITY = 0.8
 BLOCKS = 32
 TAKEN = 64  # shingles, at least, of a set that has as many; below twice as many
 ODD = 8  # longs of an odd sketch
+SMALL = 16  # texts of a block that meet directly, at most
 SLICE = 256  # texts of a block, about, that its other texts meet in one place
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -116,14 +129,9 @@ def candidates(keyed: DataFrame) -> DataFrame:
 
 def _met(shared: DataFrame) -> DataFrame:
     company = shared.groupBy("text_hash").agg(F.sum("crowd").alias("company"))
-    chosen = shared.join(company, "text_hash").groupBy("key").agg(
-        F.max_by("text_hash", F.struct("company", "text_hash")).alias("hub"),
-        F.min_by("text_hash", F.struct(F.xxhash64("key", "text_hash"), "text_hash")).alias("drawn"),
-    )
-    met = shared.join(chosen, "key").select("text_hash", F.explode(F.array("hub", "drawn")).alias("other"))
-    return met.where("text_hash != other").select(
-        F.least("text_hash", "other").alias("a"), F.greatest("text_hash", "other").alias("b")
-    ).distinct()
+    hubs = shared.join(company, "text_hash").groupBy("key").agg(F.max_by("text_hash", F.struct("company", "text_hash")).alias("other"))
+    met = shared.join(hubs, "key").where("text_hash != other")
+    return met.select(F.least("text_hash", "other").alias("a"), F.greatest("text_hash", "other").alias("b")).distinct()
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, text: str, similarity: float) -> DataFrame:
@@ -137,27 +145,86 @@ def _verified(docs: DataFrame, pairs: DataFrame, text: str, similarity: float) -
     return both.where(common >= F.lit(similarity) * (F.size("fa") + F.size("fb") - common)).select("a", "b")
 
 
-def remaining(shared: DataFrame, star: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``a < b``: the pairs that share a block, are of different components and may have the similarity.
+def _placed(shared: DataFrame, star: DataFrame) -> DataFrame:
+    """The members of blocks that hold several components, with their component ``part``.
 
     ``star`` has the smallest text ``a`` of the component of each text ``b`` that is linked to others.
-    The texts outside a block's largest component meet all its texts; a block of one component costs nothing.
     """
     of_text = star.select(F.col("b").alias("text_hash"), F.col("a").alias("root"))
     placed = shared.join(of_text, "text_hash", "left").select("key", "text_hash", "crowd", F.coalesce("root", "text_hash").alias("part"))
-    parts = placed.groupBy("key", "part").agg(F.count("*").alias("texts"))
-    mixed = parts.groupBy("key").agg(F.max_by("part", F.struct("texts", "part")).alias("largest"), F.count("*").alias("n")).where("n > 1").drop("n")
+    several = placed.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y").select("key")
+    return placed.join(several, "key")
+
+
+def _rung(x: float) -> int:
+    return 1 << max(0, int(np.ceil(np.log2(x))))
+
+
+def finer_blocks(found: np.ndarray, alone: np.ndarray, similarity: float = SIMILARITY) -> tuple[float, np.ndarray, np.ndarray]:
+    """What a set may differ in, the keys of its finer blocks, and of each whether the set stands for it."""
+    share = (1 - similarity) / (1 + similarity)
+    free = len(found) * share - len(alone)
+    rest = np.setdiff1d(found, alone, assume_unique=True)
+    keys, home = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=bool)]
+    # what a set looks for begins and ends beyond rounding of where another may stand
+    level, last = _rung(4 * abs(free) + 2 - 1e-6), _rung(4 * share * len(found) / similarity + 2 + 1e-6)
+    own = _rung(4 * max(free, 0) + 2 + 1e-7) if free >= -1e-7 else 0
+    while level <= last:
+        block = (_mixed(rest + _STEP) % np.uint64(level)).astype(np.int64)
+        sums = np.zeros(level, dtype=np.uint64)
+        np.add.at(sums, block, _mixed(rest + _MIX))
+        keys.append(_mixed(sums[np.unique(block)] + np.uint64(level)))
+        home.append(np.full(len(keys[-1]), level == own))
+        level *= 2
+    return free, np.concatenate(keys), np.concatenate(home)
+
+
+def _finer(docs: DataFrame, text: str, placed: DataFrame, similarity: float) -> DataFrame:
+    """``key, text_hash, part, home, free``: the finer blocks of these texts."""
+
+    def batch(found: pd.Series, alone: pd.Series) -> pd.DataFrame:
+        made = [finer_blocks(a.view(np.uint64), b.view(np.uint64), similarity) for a, b in zip(found, alone)]
+        return pd.DataFrame({"free": [m[0] for m in made], "keys": [m[1].view(np.int64) for m in made], "home": [m[2] for m in made]})
+
+    texts = written(placed.select("text_hash", "part").distinct(), "shingle-open")
+    sets = written(sets_of(docs, text, texts), "shingle-open-sets")
+    uses = sets.select("text_hash", F.explode("found").alias("shingle")).groupBy("shingle")
+    once = uses.agg(F.count("*").alias("n"), F.first("text_hash").alias("text_hash")).where("n = 1")
+    alone = once.groupBy("text_hash").agg(F.collect_list("shingle").alias("alone"))
+    none = F.array().cast("array<bigint>")
+    both = sets.join(alone, "text_hash", "left").withColumn("alone", F.coalesce("alone", none))
+    made = both.select("text_hash", F.pandas_udf(batch, "free double, keys array<bigint>, home array<boolean>")("found", "alone").alias("m"))
+    rows = made.select("text_hash", "m.free", F.explode(F.arrays_zip("m.keys", "m.home")).alias("k"))
+    return rows.select(F.col("k.keys").alias("key"), "text_hash", F.col("k.home").alias("home"), "free").join(texts, "text_hash")
+
+
+def across(placed: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``a < b``: the pairs of different components that share a block one of them stands for, and may be similar.
+
+    ``placed`` has ``key, text_hash, part, home, free``.  The texts outside a block's largest component meet all its
+    texts, the others those outside; a block of one component, or without a text that stands for it, costs nothing.
+    """
+    parts = placed.groupBy("key", "part").agg(F.count("*").alias("texts"), F.max("home").alias("home"))
+    mixed = parts.groupBy("key").agg(
+        F.max_by("part", F.struct("texts", "part")).alias("largest"), F.sum("texts").alias("crowd"), F.count("*").alias("n"), F.max("home").alias("any")
+    ).where("n > 1 AND any").select("key", "largest", "crowd")
     held = placed.join(mixed, "key").join(sketches, "text_hash").select(
-        "key", "text_hash", "part", "s", F.ceil(F.col("crowd") / SLICE).alias("slices"), (F.col("part") != F.col("largest")).alias("outside")
+        "key", "text_hash", "part", "home", "free", "s", F.ceil(F.col("crowd") / SLICE).alias("slices"), (F.col("part") != F.col("largest")).alias("outside")
     )
     held = written(held, "shingle-held")
-    all_texts = held.withColumn("slice", F.pmod(F.xxhash64("text_hash"), "slices")).alias("y")
-    outside = held.where("outside").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))).alias("x")
+    sliced = held.withColumn("slice", F.pmod(F.xxhash64("text_hash"), "slices"))
+    every_slice = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))
+    homes = held.where("home").withColumn("slice", every_slice)
     on = (F.col("x.key") == F.col("y.key")) & (F.col("x.slice") == F.col("y.slice")) & (F.col("x.part") != F.col("y.part"))
-    once = ~F.col("y.outside") | (F.col("x.text_hash") < F.col("y.text_hash"))
-    return outside.join(all_texts, on & once & reachable("x.s", "y.s", similarity)).select(
-        F.least("x.text_hash", "y.text_hash").alias("a"), F.greatest("x.text_hash", "y.text_hash").alias("b")
-    ).distinct()
+    on &= (F.col("x.free") + F.col("y.free") >= -1e-6) & reachable("x.s", "y.s", similarity)
+    # two that stand for a block, both outside, meet twice otherwise
+    once = ~(F.col("y.home") & F.col("y.outside")) | (F.col("x.text_hash") < F.col("y.text_hash"))
+    met = [
+        homes.where("outside").alias("x").join(sliced.alias("y"), on & once),
+        homes.where("NOT outside").alias("x").join(sliced.where("outside AND NOT home").alias("y"), on),
+    ]
+    pairs = [m.select(F.least("x.text_hash", "y.text_hash").alias("a"), F.greatest("x.text_hash", "y.text_hash").alias("b")) for m in met]
+    return pairs[0].union(pairs[1]).distinct()
 
 
 def similar(docs: DataFrame, keyed: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -173,5 +240,11 @@ def similar(docs: DataFrame, keyed: DataFrame, text: str = "text", similarity: f
     )
     pairs = written(met.where(reachable("sa", "sb", similarity)).select("a", "b"), "shingle-pairs")
     star = stars(_verified(docs, pairs, text, similarity))
-    rest = written(remaining(shared, star, sketches, similarity).join(pairs, ["a", "b"], "left_anti"), "shingle-rest")
+    placed = written(_placed(shared, star), "shingle-placed")
+    # in a small block each text stands for it, and nothing is known of what it has alone
+    small = placed.where(F.col("crowd") <= SMALL).withColumns({"home": F.lit(True), "free": F.lit(float("inf"))})
+    finer = written(_finer(docs, text, placed.where(F.col("crowd") > SMALL), similarity), "shingle-finer")
+    columns = ["key", "text_hash", "part", "home", "free"]
+    rest = across(small.select(*columns).union(finer.select(*columns)), sketches, similarity)
+    rest = written(rest.join(pairs, ["a", "b"], "left_anti"), "shingle-rest")
     return written(star.union(_verified(docs, rest, text, similarity)), "shingle-links")

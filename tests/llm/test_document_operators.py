@@ -242,6 +242,54 @@ def test_groups_without_their_original_like_brute_force(spark):
     assert collections.Counter(map(tuple, got)) == collections.Counter(want)
 
 
+@pytest.mark.parametrize("edits", [2, 3, 4])
+def test_joins_grow_with_the_texts_of_a_group_not_with_its_pairs(spark, monkeypatch, edits):
+    """Copies with their own words, the original missing: every table of the search, links included, is linear."""
+    written, rows_of = shingle_blocks.written, {}
+
+    def counted(df, name):
+        made = written(df, name)
+        rows_of.setdefault(name, []).append(made.count())
+        return made
+
+    monkeypatch.setattr(shingle_blocks, "written", counted)
+    rng = random.Random(5)
+    base = prose(rng, 100).split()
+    texts = []
+    for _ in range(400):
+        edited = list(base)
+        for at in rng.sample(range(100), edits):
+            edited[at] = f"word{rng.randrange(10**9)}"
+        texts.append(" ".join(edited))
+    links = []
+    for n in (100, 400):
+        docs = table(spark, [(k, t, "a") for k, t in enumerate(texts[:n])])
+        keyed = docs.select(F.xxhash64("text").alias("text_hash"), simhash.keyed_of(F.col("text")).alias("m")).select("text_hash", "m.*")
+        links.append(shingle_blocks.similar(docs, keyed).count())
+    assert all(few[1] <= 6 * few[0] + 200 for few in rows_of.values())
+    assert max(few[1] for few in rows_of.values()) < 130 * 400
+
+
+def test_finer_blocks_of_similar_sets_meet():
+    """Wherever two sets are similar enough, one stands for a block that the other looks for, whatever they have alone."""
+    rng, met = np.random.default_rng(3), 0
+    for n in (1, 2, 4, 9, 20, 60, 96, 150, 400, 2000):
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            gone, new = rng.integers(0, n // 5 + 1), rng.integers(0, n // 5 + 1)
+            b = np.unique(np.concatenate([a[gone:], rng.integers(0, 1 << 63, new, dtype=np.uint64)]))
+            common = len(np.intersect1d(a, b))
+            if common < 0.8 * (len(a) + len(b) - common):
+                continue
+            # of the shingles that one lacks, any may be in no other text
+            alone = [x[rng.random(len(x)) < rng.random()] for x in (np.setdiff1d(a, b), np.setdiff1d(b, a))]
+            (fa, ka, ha), (fb, kb, hb) = (shingle_blocks.finer_blocks(x, y) for x, y in zip((a, b), alone))
+            assert fa + fb >= -1e-9
+            met += 1
+            assert set(ka[ha]) & set(kb) or set(kb[hb]) & set(ka)
+    assert met > 150
+
+
 def test_copies_that_differ_in_repeats_of_a_line(spark):
     """Their sets are nearly equal, their SimHashes are not."""
     rng, rows = random.Random(10), []
