@@ -73,7 +73,9 @@ class Index:
     ``postings``    site, version, bucket, field, term, id, tf, dl, head, positions
     ``term_stats``  site, version, bucket, field, term, df
     ``field_stats`` site, version, field, n_docs, sum_dl
-    ``published``   site, version, n_buckets
+    ``published``   site, version, n_buckets; several versions of a site are its base and layers
+    ``tombstones``  site, version, id: documents that a layer replaces in earlier versions; None
+                    where every site serves one version
 
     ``dl`` (tokens of the document's field) rides on each posting so that
     scoring never joins postings with a per-document table.  ``head`` is true
@@ -87,3 +89,4 @@ class Index:
     term_stats: DataFrame
     field_stats: DataFrame
     published: DataFrame
+    tombstones: DataFrame | None = None

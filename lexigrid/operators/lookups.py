@@ -86,15 +86,27 @@ def _in_field() -> Column:
     return only.isNull() | (only == F.col("field"))
 
 
-def exact_lookups(asked: DataFrame, term_stats: DataFrame, field_stats: DataFrame) -> DataFrame:
-    """Per token of a term or phrase clause and field holding it: ``idf`` and ``avgdl``."""
+def exact_lookups(
+    asked: DataFrame, term_stats: DataFrame, field_stats: DataFrame, layered: DataFrame | None = None
+) -> DataFrame:
+    """Per token of a term or phrase clause and field holding it: ``idf`` and ``avgdl``.
+
+    With layers, of which ``layered(site, version)`` has all that are served, the statistics of a site are the
+    sums over its versions; a token then has a row per version that lists it.
+    """
+    if layered is not None:
+        served = field_stats.join(layered.select("site", "version"), ["site", "version"], "left_semi")
+        field_stats = served.groupBy("site", "field").agg(F.sum("n_docs").alias("n_docs"), F.sum("sum_dl").alias("sum_dl")).where("n_docs > 0")
+    where = ["site", "version", "field"] if layered is None else ["site", "field"]
     n, df = F.col("n_docs").cast("double"), F.col("df").cast("double")
+    found = term_stats.join(
+        asked.where(F.col("kind").isin("term", "phrase")), ["site", "version", "bucket", "term"]
+    ).where(_in_field())
+    if layered is not None:
+        token = Window.partitionBy("query_id", "site", "clause", "offset", "field")
+        found = found.withColumn("df", F.sum("df").over(token)).where("df > 0")
     return (
-        term_stats.join(
-            asked.where(F.col("kind").isin("term", "phrase")), ["site", "version", "bucket", "term"]
-        )
-        .where(_in_field())
-        .join(field_stats, ["site", "version", "field"])
+        found.join(field_stats, where)
         .withColumn("idf", F.log(1 + (n - df + 0.5) / (df + 0.5)))
         .withColumn("avgdl", F.col("sum_dl") / F.col("n_docs"))
         .drop("n_docs", "sum_dl")

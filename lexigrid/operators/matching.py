@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexigrid.model import Bm25
+from lexigrid.operators.upkeep import without_replaced
 from lexigrid.session import written
 
 _POSTING_KEY = ["site", "version", "bucket", "field", "term"]
 _WANTED = (
     *_POSTING_KEY, "query_id", "clause", "occur", "n_must", "n_should", "idf", "avgdl", "boost"
 )
-_CLAUSE = ["query_id", "site", "clause", "field"]
+_CLAUSE = ["query_id", "site", "version", "clause", "field"]  # a document is whole in one version
 _DOCUMENT = [*_CLAUSE, "id"]
 _PARTS = ("query_id", "site", "id", "clause", "field", "occur", "n_must", "n_should", "added", "flat")
 
@@ -23,17 +24,17 @@ def _saturated(tf: Column, bm25: Bm25) -> Column:
     return tf * (bm25.k1 + 1) / (tf + bm25.k1 * norm)
 
 
-def term_matches(postings: DataFrame, lookups: DataFrame, bm25: Bm25) -> DataFrame:
-    """Postings of term and wildcard clauses, found in one scan.
+def term_matches(postings: DataFrame, lookups: DataFrame, bm25: Bm25, tombstones: DataFrame | None = None) -> DataFrame:
+    """Postings of term and wildcard clauses, found in one scan; those of replaced documents are left out.
 
     A term's weight goes to ``added``.  A wildcard's goes to ``flat``: it is
     constant, however many terms match.  Positions are not read.
     """
     wanted = lookups.where(F.col("kind").isin("term", "prefix", "suffix", "contains"))
     weight = F.col("boost") * F.col("idf") * _saturated(F.col("tf").cast("double"), bm25)
+    matched = postings.select(*_POSTING_KEY, "id", "tf", "dl").join(wanted.select(*_WANTED), _POSTING_KEY)
     return (
-        postings.select(*_POSTING_KEY, "id", "tf", "dl")
-        .join(wanted.select(*_WANTED), _POSTING_KEY)
+        without_replaced(matched, tombstones)
         .withColumn("added", weight)
         .withColumn("flat", F.when(F.col("idf").isNull(), F.col("boost")))
         .select(*_PARTS)
@@ -52,14 +53,11 @@ def phrase_lookups(lookups: DataFrame) -> DataFrame:
     )
 
 
-def phrase_candidates(postings: DataFrame, wanted: DataFrame) -> DataFrame:
+def phrase_candidates(postings: DataFrame, wanted: DataFrame, tombstones: DataFrame | None = None) -> DataFrame:
     """The documents holding a phrase's rarest token."""
     rarest = wanted.where(F.col("_nth") == 1)
-    return (
-        postings.select(*_POSTING_KEY, "id")
-        .join(rarest.select(*_POSTING_KEY, "query_id", "clause"), _POSTING_KEY)
-        .select(*_DOCUMENT)
-    )
+    matched = postings.select(*_POSTING_KEY, "id").join(rarest.select(*_POSTING_KEY, "query_id", "clause"), _POSTING_KEY)
+    return without_replaced(matched, tombstones).select(*_DOCUMENT)
 
 
 def phrase_postings(candidates: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -44,6 +44,15 @@ def current(rows: DataFrame, published: DataFrame) -> DataFrame:
     return rows.join(published.select("site", "version"), ["site", "version"], "left_semi")
 
 
+def without_replaced(rows: DataFrame, tombstones: DataFrame | None) -> DataFrame:
+    """Rows ``(site, version, id, ...)`` but for those of documents that a later layer of their site names."""
+    if tombstones is None:
+        return rows
+    later = tombstones.select(F.col("site").alias("_site"), F.col("id").alias("_id"), F.col("version").alias("_later"))
+    same = (F.col("site") == F.col("_site")) & (F.col("id") == F.col("_id"))
+    return rows.join(later, same & (F.col("version") < F.col("_later")), "left_anti")
+
+
 def reindex_projection(
     keywords: DataFrame, published: DataFrame, mapping: DataFrame, version: int
 ) -> DataFrame:

@@ -1,6 +1,6 @@
 """Jobs that change a stored index.
 
-Each writes a whole new version and publishes it last.  Postings of documents
+Each writes a whole new version and publishes it last; ``layers.py`` has those that write only what changes.  Postings of documents
 that did not change are copied, not computed again: where the changed documents
 are few enough to broadcast, the others are read bucket by bucket and written to
 the same buckets, without a shuffle.
@@ -26,10 +26,19 @@ _BROADCAST_KEYS = 1_000_000
 
 
 def _served(store: IndexStore, name: str, site: str | None = None) -> DataFrame:
-    rows = upkeep.current(store.table(name), store.published())
+    rows = store.live(name)
     return rows if site is None else rows.where(F.col("site") == site)
 
 
+def _pointer(store: IndexStore, site: str) -> tuple[int, int]:
+    """The last version a site serves, and the buckets of all it serves, -1 if they differ."""
+    rows = store.published().where(F.col("site") == site).collect()  # a base and its layers
+    if not rows:
+        raise ValueError(f"site {site!r} serves no index")
+    buckets = {r["n_buckets"] for r in rows}
+    return max(r["version"] for r in rows), buckets.pop() if len(buckets) == 1 else -1
+
+
 def reindex_site(store: IndexStore, site: str, mapping: DataFrame, version: int) -> dict:
     """Rebuild a site without fields no longer mapped; publish the result.
 
@@ -37,16 +46,14 @@ def reindex_site(store: IndexStore, site: str, mapping: DataFrame, version: int)
     fails nothing is published and readers keep the old version.
     """
     fields = mapping.select("field").distinct()
-    old = store.published().where(F.col("site") == site).first()
-    if old is None:
-        raise ValueError(f"site {site!r} serves no index")
+    old, old_buckets = _pointer(store, site)
     kept = _served(store, "keywords", site).join(fields, "field", "left_semi")
     store.write_keywords(kept, version)
     kept_postings = _served(store, "postings", site).join(fields, "field", "left_semi")
-    _copy_postings(store, kept_postings, old["n_buckets"], version)
+    _copy_postings(store, kept_postings, old_buckets, version)
     store.publish_version(version)
     total = upkeep.indexed_ids(store.version("keywords", version)).count()
-    return {"old": old["version"], "new": version, "total": total}
+    return {"old": old, "new": version, "total": total}
 
 
 def update_mapping(store: IndexStore, mapping: DataFrame, version: int) -> DataFrame:
@@ -73,15 +80,13 @@ def update_mapping(store: IndexStore, mapping: DataFrame, version: int) -> DataF
 
 def clone_site(store: IndexStore, source_site: str, target_site: str, version: int) -> None:
     """Serve a copy of one site's index as another site's."""
-    old = store.published().where(F.col("site") == source_site).first()
-    if old is None:
-        raise ValueError(f"site {source_site!r} serves no index")
+    _, old_buckets = _pointer(store, source_site)
     renamed = {
         name: _served(store, name, source_site).withColumn("site", F.lit(target_site))
         for name in ("keywords", "postings")
     }
     store.write_keywords(renamed["keywords"], version)
-    _copy_postings(store, renamed["postings"], old["n_buckets"], version)
+    _copy_postings(store, renamed["postings"], old_buckets, version)
     store.publish_version(version)
 
 
@@ -106,7 +111,7 @@ def compact(
     shuffles all postings of the touched sites together again; use it now and
     then.
     """
-    fresh = written(_unapplied(newest_changes(log), store), "changes")
+    fresh = written(unapplied(newest_changes(log), store), "changes")
     touched = written(fresh.select("site", "id", "ts", "seq").distinct(), "touched")
     if touched.isEmpty():
         return
@@ -138,7 +143,7 @@ def purge_orphans(store: IndexStore, live: DataFrame, version: int) -> None:
         _replace(store, gone, None, version)
 
 
-def _unapplied(newest: DataFrame, store: IndexStore) -> DataFrame:
+def unapplied(newest: DataFrame, store: IndexStore) -> DataFrame:
     """Changes later than the last one applied to their document."""
     last = store.applied().groupBy("site", "id").agg(F.max(F.struct("ts", "seq")).alias("_applied"))
     rows = newest.join(last, ["site", "id"], "left")

@@ -105,7 +105,8 @@ def search_clauses(
     needs = Needs(**seen.get)
     found = []
     if needs.exact or needs.phrase or not needs.wildcard:
-        found.append(exact_lookups(asked, index.term_stats, index.field_stats))
+        layered = None if index.tombstones is None else index.published
+        found.append(exact_lookups(asked, index.term_stats, index.field_stats, layered))
     if needs.wildcard:
         found.append(wildcard_lookups(asked, index.term_stats))
     lookups = written(with_boosts(_union(found), field_boosts), "lookups")
@@ -113,10 +114,10 @@ def search_clauses(
     postings = index.postings
     matches = []
     if needs.exact or needs.wildcard or not needs.phrase:
-        matches.append(restrict(term_matches(postings, lookups, bm25)))
+        matches.append(restrict(term_matches(postings, lookups, bm25, index.tombstones)))
     if needs.phrase:
         wanted = phrase_lookups(lookups)
-        candidates = restrict(phrase_candidates(postings, wanted))
+        candidates = restrict(phrase_candidates(postings, wanted, index.tombstones))
         needed = written(phrase_postings(candidates, wanted), "candidates")
         matches.append(phrase_matches(postings, needed, bm25))
     if needs.everything:

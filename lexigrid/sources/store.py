@@ -8,10 +8,13 @@ Layout below the root::
     field_stats/version=V/site=S/
     published/seq=N/                       which version each site serves; the last counts
     applied/version=V/site=S/              the last logged change of each document that V took in
+    tombstones/version=V/site=S/           the documents that the layer V replaces in earlier versions
+    reserved/name=N/                       the version number a named batch has
 
 A version is written whole, into its own folders, and never changed.  Writing
 it again (a retried job) replaces those folders.  Readers only see a version
-once its ``published`` rows exist, and those are written last.
+once its ``published`` rows exist, and those are written last.  A layer is a version of few documents that
+a site serves beside an earlier one; its statistics are differences, see ``plans/layers.py``.
 """
 
 from __future__ import annotations
@@ -19,15 +22,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from lexigrid.functions.analysis import STANDARD
 from lexigrid.model import KEYWORDS, Analyzer, Index
-from lexigrid.operators.postings import field_stats, postings, term_stats
-from lexigrid.operators.upkeep import orphaned_versions
+from lexigrid.operators.postings import field_stats, postings, term_bucket, term_stats
+from lexigrid.operators.upkeep import current, orphaned_versions, without_replaced
 from lexigrid.session import literal_table
 from lexigrid.sources.elements import select_site
 
@@ -42,12 +44,15 @@ _SCHEMAS = {
     "published": "site string, version bigint, n_buckets int, seq bigint",
     "layout": "n_buckets int, version bigint",
     "applied": "id bigint, ts timestamp, seq bigint, version bigint, site string",
+    "tombstones": "id bigint, version bigint, site string",
+    "reserved": "version bigint, name string",
 }
 _PARTITIONS = {
     "keywords": ["site"],
     "postings": ["site", "bucket"],
     "term_stats": ["site", "bucket"],
     "field_stats": ["site"],
+    "tombstones": ["site"],
 }
 # point reads by id skip row groups; the filter is sized to what it holds
 _OPTIONS = {
@@ -61,6 +66,7 @@ _ORDER = {
     "postings": ["field", "term", "id"],
     "term_stats": ["field", "term"],
     "field_stats": ["field"],
+    "tombstones": ["id"],
 }
 
 
@@ -93,14 +99,15 @@ class IndexStore:
         """All versions of one table, published or not."""
         path = f"{self.root}/{name}"
         reader = self.spark.read.schema(_SCHEMAS[name]).option("basePath", path)
-        try:
+        if self._exists(path):
             return reader.parquet(path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.sql("SELECT 1 AS x WHERE false").select(
-                *[F.lit(None).cast(f.dataType).alias(f.name) for f in _parsed(_SCHEMAS[name])]
-            )
+        return self.spark.sql("SELECT 1 AS x WHERE false").select(
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in _parsed(_SCHEMAS[name])]
+        )
+
+    def _exists(self, folder: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
     def version(self, name: str, version: int) -> DataFrame:
         """One version of one table, published or not."""
@@ -117,10 +124,25 @@ class IndexStore:
         pointers = pointers.where(F.lit(False)) if last is None else pointers.where(F.col("seq") == last)
         return pointers.select("site", "version", "n_buckets")
 
+    def tombstones(self) -> DataFrame | None:
+        """``(site, version, id)`` of the layers served; None if the store has never had a layer."""
+        rows = self.table("tombstones")
+        return current(rows, self.published()).select("site", "version", "id") if rows.inputFiles() else None
+
+    def live(self, name: str) -> DataFrame:
+        """What is served of ``keywords`` or ``postings``: base and layers, without replaced documents."""
+        return without_replaced(current(self.table(name), self.published()), self.tombstones())
+
+    def bucketed(self, posting_table: DataFrame) -> DataFrame:
+        """Posting rows with this store's buckets."""
+        return posting_table.withColumn("bucket", term_bucket("term", self.n_buckets))
+
     def index(self) -> Index:
         """The stored tables, ready for search; search reads published versions only."""
+        tombstones = self.tombstones()
         return Index(
-            keywords=self.table("keywords").drop("bytes"),
+            tombstones=tombstones,
+            keywords=without_replaced(self.table("keywords").drop("bytes"), tombstones),
             postings=self.table("postings"),
             term_stats=self.table("term_stats"),
             field_stats=self.table("field_stats"),
@@ -172,6 +194,46 @@ class IndexStore:
         self._write("term_stats", version, term_stats(stored))
         self._write("field_stats", version, field_stats(stored))
 
+    def write_layer(
+        self, changed: DataFrame, touched: DataFrame, replaced: DataFrame, version: int, analyzer: Analyzer = STANDARD
+    ) -> None:
+        """Store ``changed(site, id, field, text)`` as a layer that replaces the documents ``touched(site, id)``.
+
+        ``replaced`` are the postings these had so far; the layer's statistics are its own less theirs.
+        """
+        self.write_keywords(changed, version)
+        layout = self.spark.range(1).select(F.lit(self.n_buckets).alias("n_buckets"))
+        layout.write.mode("overwrite").parquet(f"{self.root}/layout/version={version}")
+        self._write("postings", version, postings(self.version("keywords", version), self.n_buckets, analyzer))
+        narrow = ["site", "bucket", "field", "term", "dl", "head"]
+        added = self.version("postings", version).select(*narrow, F.lit(1).alias("sign"))
+        both = added.unionByName(self.bucketed(replaced).select(*narrow, F.lit(-1).alias("sign")))
+        # a term stays listed where both are equal, as the layer has postings of it
+        terms = both.groupBy("site", "bucket", "field", "term").agg(F.sum("sign").alias("df"))
+        fields = both.where("head").groupBy("site", "field").agg(
+            F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("dl")).alias("sum_dl")
+        )
+        self._write("term_stats", version, terms)
+        self._write("field_stats", version, fields)
+        self._write("tombstones", version, touched.select("site", "id"))
+
+    def publish_layer(self, sites: DataFrame, version: int) -> None:
+        """Let these sites serve a layer beside what they serve."""
+        new = sites.select("site", F.lit(version).cast("bigint").alias("version"), F.lit(self.n_buckets).alias("n_buckets"))
+        self._write_pointers(self.published().unionByName(new))
+
+    def reserve(self, name: str) -> int:
+        """The version number of a named batch: the one it has, else the next after all that are known."""
+        given = self.table("reserved")
+        had = given.where(F.col("name") == name).first()
+        if had is not None:
+            return had["version"]
+        known = given.select("version").union(self.published().select("version")).union(self.table("layout").select("version"))
+        version = (known.agg(F.max("version")).first()[0] or 0) + 1
+        row = self.spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+        row.write.mode("overwrite").parquet(f"{self.root}/reserved/name={name}")
+        return version
+
     def publish_version(self, version: int) -> None:
         """Let every site of a complete version serve it from now on."""
         sites = self.version("keywords", version).select("site").distinct()
@@ -193,6 +255,10 @@ class IndexStore:
         """``(site, id, ts, seq)``: logged changes taken in so far, by any version."""
         return self.table("applied").select("site", "id", "ts", "seq")
 
+    def applied_by(self, version: int) -> DataFrame:
+        """The changes a version has noted."""
+        return self.version("applied", version)
+
     def record_applied(self, changes: DataFrame, version: int) -> None:
         """Remember changes ``(site, id, ts, seq)``; after publishing, so that a failed run forgets them."""
         path = f"{self.root}/applied/version={version}"
@@ -206,12 +272,12 @@ class IndexStore:
 
     def purge_versions(self, site: str | None = None) -> list[tuple[str, int]]:
         """Delete the versions no pointer names, of one served site or all; returns them."""
-        rows = select_site(self.table("keywords"), site)
+        rows = select_site(self._versions(), site)
         return self._remove(orphaned_versions(rows, self.published()))
 
     def drop_site(self, site: str) -> list[tuple[str, int]]:
         """Stop serving a site and delete all its versions; returns them."""
-        rows = self.table("keywords").where(F.col("site") == site)
+        rows = self._versions().where(F.col("site") == site)
         self.withdraw(literal_table(self.spark, "site string", [(site,)]))
         self._remove(self.table("applied").where(F.col("site") == site), ["applied"])
         return self._remove(rows)
@@ -228,6 +294,10 @@ class IndexStore:
                 path.getFileSystem(conf).delete(path, True)
         return names
 
+    def _versions(self) -> DataFrame:
+        # a layer that only removes has no documents
+        return self.table("keywords").select("site", "version").union(self.table("tombstones").select("site", "version"))
+
     def _without(self, sites: DataFrame) -> DataFrame:
         return self.published().join(sites.select("site"), "site", "left_anti")
 

@@ -312,7 +312,22 @@ UPSERTED = f"""
   SELECT * FROM ({ALL_KW}) WHERE (site, id) NOT IN (SELECT (site, id) FROM ({CHANGES}))
   UNION ALL SELECT * FROM ({CHANGES})"""
 
+# after changes, removal of bad documents and a purge of what is neither labelled nor new
+LAYERED = f"""
+  SELECT * FROM ({UPSERTED}) WHERE (site = 'catalog' OR id NOT IN (SELECT doc_id FROM labels WHERE quality = 0))
+    AND (id IN (SELECT doc_id FROM labels) OR id IN (SELECT item_id + 1000000000000 FROM benchmark))"""
+
 JOBS = {
+    "delta_search": hits(JOB_CLAUSES, keywords=LAYERED),
+    "delta_merged_search": hits(JOB_CLAUSES, keywords=LAYERED),
+    "delta_stats": f"WITH {tokenised(LAYERED)}, {STATS} SELECT * FROM ts JOIN fs USING (site, field)",
+    "stream_search": hits(
+        [
+            must(1, 0, "click", "users"), must(2, 0, "view", "users"), must_not(3, 0, "click", "users"),
+            must(4, 0, "purchase", "users"),
+        ],
+        keywords=f"SELECT site, id, field, text FROM ({LATEST})",
+    ),
     "compact_search": hits(JOB_CLAUSES, keywords=UPSERTED),
     "compact_after_reload": ALL_KW,
     "purge_orphans_search": hits(JOB_CLAUSES, keywords=f"SELECT * FROM ({ALL_KW}) WHERE id IN (SELECT doc_id FROM labels)"),

@@ -11,7 +11,7 @@ from lexigrid.functions.names import map_attribute, map_field
 from lexigrid.model import BOOSTS, QUERY_TERMS, SITES, STOPWORDS
 from lexigrid.operators import reports, upkeep
 from lexigrid.operators.clauses import build_clauses
-from lexigrid.plans import jobs
+from lexigrid.plans import jobs, layers
 from lexigrid.plans.jobs import fan_out
 from lexigrid.plans.search import search
 from lexigrid.session import fresh_dir, literal_table
@@ -183,6 +183,46 @@ def _compact_after_reload(spark, sf_dir):
     return upkeep.current(served.keywords, served.published).select("site", "id", "field", "text")
 
 
+def _as_layers(spark, sf_dir, store):
+    """An upsert, a removal and a purge, each a layer over the one before."""
+    layers.apply_changes(store, _change_log(spark, sf_dir), 2)
+    layers.remove(store, _bad_documents(spark, sf_dir), 3)
+    layers.remove_orphans(store, _live_or_new(spark, sf_dir), 4)
+
+
+def _live_or_new(spark, sf_dir):
+    new = D.table(spark, sf_dir, "benchmark").select((F.col("item_id") + 1_000_000_000_000).alias("id"))
+    return _live(spark, sf_dir).union(new)
+
+
+def _merged(spark, sf_dir, store):
+    _as_layers(spark, sf_dir, store)
+    layers.merge_layers(store, 5)
+
+
+def _delta_stats(spark, sf_dir):
+    """Document frequencies by difference, and the rows of fields beside them."""
+    store = D.new_store(spark, sf_dir)
+    _as_layers(spark, sf_dir, store)
+    served = store.index()
+    terms = upkeep.current(served.term_stats, served.published).groupBy("site", "field", "term").agg(F.sum("df").alias("df")).where("df > 0")
+    fields = upkeep.current(served.field_stats, served.published).groupBy("site", "field").agg(
+        F.sum("n_docs").alias("n_docs"), F.sum("sum_dl").alias("sum_dl")
+    )
+    return terms.join(fields, ["site", "field"])
+
+
+def _stream_search(spark, sf_dir):
+    """The change log of users, in several micro-batches, each replayed once, then searched."""
+    store = D.IndexStore(spark, fresh_dir(spark, "index"), 8)
+    path = fresh_dir(spark, "events")
+    D.table(spark, sf_dir, "events").repartitionByRange(3, "event_id").write.parquet(path)
+    stream = spark.readStream.schema(D.table(spark, sf_dir, "events").schema).option("maxFilesPerTrigger", 1).parquet(path)
+    layers.stream_search(D.event_changes(stream), store, fresh_dir(spark, "index-state")).awaitTermination()
+    rows = [term(1, 0, "click", "users"), term(2, 0, "view", "users"), term(3, 0, "click", "users", exclude=True), term(4, 0, "purchase", "users")]
+    return search(store.index(), literal_table(spark, QUERY_TERMS, rows))
+
+
 def _reindex(spark, sf_dir, store):
     mapping = literal_table(spark, "field string", [("attribute_title",), ("field_1",)])
     jobs.reindex_site(store, "catalog", mapping, 2)
@@ -473,6 +513,11 @@ QUERIES = {
     "mapping_search": _after(lambda spark, sf_dir, store: jobs.update_mapping(store, _narrow_mapping(spark), 2)),
     "clone_search": _after(lambda spark, sf_dir, store: jobs.clone_site(store, "en", "copy", 2)),
     "stored_index_stats": _stored_index_stats,
+    # layers
+    "delta_search": _after(_as_layers),
+    "delta_merged_search": _after(_merged),
+    "delta_stats": _delta_stats,
+    "stream_search": _stream_search,
     # options and single steps
     "clauses_options": _clauses_options,
     "prefixed_names": _prefixed_names,
