@@ -165,12 +165,15 @@ class IndexStore:
         if publish:
             self.publish_version(version)
 
-    def write_keywords(self, keywords: DataFrame, version: int) -> None:
-        """Store the documents of one version, where they are: no shuffle."""
+    def write_keywords(self, keywords: DataFrame, version: int, few: bool = False) -> None:
+        """Store the documents of one version, where they are: no shuffle.
+
+        ``few`` leaves out the filter on IDs, which has a least size whatever it holds.
+        """
         if not self.published().where(F.col("version") == version).isEmpty():
             raise ValueError(f"version {version} is being served; use a new number")
         size = F.octet_length("text").cast("bigint").alias("bytes")  # reports then need no text
-        self._write("keywords", version, keywords.select("site", "id", "field", "text", size), shuffle=False)
+        self._write("keywords", version, keywords.select("site", "id", "field", "text", size), shuffle=False, lookup=not few)
 
     def write_postings(
         self,
@@ -201,7 +204,7 @@ class IndexStore:
 
         ``replaced`` are the postings these had so far; the layer's statistics are its own less theirs.
         """
-        self.write_keywords(changed, version)
+        self.write_keywords(changed, version, few=True)
         layout = self.spark.range(1).select(F.lit(self.n_buckets).alias("n_buckets"))
         layout.write.mode("overwrite").parquet(f"{self.root}/layout/version={version}")
         self._write("postings", version, postings(self.version("keywords", version), self.n_buckets, analyzer))
@@ -320,6 +323,7 @@ class IndexStore:
         rows: DataFrame,
         shuffle: bool = True,
         mode: str = "overwrite",
+        lookup: bool = True,
     ) -> None:
         parts = _PARTITIONS[name]
         if shuffle:
@@ -330,7 +334,7 @@ class IndexStore:
             rows.drop("version")
             .sortWithinPartitions(*parts, *_ORDER[name])
             .write.mode(mode)
-            .options(**_OPTIONS.get(name, {}))
+            .options(**(_OPTIONS.get(name, {}) if lookup else {}))
             .partitionBy(*parts)
             .parquet(f"{self.root}/{name}/version={version}")
         )
