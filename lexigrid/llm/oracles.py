@@ -45,7 +45,7 @@ WITH d AS (
   SELECT arg_min(level, rn) AS level FROM (SELECT level, row_number() OVER (ORDER BY stop / weight, rank) AS rn
     FROM leveled WHERE level * weight <= stop)
 ), targets AS (
-  SELECT l.source, source_size, rank, total, greatest(1, total // 262144) AS block,
+  SELECT l.source, source_size, rank, total, greatest(1, least(total // 262144, (SELECT coalesce(min(source_size) FILTER (source_size > 0), 1) FROM s) // 1000)) AS block,
     CASE WHEN stop < weight * c.level THEN stop::DOUBLE ELSE weight * c.level END AS target FROM leveled l, chosen c
 ), seats AS (
   SELECT rank, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, rank, k) AS place, total // block AS seats

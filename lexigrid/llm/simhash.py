@@ -132,7 +132,9 @@ def _labelled(slim: DataFrame, distance: int) -> DataFrame:
 
 def similar_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = WORDS, distance: int = DISTANCE,
                     similarity: float = shingle_blocks.SIMILARITY) -> DataFrame:
-    """As ``classes``, with classes joined where texts of both are near copies by five-word shingles."""
+    """As ``classes``, with classes joined where texts of both are near copies by five-word shingles, 0.8 similar or more."""
+    if similarity < shingle_blocks.SIMILARITY:
+        raise ValueError(f"blocks are made for a similarity of {shingle_blocks.SIMILARITY} or more")
     t = text_of(text)
     made = docs.select(F.col(id).alias("id"), F.xxhash64(t).alias("text_hash"), keyed_of(t, n).alias("made"))
     slim = written(made.select("id", "text_hash", "made.*"), "simhash-keyed")

@@ -38,6 +38,17 @@ def test_queries_like_their_sql(spark, key):
     assert difference(QUERIES[key](spark, sf_dir).toPandas(), con.execute(ORACLES[key]).df()) is None
 
 
+def test_mixing_like_its_sql_with_a_tiny_source(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(i, "w " * rng.randint(1, 400), "en", rng.choice("abc"), 1) for i in range(1500)]
+    rows += [(2000, "one two three four", "en", "tiny", 1), (2001, "five six seven eight", "en", "tiny", 1), (2002, None, "en", None, 1)]
+    # the other tables are not read
+    table(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert difference(QUERIES["op8_mixing"](spark, str(tmp_path)).toPandas(), con.execute(ORACLES["op8_mixing"]).df()) is None
+
+
 # Merkle manifest
 
 def h(*parts):
