@@ -41,6 +41,36 @@ def term_matches(postings: DataFrame, lookups: DataFrame, bm25: Bm25, tombstones
     )
 
 
+def rarest_required(lookups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of queries all of whose required clauses are in the vocabulary: the rarest one's lookups, and the other clauses'.
+
+    A clause has at most as many documents as its terms have postings.  A query with a required clause that no term
+    matches is in neither: nothing can answer it.
+    """
+    query = ["query_id", "site"]
+    costs = lookups.where((F.col("kind") != "phrase") & (F.col("occur") == "must")).groupBy(*query, "clause", "n_must").agg(F.sum("df").alias("cost"))
+    chosen = costs.groupBy(*query, "n_must").agg(
+        F.count("*").alias("_found"), F.min_by("clause", F.struct("cost", "clause")).alias("_rarest")
+    )
+    chosen = chosen.where(F.col("_found") == F.col("n_must")).select(*query, "_rarest")
+    both = lookups.join(chosen, query)
+    first = F.col("clause") == F.col("_rarest")
+    return both.where(first).drop("_rarest"), both.where(~first).drop("_rarest")
+
+
+def candidate_postings(candidates: DataFrame, rest: DataFrame) -> DataFrame:
+    """The key of each posting that may add to a candidate ``(query_id, site, id)``: candidates times terms, whatever their postings."""
+    terms = rest.where(F.col("kind") == "term").select(*_WANTED)
+    return candidates.join(terms, ["query_id", "site"]).select(*_WANTED, "id")
+
+
+def candidate_matches(postings: DataFrame, needed: DataFrame, bm25: Bm25, tombstones: DataFrame | None = None) -> DataFrame:
+    """The postings that are needed: each key meets at most one, so a common term costs no more than a rare one."""
+    matched = postings.select(*_POSTING_KEY, "id", "tf", "dl").join(needed, [*_POSTING_KEY, "id"])
+    weight = F.col("boost") * F.col("idf") * _saturated(F.col("tf").cast("double"), bm25)
+    return without_replaced(matched, tombstones).withColumn("added", weight).withColumn("flat", F.lit(None).cast("double")).select(*_PARTS)
+
+
 def phrase_lookups(lookups: DataFrame) -> DataFrame:
     """Lookups of phrases whose every token occurs in the field, numbered rarest first."""
     clause = Window.partitionBy(*_CLAUSE)

@@ -429,6 +429,8 @@ ORACLES = {
     "field_stats": f"WITH {tokenised(ALL_KW)}, {STATS} SELECT * FROM fs",
     "clauses": CLAUSES,
     **SEARCH,
+    "search_candidates": SEARCH["search_boolean"],
+    "search_candidates_scoped": SEARCH["search_scoped"],
     "indexed_ids": f"SELECT DISTINCT site, id FROM ({ALL_KW})",
     "source": f"SELECT site, CAST(1 AS BIGINT) AS version, id, field, text FROM ({ALL_KW}) WHERE id = 7",
     "upsert_documents": f"""WITH ch AS ({CHANGES})

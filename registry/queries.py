@@ -502,6 +502,9 @@ QUERIES = {
     "search_topk": _search("search_topk", k=10),
     "search_hook": _search_hook,
     "search_batch": _search_batch,
+    # by the documents of the rarest required clause, however few there are
+    "search_candidates": _search("search_boolean", candidates_from=0),
+    "search_candidates_scoped": _search("search_scoped", scope=_scope, candidates_from=0),
     "search_scope_only": _search("search_scoped", scope=_scope, on_empty_scope="none"),
     # jobs on a stored index
     "compact_search": _after(lambda spark, sf_dir, store: jobs.compact(store, _change_log(spark, sf_dir), 2)),

@@ -127,3 +127,24 @@ def test_a_site_may_begin_with_a_layer_and_be_emptied(spark):
     layers.apply_changes(store, log(spark, ("c", 1, "delete", 2, None)), 2)
     assert answers(store) == {} and rows_of(store.live("postings"), "id") == []
     assert keywords(spark, BASE).count() and store.drop_site("c") == [("c", 1), ("c", 2)]
+
+
+def test_candidates_first_gives_the_same_hits_and_meets_few_postings(spark, monkeypatch):
+    from lexigrid.plans import search as plan
+
+    rows = [("a", i, "attribute_text", "the common words " + ("rare " if i in (7, 70) else "") + f"word{i}") for i in range(300)]
+    store = stored(spark, rows)
+    layers.apply_changes(store, log(spark, ("a", 70, "upsert", 1, "the rare again")), 2)
+    asked = [term(1, 0, "the"), term(1, 1, "rare"), term(1, 2, "common", exclude=True), term(2, 0, "rare"), term(2, 1, "the"), term(2, 2, "wor", sub_right=True),
+             term(3, 0, "the"), term(3, 1, "nowhere"), term(4, 0, "the common", phrase=True), term(4, 1, "word7", exclude=True), term(5, 0, "rare")]
+    kept, written = {}, plan.written
+
+    def keep(df, name):
+        kept[name] = written(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(plan, "written", keep)
+    found = hits_of(search(store.index(), query_terms(spark, *asked), candidates_from=0))
+    assert found == hits_of(search(store.index(), query_terms(spark, *asked))) and [i for i, _ in found[1]] == [70] and [i for i, _ in found[2]] == [7]
+    # three candidates of each query, as the replaced version of one does not count, times the versions and clauses
+    assert kept["rarest"].count() <= 6 and kept["needed"].count() <= 2 * 2 * kept["required"].count()
