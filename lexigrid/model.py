@@ -76,6 +76,8 @@ class Index:
     ``published``   site, version, n_buckets; several versions of a site are its base and layers
     ``tombstones``  site, version, id: documents that a layer replaces in earlier versions; None
                     where every site serves one version
+    ``dictionary``  site, version, kind, key, field, term, df, bucket: the vocabulary in the order wildcards
+                    ask for; None where it is made from ``term_stats`` in each search
 
     ``dl`` (tokens of the document's field) rides on each posting so that
     scoring never joins postings with a per-document table.  ``head`` is true
@@ -90,3 +92,4 @@ class Index:
     field_stats: DataFrame
     published: DataFrame
     tombstones: DataFrame | None = None
+    dictionary: DataFrame | None = None

@@ -1,11 +1,12 @@
 """Clauses to lookups: which indexed terms, in which fields, a clause asks for.
 
-Everything here works on the vocabulary (``term_stats``), never on postings.
+Everything here works on the vocabulary (``term_stats`` and ``dictionary``), never on postings.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +15,11 @@ from pyspark.sql.window import Window
 from lexigrid.functions.analysis import STANDARD, tokens
 from lexigrid.model import Analyzer
 from lexigrid.operators.postings import term_bucket
+from lexigrid.session import written
 
 _WILDCARDS = ("prefix", "suffix", "contains")
 _GRAM = 3  # characters of a pattern that are joined; the rest is verified
+_RANGES = 16  # into which the patterns of a search are dealt
 
 
 @dataclass(frozen=True)
@@ -25,6 +28,7 @@ class Needs:
 
     exact: bool
     wildcard: bool
+    inner: bool
     phrase: bool
     everything: bool
 
@@ -76,6 +80,7 @@ def needs_metrics() -> list[Column]:
     return [
         some(kind == "term").alias("exact"),
         some(kind.isin(*_WILDCARDS)).alias("wildcard"),
+        some(_is_inner(F.col("term"))).alias("inner"),
         some(kind == "phrase").alias("phrase"),
         some((F.col("n_must") == 0) & (F.col("n_should") == 0)).alias("everything"),
     ]
@@ -113,72 +118,91 @@ def exact_lookups(
     )
 
 
-def wildcard_lookups(asked: DataFrame, term_stats: DataFrame) -> DataFrame:
-    """The vocabulary terms each wildcard clause matches, per field.
+def dictionary(term_stats: DataFrame) -> DataFrame:
+    """The vocabulary by what patterns ask for: one row per way ``(kind, key)`` to a term.
 
-    An equi-join on at most three characters, then a comparison, so it needs
-    neither a nested loop nor a broadcast, and a term gives no more rows than
-    three times its length.  Those rows name their term by its hash; the few
-    that meet a pattern's characters fetch the term itself and are verified.
+    ``prefix`` is the term itself, ``suffix`` the term reversed, ``contains`` what begins at each of its
+    characters, up to three of them.  Every pattern is then a range of keys.
     """
-    patterns = (
-        asked.where(F.col("kind").isin(*_WILDCARDS))
-        .withColumnRenamed("term", "pattern")
-        .withColumn("gram", F.when(F.col("kind") == "suffix", F.right("pattern", F.lit(_GRAM))).otherwise(F.left("pattern", F.lit(_GRAM))))
-        .drop("bucket")
-    )
-    # one row per site; at most _GRAM lengths per kind, however many patterns
-    lengths = patterns.groupBy("site", "version").agg(
-        *[
-            F.collect_set(F.when(F.col("kind") == kind, F.length("gram"))).alias(f"_{kind}")
-            for kind in _WILDCARDS
-        ]
-    )
     term = F.col("term")
+    ways = F.concat(
+        F.array(_way("prefix", term), _way("suffix", F.reverse(term))),
+        F.transform(_runs(term), lambda g: _way("contains", g)),
+    )
+    return term_stats.select(*[c for c in term_stats.columns if c not in ("kind", "key")], F.inline(ways))
 
-    def fits(name):
-        return F.filter(name, lambda n: n <= F.length(term))
 
-    starts = F.transform(fits("_prefix"), lambda n: _gram("prefix", F.substr(term, F.lit(1), n)))
-    ends = F.transform(
-        fits("_suffix"), lambda n: _gram("suffix", F.substr(term, F.length(term) - n + 1, n))
-    )
-    inside = F.flatten(
-        F.transform(
-            fits("_contains"),
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.length(term) - n + 1),
-                lambda i: _gram("contains", F.substr(term, i, n)),
-            ),
-        )
-    )
-    grams = term_stats.join(lengths, ["site", "version"]).select(
-        "site", "version", "bucket", "field", F.xxhash64("term").alias("_hash"),
-        F.array_distinct(F.concat(starts, ends, inside)).alias("_grams"),
-    )
-    near = (
-        grams.select("site", "version", "bucket", "field", "_hash", F.inline("_grams"))
-        .join(patterns, ["site", "version", "kind", "gram"])
-        .where(_in_field())
-    )
-    matches = (
-        F.when(F.col("kind") == "prefix", term.startswith(F.col("pattern")))
-        .when(F.col("kind") == "suffix", term.endswith(F.col("pattern")))
-        .otherwise(term.contains(F.col("pattern")))
+def _runs(text: Column) -> Column:
+    """What begins at each character of a text that is not empty, up to ``_GRAM`` of them."""
+    each = F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substr(text, i, F.lit(_GRAM)))
+    return F.array_distinct(F.when(F.length(text) > 0, each).otherwise(F.array().cast("array<string>")))
+
+
+def _way(kind: str, key: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), key.alias("key"))
+
+
+def wildcard_lookups(asked: DataFrame, ways: DataFrame, inner: bool = True) -> DataFrame:
+    """The vocabulary terms each wildcard clause matches, per field; ``ways`` is the ``dictionary``.
+
+    A prefix or suffix is one range of keys, and so is a short pattern inside a term.  Of a longer one the run of three
+    characters that fewest terms have is looked up, and those terms are compared with the whole pattern.  What is read
+    are the ranges of the patterns, by filters on ``key`` that a scan in its order can use; the vocabulary is not passed over.
+    ``inner`` says whether any pattern is longer and looked for inside terms.
+    """
+    patterns = asked.where(F.col("kind").isin(*_WILDCARDS)).withColumnRenamed("term", "pattern").drop("bucket")
+    pattern, term, key = F.col("pattern"), F.col("term"), F.col("key")
+    contains = F.col("kind") == "contains"
+    probes = patterns.where(~_is_inner(pattern)).withColumn(
+        "probe", F.when(F.col("kind") == "suffix", F.reverse("pattern")).otherwise(pattern)
     )
+    if inner:
+        probes = written(probes.unionByName(_rarest_runs(patterns.where(_is_inner(pattern)), ways)), "probes")
+    # an equi-join on the first characters, then a comparison: no nested loop
+    leads = F.array_distinct(F.array(*[F.left(key, F.lit(n)) for n in range(1, _GRAM + 1)]))
+    near = _in_ranges(ways, probes).withColumn("lead", F.explode(leads))
+    first = probes.withColumn("lead", F.left("probe", F.lit(_GRAM)))
+    # of several ways from a short pattern to a term the first counts
+    only = key == F.array_min(F.filter(_runs(term), lambda g: g.startswith(F.col("probe"))))
+    matches = key.startswith(F.col("probe")) & (~contains | (term.contains(pattern) & only))
     no = F.lit(None).cast("double")
     return (
-        term_stats.withColumn("_hash", F.xxhash64("term"))
-        .join(near, ["site", "version", "bucket", "field", "_hash"])
-        .where(matches)
-        .drop("pattern", "gram", "_hash")
+        near.join(first, ["site", "version", "kind", "lead"])
+        .where(_in_field() & matches)
+        .drop("lead", "key", "probe", "pattern")
         .withColumn("idf", no)
         .withColumn("avgdl", no)
     )
 
 
-def _gram(kind: str, text: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), text.alias("gram"))
+def _is_inner(pattern: Column) -> Column:
+    return (F.col("kind") == "contains") & (F.length(pattern) > _GRAM)
+
+
+def _rarest_runs(patterns: DataFrame, ways: DataFrame) -> DataFrame:
+    """Each pattern with ``probe``, the run of three of its characters that fewest terms have; without one, it is left out."""
+    runs = F.filter(_runs(F.col("pattern")), lambda g: F.length(g) == _GRAM)
+    grams = patterns.withColumn("probe", F.explode(runs))
+    place = ["site", "version", "probe"]
+    listed = _in_ranges(ways, grams).select("site", "version", F.col("key").alias("probe"))
+    counts = listed.join(grams.select(*place).distinct(), place, "left_semi").groupBy(*place).agg(F.count("*").alias("_n"))
+    return grams.join(counts, place).groupBy(*patterns.columns).agg(F.min_by("probe", F.struct("_n", "probe")).alias("probe"))
+
+
+def _in_ranges(ways: DataFrame, probes: DataFrame) -> DataFrame:
+    """The rows of the dictionary between neighbouring probes: at most ``_RANGES`` ranges, however many probes there are.
+
+    Their ends come to the driver, as literals that a scan is given.  Keys hold no U+10FFFF, which is no character.
+    """
+    dealt = probes.select("kind", "probe").distinct().repartitionByRange(_RANGES, "kind", "probe")
+    ends = dealt.groupBy(F.spark_partition_id().alias("part"), "kind").agg(
+        F.min("probe").alias("low"), F.max(F.concat("probe", F.lit(chr(0x10FFFF)))).alias("high")
+    )
+    by_kind: dict[str, list[Column]] = {}
+    for r in ends.collect():
+        by_kind.setdefault(r["kind"], []).append((F.col("key") >= r["low"]) & (F.col("key") <= r["high"]))
+    parts = [ways.where((F.col("kind") == kind) & reduce(Column.__or__, ranges)) for kind, ranges in sorted(by_kind.items())]
+    return reduce(DataFrame.unionByName, parts) if parts else ways.where(F.lit(False))
 
 
 def with_boosts(lookups: DataFrame, boosts: DataFrame | None) -> DataFrame:

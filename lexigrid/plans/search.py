@@ -15,6 +15,7 @@ from lexigrid.operators.clauses import build_clauses
 from lexigrid.operators.lookups import (
     Needs,
     asked_terms,
+    dictionary,
     exact_lookups,
     needs_metrics,
     wildcard_lookups,
@@ -119,7 +120,8 @@ def search_clauses(
         layered = None if index.tombstones is None else index.published
         found.append(exact_lookups(asked, index.term_stats, index.field_stats, layered))
     if needs.wildcard:
-        found.append(wildcard_lookups(asked, index.term_stats))
+        ways = dictionary(index.term_stats) if index.dictionary is None else index.dictionary
+        found.append(wildcard_lookups(asked, ways, needs.inner))
     common = Observation()
     lookups = with_boosts(_union(found), field_boosts).observe(common, F.coalesce(F.max("df"), F.lit(0)).alias("most"))
     lookups = written(lookups, "lookups")

@@ -6,6 +6,7 @@ Layout below the root::
     postings/version=V/site=S/bucket=B/    sorted by field, term, id
     term_stats/version=V/site=S/bucket=B/  sorted by field, term
     field_stats/version=V/site=S/
+    dictionary/version=V/site=S/kind=K/    ways to the terms, in ranges of their key
     published/seq=N/                       which version each site serves; the last counts
     applied/version=V/site=S/              the last logged change of each document that V took in
     tombstones/version=V/site=S/           the documents that the layer V replaces in earlier versions
@@ -28,6 +29,7 @@ from pyspark.sql.types import StructField, StructType
 
 from lexigrid.functions.analysis import STANDARD
 from lexigrid.model import KEYWORDS, Analyzer, Index
+from lexigrid.operators.lookups import dictionary
 from lexigrid.operators.postings import field_stats, postings, term_bucket, term_stats
 from lexigrid.operators.upkeep import current, orphaned_versions, without_replaced
 from lexigrid.session import literal_table
@@ -41,6 +43,7 @@ _SCHEMAS = {
     ),
     "term_stats": "field string, term string, df bigint, version bigint, site string, bucket int",
     "field_stats": "field string, n_docs bigint, sum_dl bigint, version bigint, site string",
+    "dictionary": "key string, field string, term string, df bigint, bucket int, version bigint, site string, kind string",
     "published": "site string, version bigint, n_buckets int, seq bigint",
     "layout": "n_buckets int, version bigint",
     "applied": "id bigint, ts timestamp, seq bigint, version bigint, site string",
@@ -52,6 +55,7 @@ _PARTITIONS = {
     "postings": ["site", "bucket"],
     "term_stats": ["site", "bucket"],
     "field_stats": ["site"],
+    "dictionary": ["site", "kind"],
     "tombstones": ["site"],
 }
 # point reads by id skip row groups; the filter is sized to what it holds
@@ -66,6 +70,7 @@ _ORDER = {
     "postings": ["field", "term", "id"],
     "term_stats": ["field", "term"],
     "field_stats": ["field"],
+    "dictionary": ["key", "field", "term"],
     "tombstones": ["id"],
 }
 
@@ -146,6 +151,7 @@ class IndexStore:
             postings=self.table("postings"),
             term_stats=self.table("term_stats"),
             field_stats=self.table("field_stats"),
+            dictionary=self.table("dictionary"),
             published=self.published(),
         )
 
@@ -195,6 +201,7 @@ class IndexStore:
             self._write("postings", version, added, mode="append")
         stored = self.version("postings", version)
         self._write("term_stats", version, term_stats(stored))
+        self._write("dictionary", version, dictionary(self.version("term_stats", version)), ranged=True)
         self._write("field_stats", version, field_stats(stored))
 
     def write_layer(
@@ -217,6 +224,7 @@ class IndexStore:
             F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("dl")).alias("sum_dl")
         )
         self._write("term_stats", version, terms)
+        self._write("dictionary", version, dictionary(self.version("term_stats", version)), ranged=True)
         self._write("field_stats", version, fields)
         self._write("tombstones", version, touched.select("site", "id"))
 
@@ -324,9 +332,13 @@ class IndexStore:
         shuffle: bool = True,
         mode: str = "overwrite",
         lookup: bool = True,
+        ranged: bool = False,
     ) -> None:
         parts = _PARTITIONS[name]
-        if shuffle:
+        if ranged:
+            # a file then has a range of keys; one that many terms have is shared by several
+            rows = rows.repartitionByRange(*parts, *_ORDER[name])
+        elif shuffle:
             # adaptive execution splits the hot buckets and joins the small
             # ones, so a term in a third of all documents becomes many files
             rows = rows.hint("rebalance", *[F.col(c) for c in parts])

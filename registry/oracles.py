@@ -427,6 +427,14 @@ ORACLES = {
       JOIN len ON len.site = p.site AND len.field = p.field AND len.id = p.id""",
     "term_stats": f"WITH {tokenised(ALL_KW)}, {STATS} SELECT * FROM ts",
     "field_stats": f"WITH {tokenised(ALL_KW)}, {STATS} SELECT * FROM fs",
+    "dictionary": f"""WITH {tokenised(ALL_KW)}, {STATS},
+ways AS (
+  SELECT *, 'prefix' AS kind, term AS key FROM ts
+  UNION ALL SELECT *, 'suffix', array_to_string(list_transform(range(length(term), 0, -1), lambda i: substring(term, i, 1)), '') FROM ts
+  UNION ALL SELECT *, 'contains', unnest(list_distinct(list_transform(range(1, length(term) + 1), lambda i: substring(term, i, 3)))) FROM ts
+)
+SELECT site, field, kind, key, count(*) AS n_terms, CAST(sum(df) AS BIGINT) AS df, min(term) AS first_term
+FROM ways GROUP BY site, field, kind, key""",
     "clauses": CLAUSES,
     **SEARCH,
     "search_candidates": SEARCH["search_boolean"],

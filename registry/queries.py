@@ -392,6 +392,14 @@ def _field_stats(spark, sf_dir):
     return D.index(spark, sf_dir).field_stats.select("site", "field", "n_docs", "sum_dl")
 
 
+def _dictionary(spark, sf_dir):
+    """What each key of the stored dictionary leads to."""
+    ways = D.index(spark, sf_dir).dictionary
+    return ways.groupBy("site", "field", "kind", "key").agg(
+        F.count("*").alias("n_terms"), F.sum("df").alias("df"), F.min("term").alias("first_term")
+    )
+
+
 def _clauses(spark, sf_dir):
     return build_clauses(D.part_terms(spark, sf_dir), D.part_fields(spark))
 
@@ -494,6 +502,7 @@ QUERIES = {
     "postings": _postings,
     "term_stats": _term_stats,
     "field_stats": _field_stats,
+    "dictionary": _dictionary,
     # search
     "clauses": _clauses,
     **{key: _search(key) for key in TERMS if key not in ("search_scoped", "search_boosted", "search_topk", "search_hook")},
