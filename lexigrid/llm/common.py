@@ -33,3 +33,15 @@ def without(docs: DataFrame, removed: DataFrame, id: str, text: str) -> DataFram
     removed = removed.select(F.col("id").alias("id_"), F.col("text_hash").alias("text_hash_")).distinct()
     same = F.col("id").eqNullSafe(F.col("id_")) & (F.col("text_hash") == F.col("text_hash_"))
     return keyed.join(removed.hint("shuffle_hash"), same, "left_anti").select("row.*")
+
+
+def sampled(texts: DataFrame, most: int) -> list[str]:
+    """Of the one column of texts the ``most`` distinct ones with the smallest hashes, sorted: the same ones in any order of rows.
+
+    Only hashes are ordered; the texts chosen come to the driver whole.
+    """
+    hashed = texts.toDF("text").select("text", F.xxhash64("text").alias("hash"))
+    smallest = [r["hash"] for r in hashed.select("hash").distinct().orderBy("hash").limit(most).collect()]
+    if not smallest:
+        return []
+    return sorted(r["text"] for r in hashed.where(F.col("hash") <= smallest[-1]).select("text").distinct().collect())

@@ -26,10 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrid.llm import lstm
-from lexigrid.llm.common import text_of, whole_row
+from lexigrid.llm.common import sampled, text_of, whole_row
 
 TRAIN_PAGES = 300  # pages of the table whose text the training pages are made of
-TRAIN_CHARS = 20_000  # read of each of them
 MADE_PAGES = 700  # training pages
 HIDDEN = 16
 _PATH, _WORDS, _NUMBERS = 96, 24, 6
@@ -37,9 +36,11 @@ _CELLS = 60_000  # blocks with padding that are labelled at once
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-_RAW = ("script", "style", "noscript", "template", "svg", "iframe", "head", "textarea", "select", "object")
+_RAW = ("script", "style", "iframe", "head", "textarea")
+_ENDED_BY_BLOCKS = ("svg", "select")  # an open one ends where a block begins
 _INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_BLOCKS = frozenset("p ul ol table h1 h2 h3 h4 h5 h6 div section article footer header aside nav form".split())
 _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SPACES = re.compile(r"\s+")
 
@@ -91,8 +92,11 @@ def blocks(page: str | None) -> list[tuple[tuple[str, ...], str, float]]:
                 while stack.pop().split(" ", 1)[0] != name:
                     pass
             continue
-        if name in ("p", "ul", "ol", "table", "h1", "h2", "h3", "h4", "h5", "h6", "div", "section", "article", "footer", "header", "aside", "nav", "form") and stack and stack[-1].split(" ", 1)[0] == "p":
+        if name in _BLOCKS and stack and stack[-1].split(" ", 1)[0] == "p":
             stack.pop()
+        elif name in _BLOCKS and any(x.split(" ", 1)[0] in _ENDED_BY_BLOCKS for x in stack):
+            while stack.pop().split(" ", 1)[0] not in _ENDED_BY_BLOCKS:
+                pass
         elif name in _CLOSES and stack and stack[-1].split(" ", 1)[0] in _CLOSES[name]:
             stack.pop()
         marks = " ".join(v.strip("\"'").lower() for _, v in _ATTRIBUTE.findall(rest))
@@ -150,7 +154,7 @@ def label(pages: list[list], w: dict[str, np.ndarray]) -> list[np.ndarray]:
 
 
 # Names that pages give their parts, for training pages.
-_MAIN = ["article", "main", 'div class="content"', 'div class="post-body"', 'div class="entry-content"', 'div id="article"', 'div class="article-body"', 'section class="story"', 'div id="main-content"', 'div role="main"']
+_MAIN = ["article", "article", "main", "div", "div", 'div class="content"', 'div class="post-body"', 'div class="entry-content"', 'div id="article"', 'div class="article-body"', 'section class="story"', 'div id="main-content"', 'div role="main"']
 _NAVS = ["nav", 'div class="menu"', 'div id="navbar"', 'ul class="nav"', 'div class="breadcrumbs"', 'nav class="site-nav"', 'div class="topbar"']
 _ADS = ['div class="ad"', 'div class="advert"', 'div class="ad-banner"', 'div class="sponsored"', 'aside class="promo"', 'div id="ads"', 'section class="advertisement"']
 _SIDES = ["aside", 'div class="sidebar"', 'div id="sidebar"', 'aside class="related"', 'div class="widget"', 'section class="related-posts"']
@@ -205,6 +209,21 @@ def made_page(rng: random.Random, texts: list[str]) -> tuple[str, list[bool]]:
             put(f"<p>{some()}</p>", False)
             out.append("</div>" if out[-2].startswith("<div") else "</li>")
 
+    def hidden() -> None:
+        kind = rng.choice(["select", "svg", "template", "noscript", "object"])
+        inner = {"select": "<option>{}</option>", "svg": "<title>{}</title>"}.get(kind, "<div>{}</div>")
+        put(f"<{kind}>{inner.format(short())}</{kind}>", False)
+
+    def table(main: bool) -> None:
+        out.append(rng.choice(["<table>", '<table class="data">', "<table><tbody>"]))
+        for row in range(rng.randint(1, 5)):
+            out.append("<tr>")
+            for _ in range(rng.randint(1, 4)):
+                cell = "th" if row == 0 and rng.random() < 0.5 else "td"
+                put(f"<{cell}>{short() if rng.random() < 0.7 else some()}</{cell}>", main)
+            out.append("</tr>")
+        out.append("</table>")
+
     extras = [lambda: part(_ADS, rng.choice([plain, plain, aside_text])), lambda: part(_SIDES, rng.choice([links, aside_text])),
               lambda: part(_NOTES, rng.choice([plain, aside_text])), lambda: part(_FORMS, form)]
 
@@ -223,13 +242,23 @@ def made_page(rng: random.Random, texts: list[str]) -> tuple[str, list[bool]]:
                 for _ in range(rng.randint(1, 4)):
                     put(f"<li>{short()}</li>", True)
                 out.append("</ul>")
-            elif kind < 0.93:
+            elif kind < 0.91:
                 put(f"<blockquote>{some()}</blockquote>", True)
+            elif kind < 0.94:
+                table(True)
+            elif kind < 0.95:
+                put(f"<figure><img src=x><figcaption>{short()}</figcaption></figure>", True)
+            elif kind < 0.97:
+                # never closed, or closed round a paragraph of the article
+                name = rng.choice(["object", "noscript", "template", "svg", "select"])
+                put(f"<{name}><p>{some()}</p>" + rng.choice(["", f"</{name}>"]), True)
             elif rng.random() < 0.6:
                 rng.choice(extras)()
 
     out.append("<body>")
     usual = rng.random() < 0.35  # the plainest layout of all
+    if not usual and rng.random() < 0.3:
+        hidden()
     if usual or rng.random() < 0.7:
         part(["nav"] if usual else _NAVS, links)
     if not usual and rng.random() < 0.5:
@@ -240,6 +269,8 @@ def made_page(rng: random.Random, texts: list[str]) -> tuple[str, list[bool]]:
     if not usual:
         for extra in rng.sample(extras, rng.randint(0, 2)):
             extra()
+        if rng.random() < 0.1:
+            part(_SIDES, lambda: table(False))
         if rng.random() < 0.5:
             part(_TALK, talk)
     if usual or rng.random() < 0.8:
@@ -280,9 +311,9 @@ _WORDLESS = ["A short text for a page that has none.", "Another line of plain wo
 
 
 def sample_texts(pages: DataFrame, html: str = "html") -> list[str]:
-    """Texts of the blocks of at most ``TRAIN_PAGES`` pages, each read up to ``TRAIN_CHARS``."""
-    rows = pages.select(F.left(text_of(html), F.lit(TRAIN_CHARS)).alias("html")).where("html != ''").limit(TRAIN_PAGES).collect()
-    return sorted({b[1] for r in rows for b in blocks(r["html"])}) or _WORDLESS
+    """Texts of the blocks of at most ``TRAIN_PAGES`` whole pages, chosen by the hash of their HTML."""
+    chosen = sampled(pages.select(text_of(html).alias("html")).where("html != ''"), TRAIN_PAGES)
+    return sorted({b[1] for page in chosen for b in blocks(page)}) or _WORDLESS
 
 
 def text_column(w: dict[str, np.ndarray], html: Column) -> Column:

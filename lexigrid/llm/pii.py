@@ -27,11 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrid.llm import lstm
-from lexigrid.llm.common import text_of, whole_row
+from lexigrid.llm.common import sampled, text_of, whole_row
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 400  # documents whose spans and words are learned from
-TRAIN_CHARS = 20_000  # read of each of them
 HIDDEN = 20
 WINDOW, STRIDE, MARGIN = 96, 64, 16
 _BATCH = 512  # windows labelled at once
@@ -269,7 +268,7 @@ def train(texts: list[str], seed: int = 9, made: int = 2400, epochs: int = 5) ->
             if high - low <= WINDOW and any(low <= a and b <= high for _, a, b in spans):
                 cases.append((text[low:high], tags_of(spans, low, high)))
     cases = draw.sample(cases, min(len(cases), made // 3))
-    vocabulary = [x for t in texts[:100] for x in t.split()[:200] if not _TRIGGER.search(x)] or ["word", "and"]
+    vocabulary = [x for t in texts for x in t.split() if not _TRIGGER.search(x)] or ["word", "and"]
     while len(cases) < made:
         kind = draw.choice([*KINDS, None])
         inside = _made(draw, kind) if kind else _other(draw)
@@ -298,9 +297,8 @@ def train(texts: list[str], seed: int = 9, made: int = 2400, epochs: int = 5) ->
 
 
 def sample_texts(docs: DataFrame, text: str = "text") -> list[str]:
-    """At most ``TRAIN_DOCS`` texts with a digit or ``@``, each up to ``TRAIN_CHARS``."""
-    rows = docs.select(F.left(text_of(text), F.lit(TRAIN_CHARS)).alias("text")).where(F.col("text").rlike("[0-9@]")).limit(TRAIN_DOCS).collect()
-    return sorted(r["text"] for r in rows)
+    """At most ``TRAIN_DOCS`` whole texts with a digit or ``@``, chosen by their hash."""
+    return sampled(docs.select(text_of(text).alias("text")).where(F.col("text").rlike("[0-9@]")), TRAIN_DOCS)
 
 
 def spans_column(w, text: Column) -> Column:
