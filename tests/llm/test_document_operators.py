@@ -362,6 +362,64 @@ def test_blocks_of_items_change_nothing(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.contaminated(docs, bench).collect())) == whole and len(whole) == 2
 
 
+def _edited(words, rng, kind):
+    if kind == "replaced":  # every third word
+        return [f"new{rng.randrange(500)}" if k % 3 == 2 else w for k, w in enumerate(words)]
+    if kind == "inserted":  # a word after every second
+        return [x for k, w in enumerate(words) for x in ([w, f"more{rng.randrange(500)}"] if k % 2 else [w])]
+    if kind == "cut":
+        return words[len(words) // 3 :]
+    if kind == "dropped":
+        return [w for k, w in enumerate(words) if k % 6 != 3]
+    return words
+
+
+def test_copies_like_all_pairs_of_alignments(spark):
+    """Every text against every item, whatever the edits and however common the words."""
+    rng = random.Random(15)
+    common, rare = [f"c{k}" for k in range(12)], [f"r{k}" for k in range(4000)]
+
+    def some(n):
+        return [rng.choice(common) if rng.random() < 0.6 else rng.choice(rare) for _ in range(n)]
+
+    items = [some(n) for n in (4, 5, 6, 7, 8, 9, 10, 12, 16, 16, 17, 25, 40, 60)] + [[rng.choice(common) for _ in range(n)] for n in (9, 14, 20, 30)]
+    texts = [some(rng.randint(0, 150)) for _ in range(120)]
+    for item in items:
+        for kind in ("replaced", "inserted", "cut", "dropped", "verbatim"):
+            texts.append(some(rng.randint(0, 40)) + _edited(item, rng, kind) + some(rng.randint(0, 40)))
+    texts.append(some(3000) + _edited(items[8], rng, "replaced") + some(3000))
+    count = {}
+    for w in (w for t in texts for w in t):
+        count[w] = count.get(w, 0) + 1
+    limit = decontaminate.CHANCE * len(texts) / sum(count.values())
+    expected = {}
+    for d, text in enumerate(texts):
+        for i, item in enumerate(items):
+            number = {w: k for k, w in enumerate(sorted(set(item)))}
+            share = np.array([count.get(w, 0) / sum(count.values()) for w in sorted(set(item))])
+            found = decontaminate.rare_end(np.array([number[w] for w in item]), np.array([number.get(w, -1) for w in text], dtype=np.int64),
+                                           decontaminate.SCORE * decontaminate.MATCH * len(item), lambda m: np.prod(share[m]) <= limit * (1 + 1e-9))
+            if found is not None:
+                expected[d, i] = found[0] / (decontaminate.MATCH * len(item))
+    docs = table(spark, [(d, " ".join(t), "a") for d, t in enumerate(texts)])
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+    got = {(r["id"], r["item_id"]): r["score"] for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == expected
+    planted = {(120 + 5 * i + k, i) for i, item in enumerate(items) for k in range(5) if len(item) >= 12}
+    assert planted <= got.keys() and got[120 + 5 * len(items), 8] >= decontaminate.SCORE
+
+
+def test_short_items(spark):
+    rng = random.Random(16)
+    fill = lambda: prose(rng, 60)
+    bench = spark.createDataFrame([(1, "Yes"), (2, "x y"), (3, "alpha beta gamma"), (4, "?!"), (5, "alpha beta of the")], "item_id bigint, text string")
+    rows = [(1, "yes", "a"), (2, "yes yes", "a"), (3, f"yes {fill()}", "a"), (4, "X, y!", "a"), (5, f"x y {fill()}", "a"), (6, f"{fill()} alpha beta gamma", "a"),
+            (7, f"alpha {fill()} beta gamma", "a")]
+    rows += [(100 + k, f"{fill()} of the {fill()} of the", "a") for k in range(60)]
+    got = {(r["id"], r["item_id"]) for r in decontaminate.contaminated(table(spark, rows), bench).collect()}
+    assert got == {(1, 1), (4, 2), (6, 3), (6, 5)}  # "of the" alone is half of the last item, but no copy
+
+
 def test_alignment_like_the_textbook():
     rng = random.Random(6)
     for _ in range(40):
