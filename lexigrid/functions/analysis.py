@@ -2,27 +2,73 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrid.functions.names import map_field
-from lexigrid.model import Analyzer
+from lexigrid.model import Analyzer, Analyzers
 
 STANDARD = Analyzer()
 
+# scripts that are written without blanks between words
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}ー"
+_STRETCHES = f"[{_UNSPACED}]+|[^{_UNSPACED}]+"
+
 
 def tokens(text: Column | str, analyzer: Analyzer = STANDARD) -> Column:
-    """The terms of a text, in order, as an array."""
+    """The terms of a text, in order, as an array; stop words are still among them."""
     value = F.col(text) if isinstance(text, str) else text
     if analyzer.lowercase:
         value = F.lower(value)
-    return F.regexp_extract_all(value, F.lit(analyzer.pattern), F.lit(0))
+    runs = F.regexp_extract_all(value, F.lit(analyzer.pattern), F.lit(0))
+    if not analyzer.pairs:
+        return runs
+    stretches = F.flatten(F.transform(runs, lambda run: F.regexp_extract_all(run, F.lit(_STRETCHES), F.lit(0))))
+    return F.flatten(F.transform(stretches, _paired))
+
+
+def _paired(stretch: Column) -> Column:
+    pairs = F.transform(F.sequence(F.lit(1), F.length(stretch) - 1), lambda at: F.substring(stretch, at, F.lit(2)))
+    return F.when(stretch.rlike(f"^[{_UNSPACED}]") & (F.length(stretch) > 1), pairs).otherwise(F.array(stretch))
+
+
+def analyzer_of(analyzers: Analyzers, site: str) -> Analyzer:
+    return analyzers if isinstance(analyzers, Analyzer) else analyzers.get(site, STANDARD)
+
+
+def by_site(analyzers: Analyzers, site: Column, make) -> Column:
+    """``make(analyzer)`` of each row's site, once per way of cutting text into terms."""
+    if isinstance(analyzers, Analyzer):
+        return make(analyzers)
+    ways = defaultdict(list)
+    for name, analyzer in sorted(analyzers.items()):
+        ways[replace(analyzer, stopwords=())].append(name)
+    ways.pop(STANDARD, None)
+    made = None
+    for analyzer, names in ways.items():
+        made = (F if made is None else made).when(site.isin(names), make(analyzer))
+    return make(STANDARD) if made is None else made.otherwise(make(STANDARD))
+
+
+def site_tokens(text: str, analyzers: Analyzers) -> Column:
+    """The terms of a row's text, as its ``site`` has them."""
+    return by_site(analyzers, F.col("site"), lambda analyzer: tokens(text, analyzer))
+
+
+def stop_lists(analyzers: Analyzers) -> dict[str | None, list[str]]:
+    """Stop words by site, with None for every site."""
+    named = {None: analyzers} if isinstance(analyzers, Analyzer) else analyzers
+    return {site: sorted(set(a.stopwords)) for site, a in named.items() if a.stopwords}
 
 
 def analyze(keywords: DataFrame, analyzer: Analyzer = STANDARD) -> DataFrame:
     """One row per token: every column but ``text``, then ``pos`` (from 0) and ``term``."""
     keep = [c for c in keywords.columns if c != "text"]
-    return keywords.select(*keep, F.posexplode(tokens("text", analyzer)).alias("pos", "term"))
+    rows = keywords.select(*keep, F.posexplode(tokens("text", analyzer)).alias("pos", "term"))
+    return rows.where(~F.col("term").isin(list(analyzer.stopwords))) if analyzer.stopwords else rows
 
 
 def remove_stopwords(token_rows: DataFrame, sites: DataFrame, stopwords: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ version of a site readers see.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -42,10 +43,22 @@ FIELD_PREFIX = "field_"
 
 @dataclass(frozen=True)
 class Analyzer:
-    """How text becomes terms: lower-case, then every run matching ``pattern``."""
+    """How text becomes terms: lower-case, then every run matching ``pattern``.
+
+    ``pairs``      within a run, a stretch of ideographs, kana or hangul becomes its overlapping pairs of characters
+                   (one alone stays), as such text has no blanks between words
+    ``stopwords``  terms left out; the others keep their positions, so a phrase with stop words inside asks for
+                   as many words there
+    """
 
     pattern: str = r"[\p{L}\p{M}\p{N}]+"
     lowercase: bool = True
+    pairs: bool = False
+    stopwords: tuple[str, ...] = ()
+
+
+# one analyzer for all sites, or each site's own; other sites then have the standard one
+Analyzers = Analyzer | Mapping[str, Analyzer]
 
 
 @dataclass(frozen=True)
@@ -78,6 +91,7 @@ class Index:
                     where every site serves one version
     ``dictionary``  site, version, kind, key, field, term, df, bucket: the vocabulary in the order wildcards
                     ask for; None where it is made from ``term_stats`` in each search
+    ``analyzers``   how the sites' texts were analysed, and so how their queries are
 
     ``dl`` (tokens of the document's field) rides on each posting so that
     scoring never joins postings with a per-document table.  ``head`` is true
@@ -93,3 +107,4 @@ class Index:
     published: DataFrame
     tombstones: DataFrame | None = None
     dictionary: DataFrame | None = None
+    analyzers: Analyzers = Analyzer()

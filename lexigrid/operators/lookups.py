@@ -12,10 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexigrid.functions.analysis import STANDARD, tokens
-from lexigrid.model import Analyzer
+from lexigrid.functions.analysis import STANDARD, by_site, site_tokens, stop_lists
+from lexigrid.model import Analyzers
 from lexigrid.operators.postings import term_bucket
-from lexigrid.session import written
+from lexigrid.session import literal_table, written
 
 _WILDCARDS = ("prefix", "suffix", "contains")
 _GRAM = 3  # characters of a pattern that are joined; the rest is verified
@@ -33,15 +33,15 @@ class Needs:
     everything: bool
 
 
-def asked_terms(clauses: DataFrame, published: DataFrame, analyzer: Analyzer = STANDARD) -> DataFrame:
+def asked_terms(clauses: DataFrame, published: DataFrame, analyzer: Analyzers = STANDARD) -> DataFrame:
     """One row per token of each term or phrase clause, and per wildcard pattern.
 
-    Clauses with nothing to match are dropped, and the rest numbered (``clause``)
+    Clauses with nothing to match, or but stop words of their site, are dropped, and the rest numbered (``clause``)
     and counted (``n_must``, ``n_should``) per query and site.  ``version`` and ``bucket`` say where to look;
     a query whose site serves no index disappears.
     """
     is_wild = F.col("kind").isin(*_WILDCARDS)
-    pattern = F.lower("text") if analyzer.lowercase else F.col("text")
+    pattern = by_site(analyzer, F.col("site"), lambda a: F.lower("text") if a.lowercase else F.col("text"))
     per_query = Window.partitionBy("query_id", "site")
     in_order = per_query.orderBy("ord", "occur", "kind", "field", "text")
 
@@ -49,8 +49,15 @@ def asked_terms(clauses: DataFrame, published: DataFrame, analyzer: Analyzer = S
         return F.count(F.when(F.col("occur") == occur, 1)).over(per_query)
 
     pieces = F.when(is_wild, F.filter(F.array(pattern), lambda t: t != "")).otherwise(
-        tokens("text", analyzer)
+        site_tokens("text", analyzer)
     )
+    pieces = F.transform(pieces, lambda t, at: F.struct(at.alias("offset"), t.alias("term")))
+    stops = stop_lists(analyzer)
+    if stops:
+        rows = literal_table(clauses.sparkSession, "site string, _stops array<string>", [(s, w) for s, w in stops.items() if s is not None])
+        clauses = clauses.join(rows, "site", "left")
+        listed = F.coalesce("_stops", F.array(*map(F.lit, stops.get(None, []))).cast("array<string>"))
+        pieces = F.when(is_wild, pieces).otherwise(F.filter(pieces, lambda p: ~F.array_contains(listed, p["term"])))
     bucket = term_bucket("term", F.col("n_buckets"))
     return (
         clauses.withColumn("_pieces", pieces)
@@ -63,10 +70,11 @@ def asked_terms(clauses: DataFrame, published: DataFrame, analyzer: Analyzer = S
         .select(
             "query_id", "site", "version", "n_buckets", "clause", "occur", "kind",
             F.col("field").alias("only_field"), "n_tokens", "n_must", "n_should",
-            F.posexplode("_pieces").alias("offset", "term"),
+            F.explode("_pieces").alias("_piece"),
         )
+        .select("*", "_piece.*")
         .withColumn("bucket", F.when(~is_wild, bucket))
-        .drop("n_buckets")
+        .drop("n_buckets", "_piece")
     )
 
 

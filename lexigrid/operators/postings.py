@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.functions.analysis import STANDARD, tokens
-from lexigrid.model import Analyzer
+from lexigrid.functions.analysis import STANDARD, site_tokens, stop_lists
+from lexigrid.model import Analyzers
 
 # tokens turned into postings at a time; bounds the memory of a Python worker
 _CHUNK_TOKENS = 1_000_000
@@ -27,7 +28,7 @@ def term_bucket(term: Column | str, n_buckets: Column | int) -> Column:
     return F.pmod(F.xxhash64(term), count.cast("bigint")).cast("int")
 
 
-def _token_grouper(chunk_tokens: int):
+def _token_grouper(chunk_tokens: int, stops: dict[str | None, list[str]] | None = None):
     """A ``mapInArrow`` function grouping each document's tokens by term.
 
     The helpers are nested so that tasks receive them whole and need not have
@@ -43,6 +44,15 @@ def _token_grouper(chunk_tokens: int):
             yield batch.slice(start, stop - start)
             start = stop
 
+    def stopped(site: pa.Array, row: np.ndarray, code: np.ndarray, words: pa.Array) -> np.ndarray:
+        sites = site.dictionary_encode()
+        listed = [stops.get(name) or stops.get(None) for name in sites.dictionary.to_pylist()]
+        bad = np.zeros((len(listed) + 1, len(words)), dtype=bool)
+        for k, names in enumerate(listed):
+            if names:
+                bad[k] = pc.is_in(words, value_set=pa.array(names, type=words.type)).to_numpy(zero_copy_only=False)
+        return bad[sites.indices.fill_null(len(listed)).to_numpy(zero_copy_only=False)[row], code]
+
     def group(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = batch.column("tokens")
         lengths = np.diff(lists.offsets.to_numpy())
@@ -50,11 +60,17 @@ def _token_grouper(chunk_tokens: int):
         pos = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         encoded = lists.flatten().dictionary_encode()
         code = encoded.indices.to_numpy(zero_copy_only=False)
+        if stops:
+            kept = ~stopped(batch.column("site"), row, code, encoded.dictionary)
+            row, pos, code = row[kept], pos[kept], code[kept]
+            lengths = np.bincount(row, minlength=len(lengths))
+        start = np.r_[True, row[1:] != row[:-1]][: len(row)]  # of a row's first token that is kept
+        lead = pos[start][np.cumsum(start) - 1]
 
         # tokens come in order of position, and a stable sort keeps that order
         group_of = row * len(encoded.dictionary) + code
         order = np.argsort(group_of, kind="stable")
-        row, code, pos, group_of = row[order], code[order], pos[order], group_of[order]
+        row, code, pos, lead, group_of = row[order], code[order], pos[order], lead[order], group_of[order]
         first = np.ones(len(row), dtype=bool)
         first[1:] = group_of[1:] != group_of[:-1]
         begin = np.flatnonzero(first)
@@ -65,7 +81,7 @@ def _token_grouper(chunk_tokens: int):
             "term": encoded.dictionary.take(pa.array(code[begin])),
             "tf": pa.array(np.diff(bounds).astype(np.int64)),
             "dl": pa.array(lengths[row[begin]].astype(np.int64)),
-            "head": pa.array(pos[begin] == 0),
+            "head": pa.array(pos[begin] == lead[begin]),
             "positions": pa.ListArray.from_arrays(pa.array(bounds), pa.array(pos.astype(np.int32))),
         }
         return pa.RecordBatch.from_pydict(keys | values)
@@ -78,20 +94,20 @@ def _token_grouper(chunk_tokens: int):
     return run
 
 
-def posting_rows(keywords: DataFrame, analyzer: Analyzer = STANDARD) -> DataFrame:
+def posting_rows(keywords: DataFrame, analyzer: Analyzers = STANDARD) -> DataFrame:
     """One row per (document, field, term), without any shuffle.
 
     A keyword row holds the whole text of one document's field, so all its
     postings are known where the row is read.  Spark cannot see that: the same
     grouping written as ``posexplode`` + ``groupBy`` would shuffle every text
     and sort every token.  Tokenising stays in the JVM; only the grouping is
-    done in Arrow batches.
+    done in Arrow batches, which leave out the sites' stop words: ``dl`` counts what is kept, positions count all.
     """
-    rows = keywords.select("site", "version", "id", "field", tokens("text", analyzer).alias("tokens"))
-    return rows.where(F.size("tokens") > 0).mapInArrow(_token_grouper(_CHUNK_TOKENS), _POSTING_ROWS)
+    rows = keywords.select("site", "version", "id", "field", site_tokens("text", analyzer).alias("tokens"))
+    return rows.where(F.size("tokens") > 0).mapInArrow(_token_grouper(_CHUNK_TOKENS, stop_lists(analyzer)), _POSTING_ROWS)
 
 
-def postings(keywords: DataFrame, n_buckets: int = 1, analyzer: Analyzer = STANDARD) -> DataFrame:
+def postings(keywords: DataFrame, n_buckets: int = 1, analyzer: Analyzers = STANDARD) -> DataFrame:
     """Posting rows with their storage bucket."""
     return posting_rows(keywords, analyzer).withColumn("bucket", term_bucket("term", n_buckets))
 

@@ -13,8 +13,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrid.functions.analysis import STANDARD
-from lexigrid.model import Analyzer
+from lexigrid.functions.analysis import analyzer_of
+from lexigrid.model import Analyzers
 from lexigrid.operators import upkeep
 from lexigrid.operators.postings import posting_rows, term_bucket
 from lexigrid.session import literal_table, written
@@ -51,6 +51,7 @@ def reindex_site(store: IndexStore, site: str, mapping: DataFrame, version: int)
     store.write_keywords(kept, version)
     kept_postings = _served(store, "postings", site).join(fields, "field", "left_semi")
     _copy_postings(store, kept_postings, old_buckets, version)
+    store.write_analyzers(store.analyzers(), version)
     store.publish_version(version)
     total = upkeep.indexed_ids(store.version("keywords", version)).count()
     return {"old": old, "new": version, "total": total}
@@ -74,6 +75,7 @@ def update_mapping(store: IndexStore, mapping: DataFrame, version: int) -> DataF
     store.write_keywords(kept["keywords"], version)
     other = store.published().join(stale, "site", "left_semi").where(F.col("n_buckets") != store.n_buckets)
     _copy_postings(store, kept["postings"], store.n_buckets if other.isEmpty() else -1, version)
+    store.write_analyzers(store.analyzers(), version)
     store.publish(stale.withColumn("version", F.lit(version)))
     return stale
 
@@ -87,6 +89,7 @@ def clone_site(store: IndexStore, source_site: str, target_site: str, version: i
     }
     store.write_keywords(renamed["keywords"], version)
     _copy_postings(store, renamed["postings"], old_buckets, version)
+    store.write_analyzers({target_site: analyzer_of(store.analyzers(), source_site)}, version)
     store.publish_version(version)
 
 
@@ -94,7 +97,7 @@ def compact(
     store: IndexStore,
     log: DataFrame,
     version: int,
-    analyzer: Analyzer = STANDARD,
+    analyzer: Analyzers | None = None,
     merge_files: bool = False,
 ) -> None:
     """Bring the sites a change log names up to date with it, as one new version.
@@ -103,6 +106,9 @@ def compact(
     only the changed documents are analysed and shuffled.  A site named first
     here is created; one left without documents serves an empty index.
 
+    Changed documents are analysed as their site is, unless ``analyzer`` says otherwise; documents that stay
+    are not analysed again, so a site should keep its analyzer until it is built anew.
+
     The store remembers each document's last applied change, so running over
     the whole log again applies only newer ones: a full reload in between is
     not undone by changes from before it.
@@ -120,7 +126,7 @@ def compact(
     store.record_applied(touched, version)
 
 
-def bulk_delete(store: IndexStore, ids: DataFrame, version: int, analyzer: Analyzer = STANDARD) -> None:
+def bulk_delete(store: IndexStore, ids: DataFrame, version: int) -> None:
     """Remove documents ``(site, id)`` from what is stored and found, as one new version of their sites.
 
     Unknown documents are no error; sites without a document to remove keep their version.
@@ -128,7 +134,7 @@ def bulk_delete(store: IndexStore, ids: DataFrame, version: int, analyzer: Analy
     indexed = upkeep.indexed_ids(_served(store, "keywords"))
     gone = written(indexed.join(ids.select("site", "id").distinct(), ["site", "id"], "left_semi"), "removed")
     if not gone.isEmpty():
-        _replace(store, gone, None, version, analyzer)
+        _replace(store, gone, None, version)
 
 
 def delete(store: IndexStore, doc_id: int, site: str, version: int) -> None:
@@ -156,7 +162,7 @@ def _replace(
     touched: DataFrame,
     changed: DataFrame | None,
     version: int,
-    analyzer: Analyzer = STANDARD,
+    analyzer: Analyzers | None = None,
     merge_files: bool = False,
 ) -> None:
     """New version of the sites of ``touched(site, id)``, a written table, without those documents but with ``changed``.
@@ -166,6 +172,7 @@ def _replace(
     brought back together by bucket.  The rows stored are the same.
     """
     few = touched.count() <= _BROADCAST_KEYS
+    analyzer = store.analyzers() if analyzer is None else analyzer
     sites = touched.select("site").distinct()
     keys = F.broadcast(touched) if few else touched
     kept_rows = {
@@ -187,6 +194,7 @@ def _replace(
         store.write_postings(kept, version, clustered=True, added=added)
     else:
         store.write_postings(kept if added is None else kept.unionByName(added), version)
+    store.write_analyzers(analyzer, version)
     store.publish(sites.withColumn("version", F.lit(version)))
 
 

@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lexigrid.functions.analysis import STANDARD
-from lexigrid.model import Analyzer
+from lexigrid.model import Analyzers
 from lexigrid.operators import upkeep
 from lexigrid.plans.jobs import unapplied
 from lexigrid.session import written
@@ -29,7 +28,7 @@ from lexigrid.streaming.changes import newest_changes
 _CONTENT = ["site", "id", "field", "text"]
 
 
-def apply_changes(store: IndexStore, log: DataFrame, version: int, analyzer: Analyzer = STANDARD) -> None:
+def apply_changes(store: IndexStore, log: DataFrame, version: int, analyzer: Analyzers | None = None) -> None:
     """Bring the sites a change log names up to date with it, by a layer of the changed documents.
 
     As ``compact``, the store remembers what it applied, so a log may be given again.
@@ -46,14 +45,14 @@ def remove(store: IndexStore, ids: DataFrame, version: int) -> None:
     indexed = upkeep.indexed_ids(store.live("keywords"))
     gone = written(indexed.join(ids.select("site", "id").distinct(), ["site", "id"], "left_semi"), "removed")
     if not gone.isEmpty():
-        _write_layer(store, gone, None, version, STANDARD)
+        _write_layer(store, gone, None, version)
 
 
 def remove_orphans(store: IndexStore, live: DataFrame, version: int) -> None:
     """Remove the documents of all sites whose ID is live nowhere, by a layer."""
     gone = written(upkeep.orphan_ids(store.live("keywords"), live), "removed")
     if not gone.isEmpty():
-        _write_layer(store, gone, None, version, STANDARD)
+        _write_layer(store, gone, None, version)
 
 
 def merge_layers(store: IndexStore, version: int) -> DataFrame:
@@ -69,11 +68,12 @@ def merge_layers(store: IndexStore, version: int) -> DataFrame:
     kept = {name: store.live(name).join(sites, "site", "left_semi") for name in ("keywords", "postings")}
     store.write_keywords(kept["keywords"], version)
     store.write_postings(store.bucketed(kept["postings"]), version)
+    store.write_analyzers(store.analyzers(), version)
     store.publish(sites.withColumn("version", F.lit(version)))
     return sites
 
 
-def _write_layer(store: IndexStore, touched: DataFrame, changed: DataFrame | None, version: int, analyzer: Analyzer) -> None:
+def _write_layer(store: IndexStore, touched: DataFrame, changed: DataFrame | None, version: int, analyzer: Analyzers | None = None) -> None:
     """``touched(site, id)`` is a written table; ``changed`` is None where only removals are made."""
     sites = touched.select("site").distinct()
     later = store.published().join(sites, "site", "left_semi").where(F.col("version") >= version)
@@ -82,12 +82,12 @@ def _write_layer(store: IndexStore, touched: DataFrame, changed: DataFrame | Non
     if changed is None:
         changed = store.table("keywords").select(*_CONTENT).where(F.lit(False))
     replaced = store.live("postings").join(touched, ["site", "id"], "left_semi")
-    store.write_layer(changed, touched, replaced, version, analyzer)
+    store.write_layer(changed, touched, replaced, version, store.analyzers() if analyzer is None else analyzer)
     store.publish_layer(sites, version)
 
 
 def stream_search(
-    changes: DataFrame, store: IndexStore, checkpoint: str, analyzer: Analyzer = STANDARD, trigger: dict | None = None
+    changes: DataFrame, store: IndexStore, checkpoint: str, analyzer: Analyzers | None = None, trigger: dict | None = None
 ) -> StreamingQuery:
     """Index a stream of changes, drafts left out: each micro-batch becomes a layer that search finds at once.
 
@@ -109,7 +109,7 @@ def stream_search(
     )
 
 
-def apply_batch(store: IndexStore, batch: DataFrame, name: str, analyzer: Analyzer = STANDARD) -> None:
+def apply_batch(store: IndexStore, batch: DataFrame, name: str, analyzer: Analyzers | None = None) -> None:
     """A named batch of changes as a layer; again, it changes nothing."""
     version = store.reserve(name)
     rows = written(batch, "batch")

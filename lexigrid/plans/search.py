@@ -8,9 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lexigrid.functions.analysis import STANDARD
 from lexigrid.functions.names import attribute_field, map_attribute
-from lexigrid.model import Analyzer, Bm25, Index, TermDefaults
+from lexigrid.model import Analyzers, Bm25, Index, TermDefaults
 from lexigrid.operators.clauses import build_clauses
 from lexigrid.operators.lookups import (
     Needs,
@@ -52,7 +51,7 @@ def search(
     k: int | None = None,
     before_query: Callable[[DataFrame], DataFrame] | None = None,
     on_empty_scope: str = "all",
-    analyzer: Analyzer = STANDARD,
+    analyzer: Analyzers | None = None,
     bm25: Bm25 = Bm25(),
     prefix: str = "",
     n_spread: int | None = None,
@@ -77,6 +76,7 @@ def search(
     ``fields``                custom-field definitions, to resolve handles
     ``options``, ``defaults`` flags for terms that leave them null
     ``before_query``          changes the clause table before it is matched
+    ``analyzer``              another one than the sites' own
     ``k``                     hits kept per query; by default all
     ``n_spread``              tasks sharing one query's hits
                               (default: the session's shuffle partitions)
@@ -102,7 +102,7 @@ def search_clauses(
     field_boosts: DataFrame | None = None,
     k: int | None = None,
     on_empty_scope: str = "all",
-    analyzer: Analyzer = STANDARD,
+    analyzer: Analyzers | None = None,
     bm25: Bm25 = Bm25(),
     n_spread: int | None = None,
     candidates_from: int = CANDIDATES_FROM,
@@ -112,7 +112,7 @@ def search_clauses(
     n_spread = n_spread or int(spark.conf.get("spark.sql.shuffle.partitions"))
     restrict = _restriction(scope, on_empty_scope)
     seen = Observation()
-    asked = asked_terms(clauses, index.published, analyzer).observe(seen, *needs_metrics())
+    asked = asked_terms(clauses, index.published, index.analyzers if analyzer is None else analyzer).observe(seen, *needs_metrics())
     asked = written(asked, "asked")
     needs = Needs(**seen.get)
     found = []

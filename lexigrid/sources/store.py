@@ -10,6 +10,7 @@ Layout below the root::
     published/seq=N/                       which version each site serves; the last counts
     applied/version=V/site=S/              the last logged change of each document that V took in
     tombstones/version=V/site=S/           the documents that the layer V replaces in earlier versions
+    analyzers/version=V/                   how V's sites cut text into terms, where that is not the standard way
     reserved/name=N/                       the version number a named batch has
 
 A version is written whole, into its own folders, and never changed.  Writing
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from lexigrid.functions.analysis import STANDARD
-from lexigrid.model import KEYWORDS, Analyzer, Index
+from lexigrid.model import KEYWORDS, Analyzer, Analyzers, Index
 from lexigrid.operators.lookups import dictionary
 from lexigrid.operators.postings import field_stats, postings, term_bucket, term_stats
 from lexigrid.operators.upkeep import current, orphaned_versions, without_replaced
@@ -48,6 +49,7 @@ _SCHEMAS = {
     "layout": "n_buckets int, version bigint",
     "applied": "id bigint, ts timestamp, seq bigint, version bigint, site string",
     "tombstones": "id bigint, version bigint, site string",
+    "analyzers": "site string, pattern string, lowercase boolean, pairs boolean, stopwords array<string>, version bigint",
     "reserved": "version bigint, name string",
 }
 _PARTITIONS = {
@@ -153,24 +155,53 @@ class IndexStore:
             field_stats=self.table("field_stats"),
             dictionary=self.table("dictionary"),
             published=self.published(),
+            analyzers=self.analyzers(),
         )
 
+    def analyzers(self) -> Analyzers:
+        """How the texts of the served sites were analysed, as stored with the versions they serve.
+
+        Settings, of which there are as many as sites; a base and its layers have the same.
+        """
+        if not self._exists(f"{self.root}/analyzers"):
+            return STANDARD
+        rows = current(self.table("analyzers"), self.published()).collect()
+        made = {r["site"]: Analyzer(r["pattern"], r["lowercase"], r["pairs"], tuple(r["stopwords"])) for r in rows}
+        return made or STANDARD
+
     # writing -----------------------------------------------------------------
 
     def write_version(
-        self, keywords: DataFrame, version: int, analyzer: Analyzer = STANDARD, publish: bool = True
+        self, keywords: DataFrame, version: int, analyzer: Analyzers = STANDARD, publish: bool = True
     ) -> None:
         """Build and store one version of every site in ``keywords(site, id, field, text)``.
 
+        The analyzer, one for all or each site's own, is kept with the version: searches and jobs use it.
+
         The text is read twice in all: to store it, and (from the stored copy)
         to index it.  The statistics come from narrow scans of the postings.
         """
         self.write_keywords(keywords, version)
         stored = self.version("keywords", version)
         self.write_postings(postings(stored, self.n_buckets, analyzer), version)
+        self.write_analyzers(analyzer, version)
         if publish:
             self.publish_version(version)
 
+    def write_analyzers(self, analyzers: Analyzers, version: int) -> None:
+        """Note how a version's sites are analysed; nothing where all are so in the standard way.
+
+        Each site's own are noted whether or not the version has documents of it, so an emptied site keeps its own.
+        """
+        if isinstance(analyzers, Analyzer):
+            sites = self.version("keywords", version).select("site").distinct().collect() if analyzers != STANDARD else []
+            analyzers = {r["site"]: analyzers for r in sites}
+        rows = [(s, a.pattern, a.lowercase, a.pairs, list(a.stopwords)) for s, a in sorted(analyzers.items()) if a != STANDARD]
+        path = f"{self.root}/analyzers/version={version}"
+        if rows or self._exists(path):
+            schema = _SCHEMAS["analyzers"].removesuffix(", version bigint")
+            literal_table(self.spark, schema, rows).repartition(1).write.mode("overwrite").parquet(path)
+
     def write_keywords(self, keywords: DataFrame, version: int, few: bool = False) -> None:
         """Store the documents of one version, where they are: no shuffle.
 
@@ -205,7 +236,7 @@ class IndexStore:
         self._write("field_stats", version, field_stats(stored))
 
     def write_layer(
-        self, changed: DataFrame, touched: DataFrame, replaced: DataFrame, version: int, analyzer: Analyzer = STANDARD
+        self, changed: DataFrame, touched: DataFrame, replaced: DataFrame, version: int, analyzer: Analyzers = STANDARD
     ) -> None:
         """Store ``changed(site, id, field, text)`` as a layer that replaces the documents ``touched(site, id)``.
 
@@ -227,6 +258,7 @@ class IndexStore:
         self._write("dictionary", version, dictionary(self.version("term_stats", version)), ranged=True)
         self._write("field_stats", version, fields)
         self._write("tombstones", version, touched.select("site", "id"))
+        self.write_analyzers(analyzer, version)
 
     def publish_layer(self, sites: DataFrame, version: int) -> None:
         """Let these sites serve a layer beside what they serve."""

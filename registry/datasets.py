@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrid.model import FIELDS, Index
+from lexigrid.model import FIELDS, Analyzer, Analyzers, Index
 from lexigrid.session import fresh_dir, literal_table
 from lexigrid.sources.documents import build_keywords
 from lexigrid.sources.store import IndexStore, buckets_for
@@ -28,6 +28,11 @@ def document_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_keywords(docs, ["text"])
 
 
+def ideograph_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with some of their letters as ideographs and kana: text of several scripts, most of it without blanks between words."""
+    return document_keywords(spark, sf_dir).withColumn("text", F.translate("text", "etaoinshr", "的一是不了人かなー"))
+
+
 def part_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.lit("catalog").alias("site"), F.col("p_partkey").alias("id"),
@@ -58,11 +63,11 @@ def store(spark: SparkSession, sf_dir: str) -> IndexStore:
     return _stores[key]
 
 
-def new_store(spark: SparkSession, sf_dir: str) -> IndexStore:
+def new_store(spark: SparkSession, sf_dir: str, analyzers: Analyzers = Analyzer()) -> IndexStore:
     """A store of its own, for jobs that change it."""
     buckets = buckets_for(spark, f"{sf_dir}/documents.parquet", f"{sf_dir}/part.parquet")
     made = IndexStore(spark, fresh_dir(spark, "index"), buckets)
-    made.write_version(all_keywords(spark, sf_dir), version=1)
+    made.write_version(all_keywords(spark, sf_dir), 1, analyzers)
     return made
 
 

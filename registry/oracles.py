@@ -18,12 +18,18 @@ UNION ALL SELECT 'catalog', p_partkey, 'field_2', p_type FROM part"""
 ALL_KW = f"{DOC_KW} UNION ALL {PART_KW}"
 
 
-def tokenised(keywords: str) -> str:
+TOKENS = f"regexp_extract_all(lower(text), '{PATTERN}')"
+
+
+def tokenised(keywords: str, tokens: str = TOKENS, stops=()) -> str:
+    left_out = f"WHERE (site, term) NOT IN ({', '.join(map(str, stops))})" if stops else ""
     return f"""
 kw AS ({keywords}),
 tok AS (
-  SELECT site, id, field, CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS term
-  FROM (SELECT *, regexp_extract_all(lower(text), '{PATTERN}') AS toks FROM kw)
+  SELECT * FROM (
+    SELECT site, id, field, CAST(unnest(range(len(toks))) AS INTEGER) AS pos, unnest(toks) AS term
+    FROM (SELECT *, {tokens} AS toks FROM kw)
+  ) {left_out}
 )"""
 
 
@@ -52,7 +58,8 @@ def _value(v) -> str:
     return str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
 
 
-def hits(clauses=None, clause_sql=None, boosts=None, scope=None, k=None, keywords=ALL_KW, scope_only=False) -> str:
+def hits(clauses=None, clause_sql=None, boosts=None, scope=None, k=None, keywords=ALL_KW, scope_only=False,
+         tokens=TOKENS, stops=()) -> str:
     """Hits of compiled clauses ``(query_id, site, ord, occur, kind, field, text)``."""
     if clause_sql is None:
         rows = ", ".join("(" + ", ".join(_value(v) for v in row) + ")" for row in clauses)
@@ -69,14 +76,15 @@ def hits(clauses=None, clause_sql=None, boosts=None, scope=None, k=None, keyword
           OR (query_id, id) IN (SELECT (query_id, id) FROM scope))"""
         if scope_only:
             inside = "(query_id, id) IN (SELECT (query_id, id) FROM scope)"
+    stop_list = f"CAST({[f'{site} {word}' for site, word in stops]} AS VARCHAR[])"
     return rf"""
-WITH {tokenised(keywords)}, {STATS},
+WITH {tokenised(keywords, tokens, stops)}, {STATS},
 raw AS ({clause_sql}),
 c AS (
   SELECT *, row_number() OVER () AS cid FROM (
     SELECT query_id, site, ord, occur, kind, field AS only_field, trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(13)) AS text,
-      regexp_extract_all(lower(text), '{PATTERN}') AS toks FROM raw)
-  WHERE CASE WHEN kind IN ('term', 'phrase') THEN len(toks) > 0 ELSE text <> '' END
+      {tokens} AS toks, list_filter(range(len(toks)), lambda i: NOT list_contains({stop_list}, site || ' ' || toks[i + 1])) AS kept FROM raw)
+  WHERE CASE WHEN kind IN ('term', 'phrase') THEN len(kept) > 0 ELSE text <> '' END
     AND site IN (SELECT site FROM kw)
 ),
 q AS (
@@ -84,8 +92,8 @@ q AS (
     count(*) FILTER (occur = 'should') AS n_should FROM c GROUP BY query_id, site
 ),
 ct AS (
-  SELECT cid, query_id, site, ord, occur, kind, only_field, len(toks) AS n_tokens,
-    unnest(range(len(toks))) AS off, unnest(toks) AS term
+  SELECT cid, query_id, site, ord, occur, kind, only_field, len(kept) AS n_tokens,
+    unnest(kept) AS off, unnest(list_transform(kept, lambda i: toks[i + 1])) AS term
   FROM c WHERE kind IN ('term', 'phrase')
 ),
 term_hits AS (
@@ -317,7 +325,33 @@ LAYERED = f"""
   SELECT * FROM ({UPSERTED}) WHERE (site = 'catalog' OR id NOT IN (SELECT doc_id FROM labels WHERE quality = 0))
     AND (id IN (SELECT doc_id FROM labels) OR id IN (SELECT item_id + 1000000000000 FROM benchmark))"""
 
+# stop words of each site, left out of index and queries; the queries as compiled
+STOPS = [
+    ("en", "the"), ("en", "of"), ("en", "and"), ("en", "with"), ("fr", "de"), ("fr", "la"), ("fr", "le"),
+    ("de", "die"), ("de", "und"), ("es", "de"), ("es", "los"), ("catalog", "the"), ("catalog", "of"), ("catalog", "and"), ("catalog", "with"),
+]
+STOPPED_CLAUSES = [
+    must(1, 0, "the"), must(1, 1, "that"), must_not(2, 0, "of"), must(2, 1, "in"), should(3, 0, "in the that"),
+    should(4, 0, "the in"), should(5, 0, "of the"), should(5, 1, "that of"), must(6, 0, "the and"),
+    must(7, 0, "th", kind="prefix"), should(8, 0, "la que de", "es"), must(9, 0, "la", "fr"), must(9, 1, "une", "fr"), must(10, 0, "red", "catalog"),
+]
+IDEOGRAPHS = "translate(text, 'etaoinshr', '的一是不了人かなー')"
+IDEOGRAPH_KW = f"SELECT lang AS site, doc_id AS id, 'attribute_text' AS field, {IDEOGRAPHS} AS text FROM documents"
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}ー"
+PAIRS = rf"""flatten(list_transform(
+  flatten(list_transform(regexp_extract_all(lower(text), '{PATTERN}'), lambda r: regexp_extract_all(r, '[{_UNSPACED}]+|[^{_UNSPACED}]+'))),
+  lambda s: CASE WHEN regexp_matches(s, '^[{_UNSPACED}]') AND length(s) > 1
+    THEN list_transform(range(1, length(s)), lambda i: substring(s, i, 2)) ELSE [s] END))"""
+
 JOBS = {
+    "search_stopwords": hits(STOPPED_CLAUSES, stops=STOPS),
+    "delta_stopwords": hits(STOPPED_CLAUSES, keywords=LAYERED, stops=STOPS),
+    "compact_stopwords": hits(STOPPED_CLAUSES, keywords=UPSERTED, stops=STOPS),
+    "analyze_cjk": f"WITH {tokenised(IDEOGRAPH_KW, PAIRS)} SELECT site, id, field, pos, term FROM tok",
+    "search_cjk": hits([
+        must(1, 0, "一な"), should(2, 0, "一な的"), must(3, 0, "是"), must(4, 0, "一な的"), should(4, 1, "的か 的か"), must(5, 0, "d"),
+        must(6, 0, "是", "fr", kind="prefix"), must_not(6, 1, "的か", "fr"),
+    ], keywords=IDEOGRAPH_KW, tokens=PAIRS),
     "delta_search": hits(JOB_CLAUSES, keywords=LAYERED),
     "delta_merged_search": hits(JOB_CLAUSES, keywords=LAYERED),
     "delta_stats": f"WITH {tokenised(LAYERED)}, {STATS} SELECT * FROM ts JOIN fs USING (site, field)",

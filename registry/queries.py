@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexigrid.functions.analysis import analyze, explain_source, remove_stopwords
 from lexigrid.functions.languages import stopwords
 from lexigrid.functions.names import map_attribute, map_field
-from lexigrid.model import BOOSTS, QUERY_TERMS, SITES, STOPWORDS
+from lexigrid.model import BOOSTS, QUERY_TERMS, SITES, STOPWORDS, Analyzer
 from lexigrid.operators import reports, upkeep
 from lexigrid.operators.clauses import build_clauses
 from lexigrid.plans import jobs, layers
@@ -17,6 +17,7 @@ from lexigrid.plans.search import search
 from lexigrid.session import fresh_dir, literal_table
 from lexigrid.sources import elements as E
 from lexigrid.sources.documents import build_keywords, build_mapping, mapping_diff
+from lexigrid.sources.store import IndexStore
 from lexigrid.streaming.changes import change_log, latest_wins, stream_index
 from registry import datasets as D
 
@@ -99,6 +100,16 @@ TERMS = {
         term(4, 0, " * ", sub_right=False), term(5, 0, "", sub_right=True), term(6, 0, "that"),
         term(6, 1, "..."), term(7, 0, "the", "nosite"),
     ],
+    "search_stopwords": [
+        term(1, 0, "the"), term(1, 1, "that"), term(2, 0, "of", exclude=True), term(2, 1, "in"),
+        term(3, 0, "in the that", phrase=True), term(4, 0, "the in", phrase=True), term(5, 0, "of the", phrase=True),
+        term(5, 1, "that of", phrase=True), term(6, 0, "the and"), term(7, 0, "th", sub_right=True),
+        term(8, 0, "la que de", "es", phrase=True), term(9, 0, "la", "fr"), term(9, 1, "une", "fr"), term(10, 0, "red", "catalog"),
+    ],
+    "search_cjk": [
+        term(1, 0, "一な"), term(2, 0, "一な的", phrase=True), term(3, 0, "是"), term(4, 0, "一な的"),
+        term(4, 1, "的か 的か", phrase=True), term(5, 0, "d"), term(6, 0, "是", "fr", sub_right=True), term(6, 1, "的か", "fr", exclude=True),
+    ],
     "search_hook": [
         term(1, 0, "small", "catalog"), term(1, 1, "red", "catalog", exclude=True),
         term(2, 0, "widget", "catalog"),
@@ -162,6 +173,29 @@ def _after(job):
     return run
 
 
+def _stop_analyzers():
+    words = {site: tuple(word for lang, word in STOP_ROWS if lang == spoken) for site, spoken in SITE_ROWS}
+    return {site: Analyzer(stopwords=listed) for site, listed in words.items()}
+
+
+def _stopwords(job=None):
+    """Hits of an index whose sites leave out their stop words, and keep doing so after a job."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = D.new_store(spark, sf_dir, _stop_analyzers())
+        if job is not None:
+            job(spark, sf_dir, store)
+        return search(store.index(), literal_table(spark, QUERY_TERMS, TERMS["search_stopwords"]), fields=D.part_fields(spark))
+
+    return run
+
+
+def _search_cjk(spark, sf_dir):
+    store = IndexStore(spark, fresh_dir(spark, "cjk"), 8)
+    store.write_version(D.ideograph_keywords(spark, sf_dir), 1, Analyzer(pairs=True))
+    return search(store.index(), literal_table(spark, QUERY_TERMS, TERMS["search_cjk"]))
+
+
 def _change_log(spark, sf_dir):
     return D.document_changes(spark, sf_dir).withColumns(
         {"op": F.lit("upsert"), "ts": F.lit("2024-01-01 00:00:00").cast("timestamp"), "seq": F.lit(1).cast("bigint")}
@@ -516,6 +550,11 @@ QUERIES = {
     "search_candidates_scoped": _search("search_scoped", scope=_scope, candidates_from=0),
     "search_scope_only": _search("search_scoped", scope=_scope, on_empty_scope="none"),
     # jobs on a stored index
+    "search_stopwords": _stopwords(),
+    "delta_stopwords": _stopwords(_as_layers),
+    "compact_stopwords": _stopwords(lambda spark, sf_dir, store: jobs.compact(store, _change_log(spark, sf_dir), 2)),
+    "analyze_cjk": lambda spark, sf_dir: analyze(D.ideograph_keywords(spark, sf_dir), Analyzer(pairs=True)),
+    "search_cjk": _search_cjk,
     "compact_search": _after(lambda spark, sf_dir, store: jobs.compact(store, _change_log(spark, sf_dir), 2)),
     "compact_after_reload": _compact_after_reload,
     "purge_orphans_search": _after(lambda spark, sf_dir, store: jobs.purge_orphans(store, _live(spark, sf_dir), 2)),
