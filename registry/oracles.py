@@ -326,7 +326,7 @@ LAYERED = f"""
     AND (id IN (SELECT doc_id FROM labels) OR id IN (SELECT item_id + 1000000000000 FROM benchmark))"""
 
 # stop words of each site, left out of index and queries; the queries as compiled
-STOPS = [
+SITE_STOPS = [
     ("en", "the"), ("en", "of"), ("en", "and"), ("en", "with"), ("fr", "de"), ("fr", "la"), ("fr", "le"),
     ("de", "die"), ("de", "und"), ("es", "de"), ("es", "los"), ("catalog", "the"), ("catalog", "of"), ("catalog", "and"), ("catalog", "with"),
 ]
@@ -344,9 +344,9 @@ PAIRS = rf"""flatten(list_transform(
     THEN list_transform(range(1, length(s)), lambda i: substring(s, i, 2)) ELSE [s] END))"""
 
 JOBS = {
-    "search_stopwords": hits(STOPPED_CLAUSES, stops=STOPS),
-    "delta_stopwords": hits(STOPPED_CLAUSES, keywords=LAYERED, stops=STOPS),
-    "compact_stopwords": hits(STOPPED_CLAUSES, keywords=UPSERTED, stops=STOPS),
+    "search_stopwords": hits(STOPPED_CLAUSES, stops=SITE_STOPS),
+    "delta_stopwords": hits(STOPPED_CLAUSES, keywords=LAYERED, stops=SITE_STOPS),
+    "compact_stopwords": hits(STOPPED_CLAUSES, keywords=UPSERTED, stops=SITE_STOPS),
     "analyze_cjk": f"WITH {tokenised(IDEOGRAPH_KW, PAIRS)} SELECT site, id, field, pos, term FROM tok",
     "search_cjk": hits([
         must(1, 0, "一な"), should(2, 0, "一な的"), must(3, 0, "是"), must(4, 0, "一な的"), should(4, 1, "的か 的か"), must(5, 0, "d"),
