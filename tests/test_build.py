@@ -46,6 +46,11 @@ def test_nothing_is_sorted_by_folder_and_copied_postings_not_at_all(spark, monke
         assert keys == sorted(keys, key=str.encode)
 
 
+EAST = [
+    "是", "一な的", "d的一c", "的か、人人 (かー)", "", "「の」", "한국어 text 2", "的\U00020000的", "的 的", "“ABC”的—一", "ー", "é的Æ", "々的", "的\u3099か",
+]
+
+
 def _given(monkeypatch, spark, rows, analyzer):
     """The rows that the function on Arrow batches gets."""
     kind, seen = type(spark.range(0)), []
@@ -55,6 +60,21 @@ def _given(monkeypatch, spark, rows, analyzer):
     return seen[0].collect()
 
 
+def test_pairs_of_common_ideographs_are_cut_in_batches(spark, monkeypatch):
+    rows = keywords(spark, [(site, n, "attribute_t", text) for site in "ab" for n, text in enumerate(EAST)])
+    rows = rows.withColumn("version", F.lit(1).cast("bigint"))
+    for analyzer in (Analyzer(pairs=True), Analyzer(), {"a": Analyzer(pairs=True, stopwords=("的一",))}, Analyzer(pairs=True, lowercase=False)):
+        found = {(r["site"], r["id"], r["term"]): r["positions"] for r in unpacked(posting_blocks(rows, analyzer)).collect()}
+        wanted = {}
+        for site in "ab":
+            own = analyzer if isinstance(analyzer, Analyzer) else analyzer.get(site, Analyzer())
+            for r in sorted(analyze(rows.where(F.col("site") == site), own).collect(), key=lambda r: r["pos"]):
+                wanted.setdefault((r["site"], r["id"], r["term"]), []).append(r["pos"])
+        assert found == wanted
+    given = _given(monkeypatch, spark, rows, Analyzer(pairs=True))
+    assert {r["id"] for r in given if r["text"] is None} == {7, 12, 13}
+
+
 def test_no_list_is_null_where_batches_are_written(spark, monkeypatch):
     rows = keywords(spark, [("a", n, "attribute_t", text) for n, text in enumerate([*TEXTS, None])]).withColumn("version", F.lit(1).cast("bigint"))
     given = _given(monkeypatch, spark, rows, Analyzer())
