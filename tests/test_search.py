@@ -196,3 +196,31 @@ def test_very_long_terms_under_wildcards(spark):
     )
     found = {q: [i for i, _ in hits] for q, hits in hits_of(search(index, terms)).items()}
     assert found == {1: [1], 2: [1], 3: [1], 4: [3], 5: [2]}
+
+
+def test_only_postings_of_asked_terms_meet_candidates(spark, monkeypatch):
+    from lexigrid.plans import search as module
+
+    met = {}
+    for name in ("candidate_matches", "phrase_matches"):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda rows, *how, name=name, real=real: met.update({name: rows}) or real(rows, *how))
+    rows = [("a", n, "attribute_t", f"red bolt w{n} z{n}") for n in range(30)]
+    asked = query_terms(spark, term(1, 0, "red"), term(1, 1, "w7"), term(2, 0, "bolt w8", phrase=True))
+    found = hits_of(search(stored(spark, rows, n_buckets=1).index(), asked, candidates_from=0))
+    assert {q: [i for i, _ in hits] for q, hits in found.items()} == {1: [7], 2: [8]}
+    for name in ("candidate_matches", "phrase_matches"):
+        assert {r["term"] for r in met[name].collect()} == {"red", "w7", "bolt", "w8"}
+
+
+def test_ranges_of_terms_lose_none(spark):
+    from lexigrid.operators.lookups import in_term_ranges
+    from lexigrid.session import literal_table
+
+    words = [f"{c}{n}" for c in "aé漢\U00020000" for n in range(20)]
+    table = literal_table(spark, "term string", [(w,) for w in words])
+    asked = [(w,) for w in words[::3]]
+    assert set(asked) <= {tuple(r) for r in in_term_ranges(table, literal_table(spark, "term string", asked)).collect()}
+    few = literal_table(spark, "term string", asked[:5])
+    assert sorted(tuple(r) for r in in_term_ranges(table, few).collect()) == sorted(asked[:5])
+    assert in_term_ranges(table, few.where("false")).isEmpty()
