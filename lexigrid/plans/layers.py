@@ -58,7 +58,7 @@ def remove_orphans(store: IndexStore, live: DataFrame, version: int) -> None:
 def merge_layers(store: IndexStore, version: int) -> DataFrame:
     """Make one new version of each site that serves several; returns these sites.
 
-    Postings keep their layout where all have the store's number of buckets, and are not computed again.
+    Postings are not computed again and, where all have the store's number of buckets, copied bucket by bucket without a shuffle.
     """
     pointers = store.published()
     sites = pointers.groupBy("site").agg(F.count("*").alias("n")).where("n > 1").select("site")
@@ -67,7 +67,9 @@ def merge_layers(store: IndexStore, version: int) -> DataFrame:
         return sites
     kept = {name: store.live(name).join(sites, "site", "left_semi") for name in ("keywords", "postings")}
     store.write_keywords(kept["keywords"], version)
-    store.write_postings(store.bucketed(kept["postings"]), version)
+    other = pointers.join(sites, "site", "left_semi").where(F.col("n_buckets") != store.n_buckets)
+    same = other.isEmpty()
+    store.write_postings(kept["postings"] if same else store.bucketed(kept["postings"]), version, clustered=same)
     store.write_analyzers(store.analyzers(), version)
     store.publish(sites.withColumn("version", F.lit(version)))
     return sites

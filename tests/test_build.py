@@ -3,11 +3,13 @@
 from pyspark.sql import functions as F
 
 from helpers import keywords, rows_of, stored
+from lexigrid import IndexStore
 from lexigrid.functions.analysis import analyze
 from lexigrid.model import Analyzer
 from lexigrid.operators.postings import posting_blocks, postings, unpacked
+from lexigrid.plans import layers
 from lexigrid.plans.jobs import bulk_delete
-from lexigrid.session import literal_table
+from lexigrid.session import fresh_dir, literal_table
 
 TEXTS = [
     "the red of the", "of", "", " ?! ", "-theİstanbul the-", "Ærøª 5²x \x00 a", "的一 the ー", "éa the", "x\U00020000 the", "theǅɏ,the",
@@ -80,3 +82,27 @@ def test_no_list_is_null_where_batches_are_written(spark, monkeypatch):
     given = _given(monkeypatch, spark, rows, Analyzer())
     assert given and all(r["tokens"] is not None for r in given)
     # else Spark's writer takes a time that grows with the square of a batch's rows
+
+
+def _shuffled(monkeypatch, spark):
+    """The columns of each table that is shuffled to be written."""
+    kind, seen = type(spark.range(0)), []
+    real = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda self, name, *by: seen.append((name, set(self.columns))) or real(self, name, *by))
+    return lambda column: [columns for name, columns in seen if name == "rebalance" and column in columns]
+
+
+def test_layers_are_merged_without_a_shuffle_of_postings(spark, monkeypatch):
+    store = stored(spark, ROWS)
+    layers.remove(store, literal_table(spark, "site string, id bigint", [("a", 1)]), 2)
+    kept = rows_of(store.live("postings"), "site", "bucket", "field", "term", "id", "positions")
+    shuffled = _shuffled(monkeypatch, spark)
+    layers.merge_layers(store, 3)
+    assert not shuffled("positions")
+    assert rows_of(store.live("postings"), "site", "bucket", "field", "term", "id", "positions") == kept != []
+    assert ("a", 3) in rows_of(store.published(), "site", "version")
+    # of another number of buckets they are
+    layers.remove(store, literal_table(spark, "site string, id bigint", [("a", 2)]), 4)
+    other = IndexStore(spark, store.root, n_buckets=5)
+    layers.merge_layers(other, 5)
+    assert shuffled("positions") and {r["bucket"] for r in other.version("postings", 5).collect()} <= set(range(5))
