@@ -92,6 +92,20 @@ def _shuffled(monkeypatch, spark):
     return lambda column: [columns for name, columns in seen if name == "rebalance" and column in columns]
 
 
+def test_postings_are_stored_where_they_are_made(spark, monkeypatch):
+    shuffled = _shuffled(monkeypatch, spark)
+    few, splits = stored(spark, ROWS, n_buckets=3), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    assert not shuffled("ids")
+    many = stored(spark, ROWS, n_buckets=40)  # more folders than a task keeps open
+    assert len(shuffled("ids")) == 1
+    columns = ("site", "field", "term", "id", "tf", "dl", "head", "positions")
+    assert rows_of(few.live("postings"), *columns) == rows_of(many.live("postings"), *columns) != []
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == splits
+    for path in few.table("postings").inputFiles():
+        terms = [r["term"] for r in spark.read.parquet(path).collect()]
+        assert terms == sorted(terms, key=str.encode)
+
+
 def test_layers_are_merged_without_a_shuffle_of_postings(spark, monkeypatch):
     store = stored(spark, ROWS)
     layers.remove(store, literal_table(spark, "site string, id bigint", [("a", 1)]), 2)
@@ -106,3 +120,10 @@ def test_layers_are_merged_without_a_shuffle_of_postings(spark, monkeypatch):
     other = IndexStore(spark, store.root, n_buckets=5)
     layers.merge_layers(other, 5)
     assert shuffled("positions") and {r["bucket"] for r in other.version("postings", 5).collect()} <= set(range(5))
+
+
+def test_short_texts_of_one_task_are_stored_in_files_of_bounded_length(spark):
+    store = IndexStore(spark, fresh_dir(spark, "short"), n_buckets=3)
+    rows = spark.range(500_001).coalesce(1).select(F.lit("a").alias("site"), "id", F.lit("attribute_t").alias("field"), F.lit("x").alias("text"))
+    store.write_keywords(rows, 1)
+    assert len(store.version("keywords", 1).inputFiles()) == 2
