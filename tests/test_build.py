@@ -10,6 +10,7 @@ from lexigrid.operators.postings import posting_blocks, postings, unpacked
 from lexigrid.plans import layers
 from lexigrid.plans.jobs import bulk_delete
 from lexigrid.session import fresh_dir, literal_table
+from registry.queries import QUERIES
 
 TEXTS = [
     "the red of the", "of", "", " ?! ", "-theİstanbul the-", "Ærøª 5²x \x00 a", "的一 the ー", "éa the", "x\U00020000 the", "theǅɏ,the",
@@ -127,3 +128,19 @@ def test_short_texts_of_one_task_are_stored_in_files_of_bounded_length(spark):
     rows = spark.range(500_001).coalesce(1).select(F.lit("a").alias("site"), "id", F.lit("attribute_t").alias("field"), F.lit("x").alias("text"))
     store.write_keywords(rows, 1)
     assert len(store.version("keywords", 1).inputFiles()) == 2
+
+
+def test_copying_documents_makes_no_postings(spark, monkeypatch):
+    folder = fresh_dir(spark, "given")
+    texts = literal_table(spark, "doc_id bigint, text string, lang string", [(1, "red", "en"), (1, "red", "en"), (2, None, "en"), (3, "rot", "de")])
+    texts.write.parquet(f"{folder}/documents.parquet")
+    parts = "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int"
+    literal_table(spark, parts, [(1, "red bolt", "SMALL", "b", 1)]).write.parquet(f"{folder}/part.parquet")
+    literal_table(spark, "n_nationkey bigint, n_name string, n_regionkey int", [(1, "N", 1)]).write.parquet(f"{folder}/nation.parquet")
+    made = []
+    monkeypatch.setattr(IndexStore, "write_postings", lambda self, *rows, **how: made.append(rows))
+    for name in ("clone_site", "indexed_ids", "source", "reindex_projection", "mapping_diff"):
+        assert QUERIES[name](spark, folder).columns
+    copied = [("copy", 7, 1, "attribute_text", "red")] * 2 + [("copy", 7, 2, "attribute_text", "")]
+    assert rows_of(QUERIES["clone_site"](spark, folder), "site", "version", "id", "field", "text") == copied
+    assert not made
