@@ -148,3 +148,23 @@ def test_candidates_first_gives_the_same_hits_and_meets_few_postings(spark, monk
     assert found == hits_of(search(store.index(), query_terms(spark, *asked))) and [i for i, _ in found[1]] == [70] and [i for i, _ in found[2]] == [7]
     # three candidates of each query, as the replaced version of one does not count, times the versions and clauses
     assert kept["rarest"].count() <= 6 and kept["needed"].count() <= 2 * 2 * kept["required"].count()
+
+
+def test_what_a_layer_replaces_is_found_by_its_documents_first(spark, monkeypatch):
+    from lexigrid.sources import store as module
+
+    store = stored(spark, BASE)
+    layers.remove(store, literal_table(spark, "site string, id bigint", [("a", 1), ("b", 2)]), 2)
+    seen, real = [], upkeep.without_replaced
+
+    def keep(rows, tombstones):
+        if "term" in rows.columns:
+            seen.append(rows)
+        return real(rows, tombstones)
+
+    monkeypatch.setattr(upkeep, "without_replaced", keep)
+    monkeypatch.setattr(module, "without_replaced", keep)
+    layers.remove(store, literal_table(spark, "site string, id bigint", [("a", 1), ("a", 3)]), 3)
+    assert [rows_of(rows.select("site", "id").distinct()) for rows in seen] == [[("a", 3)]]
+    fields = upkeep.current(store.table("field_stats"), store.published()).groupBy("site", "field").agg(F.sum("n_docs").alias("n"))
+    assert rows_of(fields) == [("a", "attribute_text", 27), ("a", "attribute_title", 27), ("b", "attribute_text", 4)]
