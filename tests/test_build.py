@@ -1,5 +1,6 @@
 """What building and copying an index moves and sorts."""
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from helpers import keywords, rows_of, stored
@@ -144,3 +145,10 @@ def test_copying_documents_makes_no_postings(spark, monkeypatch):
     copied = [("copy", 7, 1, "attribute_text", "red")] * 2 + [("copy", 7, 2, "attribute_text", "")]
     assert rows_of(QUERIES["clone_site"](spark, folder), "site", "version", "id", "field", "text") == copied
     assert not made
+
+
+def test_keys_of_the_dictionary_are_not_gathered(spark):
+    for path in stored(spark, ROWS).table("dictionary").inputFiles():
+        group = pq.ParquetFile(path.removeprefix("file:")).metadata.row_group(0)
+        ways = {group.column(n).path_in_schema: set(group.column(n).encodings) for n in range(group.num_columns)}
+        assert not any("DICTIONARY" in way for name in ("key", "term") for way in ways[name])
