@@ -84,8 +84,7 @@ def _write_layer(store: IndexStore, touched: DataFrame, changed: DataFrame | Non
     if changed is None:
         changed = store.table("keywords").select(*_CONTENT).where(F.lit(False))
     # the documents first: of the other postings nothing needs to be known
-    replaced = upkeep.current(store.table("postings"), store.published()).join(touched, ["site", "id"], "left_semi")
-    replaced = upkeep.without_replaced(replaced, store.tombstones())
+    replaced = upkeep.without_replaced(store.postings_of(touched), store.tombstones())
     store.write_layer(changed, touched, replaced, version, store.analyzers() if analyzer is None else analyzer)
     store.publish_layer(sites, version)
 

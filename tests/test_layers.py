@@ -168,3 +168,15 @@ def test_what_a_layer_replaces_is_found_by_its_documents_first(spark, monkeypatc
     assert [rows_of(rows.select("site", "id").distinct()) for rows in seen] == [[("a", 3)]]
     fields = upkeep.current(store.table("field_stats"), store.published()).groupBy("site", "field").agg(F.sum("n_docs").alias("n"))
     assert rows_of(fields) == [("a", "attribute_text", 27), ("a", "attribute_title", 27), ("b", "attribute_text", 4)]
+
+
+def test_replaced_documents_are_found_by_blocks_of_their_ids(spark):
+    ids = [-130, -65, -64, -1, 0, 1, 63, 64, 127, 2**40, 2**63 - 1, -(2**63), None]
+    rows = literal_table(spark, "site string, version bigint, id bigint", [(s, v, i) for s in ("a", "b", None) for v in (1, 2, 3) for i in ids])
+    named = [("a", 2, -64), ("a", 2, 63), ("a", 2, 63), ("a", 3, 64), ("a", 3, 2**63 - 1), ("b", 3, -(2**63)), ("b", 3, 0), ("b", 2, 0), ("a", 2, None), (None, 3, 1)]
+    blocks = upkeep.id_blocks(literal_table(spark, "site string, version bigint, id bigint", named))
+    known = {t for t in named if None not in t}
+    kept = [tuple(r) for r in rows.collect() if not any((r.site, r.id) == (s, i) and r.version < v for s, v, i in known)]
+    assert sorted(map(str, kept)) == sorted(str(tuple(r)) for r in upkeep.without_replaced(rows, blocks).collect())
+    found = upkeep.of_documents(rows, upkeep.id_blocks(literal_table(spark, "site string, id bigint", [("a", 64), ("b", -1), (None, 0), ("b", None)])))
+    assert {(r.site, r.id) for r in found.collect()} == {("a", 64), ("b", -1)} and found.count() == 6
