@@ -180,3 +180,32 @@ def test_replaced_documents_are_found_by_blocks_of_their_ids(spark):
     assert sorted(map(str, kept)) == sorted(str(tuple(r)) for r in upkeep.without_replaced(rows, blocks).collect())
     found = upkeep.of_documents(rows, upkeep.id_blocks(literal_table(spark, "site string, id bigint", [("a", 64), ("b", -1), (None, 0), ("b", None)])))
     assert {(r.site, r.id) for r in found.collect()} == {("a", 64), ("b", -1)} and found.count() == 6
+
+
+def test_many_replaced_documents_are_not_broadcast_one_by_one(spark, monkeypatch):
+    from lexigrid.plans import search as plan
+    from lexigrid.session import bounded
+    from lexigrid.sources import store as module
+
+    store = stored(spark, [("a", i, "attribute_text", f"the fox number {i % 4}") for i in range(3000)])
+    layers.remove(store, spark.range(10, 2990).select(F.lit("a").alias("site"), "id"), 2)
+    tombstones = store.tombstones()
+    assert store.table("tombstones").count() == 2980 and tombstones.count() == 47
+    asked = [term(1, 0, "fox"), term(2, 0, "the fox", phrase=True), term(3, 0, "number", exclude=True), term(4, 0, "the"), term(4, 1, "3")]
+    found = hits_of(search(store.index(), query_terms(spark, *asked)))
+    assert {q: len(hits) for q, hits in found.items()} == {1: 20, 2: 20, 4: 5}
+
+    # what has more rows than may be broadcast is joined by shuffle, however small its files are
+    joined = []
+
+    def none(table, most=0):
+        joined.append(table)
+        return bounded(table, 0)
+
+    monkeypatch.setattr(plan, "bounded", none)
+    monkeypatch.setattr(module, "_BROADCAST_BLOCKS", 0)
+    served = store.index()
+    shuffled = upkeep.without_replaced(served.postings.select("site", "version", "id"), served.tombstones)
+    assert shuffled.count() == 20 * 4 and "BroadcastHashJoin" not in shuffled._jdf.queryExecution().executedPlan().toString()
+    assert hits_of(search(served, query_terms(spark, *asked))) == found and len(joined) == 1
+    assert hits_of(search(served, query_terms(spark, *asked), candidates_from=0)) == found and len(joined) == 4
